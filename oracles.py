@@ -130,44 +130,341 @@ view(
     "ratings",
 )
 
-# --- Steps of the contract -------------------------------------------------------------
+# --- Steps of the contract, per snapshot ------------------------------------------------
+def snapshot(p: str, ratings: str, new_ratings: str) -> None:
+    """Views over one snapshot: prefix ``p``; products and shown are the fixture ones."""
+    view(
+        f"{p}all_ratings",
+        f"""select category, user_id, product_id, rating from {ratings}
+            union all select category, user_id, product_id, rating from {new_ratings}""",
+        ratings, new_ratings,
+    )
+    view(
+        f"{p}mean_ratings",
+        f"""select category, product_id, avg(rating) as mean_rating, count(*) as n_ratings
+            from {p}all_ratings group by 1, 2""",
+        f"{p}all_ratings",
+    )
+    view(
+        f"{p}category_top",
+        f"""select t.category, t.rank, t.product_id, a.product_name, t.mean_rating from (
+              select category, product_id, mean_rating,
+                     row_number() over (partition by category order by mean_rating desc, product_id) as rank
+              from {p}mean_ratings) t
+            join all_products a on a.category = t.category and a.product_id = t.product_id
+            where t.rank <= 5""",
+        f"{p}mean_ratings", "all_products",
+    )
+    view(
+        f"{p}stage",
+        f"""select d.category, coalesce(c.n, 0)::bigint as n_ratings,
+              (case when coalesce(c.n, 0) < 1 then 1 when coalesce(c.n, 0) < 2 then 2 else 3 end)::bigint as stage
+            from (select category from users union select category from products
+                  union select category from new_products) d
+            left join (select category, count(*) as n from {p}all_ratings group by 1) c
+              on c.category = d.category""",
+        "users", "products", "new_products", f"{p}all_ratings",
+    )
+    view(
+        f"{p}top_rated_new",
+        f"""select t.category, t.rank, t.product_id, n.product_name, t.mean_rating from (
+              select category, product_id, avg(rating) as mean_rating,
+                     row_number() over (partition by category order by avg(rating) desc, product_id) as rank
+              from {new_ratings} group by 1, 2) t
+            join new_products n on n.category = t.category and n.product_id = t.product_id
+            where t.rank <= 2""",
+        new_ratings, "new_products",
+    )
+    view(
+        f"{p}least_shown_unrated",
+        f"""select * from (
+              select n.category, n.product_id, n.product_name, coalesce(s.n_shown, 0)::bigint as n_shown,
+                     row_number() over (partition by n.category order by coalesce(s.n_shown, 0), n.product_id) as rank
+              from new_products n
+              left join (select category, product_name, count(*) as n_shown from shown group by 1, 2) s
+                on s.category = n.category and s.product_name = n.product_name
+              where not exists (select 1 from {new_ratings} r
+                                where r.category = n.category and r.product_id = n.product_id))
+            where rank <= 4""",
+        "new_products", "shown", new_ratings,
+    )
+
+
+def strategies(p: str, o: str, users: str) -> None:
+    """Recommendation strategies over snapshot ``p`` for the users of view ``users``;
+    output views are prefixed ``o``."""
+    key = lambda a, b: f"{a}.category = {b}.category and {a}.user_id = {b}.user_id"
+    view(
+        f"{o}initial",
+        f"""select u.category, u.user_id, t.i::bigint as slot, np.product_id, np.product_name,
+                   'sample' as source
+            from {users} u
+            join (select category, count(*) as size from new_products group by 1) s on s.category = u.category
+            cross join range(0, 5) t(i)
+            join (select category, product_id, product_name,
+                         row_number() over (partition by category order by
+                           {H("'42|' || category || '|' || cast(product_id as varchar)")}, product_id) - 1 as pos
+                  from new_products) np
+              on np.category = u.category
+             and np.pos = ({H("'42|' || u.category || '|' || cast(u.user_id as varchar)")} % s.size + t.i) % s.size
+            where t.i < least(5, s.size)""",
+        users, "new_products",
+    )
+    picks = []
+    for pool, slot, src in (("least_shown_unrated", 0, "new_unrated"), ("top_rated_new", 1, "new_rated")):
+        salt = "unrated" if slot == 0 else "rated"
+        picks.append(
+            f"""select u.category, u.user_id, {slot}::bigint as slot, x.product_id, x.product_name,
+                       '{src}' as source
+                from {users} u
+                join (select category, count(*) as size from {p}{pool} group by 1) s on s.category = u.category
+                join {p}{pool} x on x.category = u.category
+                 and x.rank = {H(f"'42|{salt}|' || u.category || '|' || cast(u.user_id as varchar)")} % s.size + 1"""
+        )
+    view(f"{o}new_recs", "\nunion all\n".join(picks), users, f"{p}least_shown_unrated", f"{p}top_rated_new")
+    view(
+        f"{o}mid",
+        f"""select category, user_id,
+                   (row_number() over (partition by category, user_id order by slot) - 1)::bigint as slot,
+                   product_id, product_name, source
+            from (select category, user_id, product_id, min(slot) as slot,
+                         arg_min(product_name, slot) as product_name, arg_min(source, slot) as source
+                  from (select u.category, u.user_id, (c.rank - 1)::bigint as slot, c.product_id,
+                               c.product_name, 'category' as source
+                        from {users} u join {p}category_top c on c.category = u.category where c.rank <= 3
+                        union all
+                        select category, user_id, slot + 3, product_id, product_name, source from {o}new_recs)
+                  group by 1, 2, 3)""",
+        users, f"{p}category_top", f"{o}new_recs",
+    )
+    view(
+        f"{o}als",
+        f"""select t.category, t.user_id, (t.rank - 1)::bigint as slot, t.product_id, a.product_name,
+                   'als' as source
+            from (select r.category, r.user_id, r.product_id,
+                         row_number() over (partition by r.category, r.user_id order by r.score desc, r.product_id) as rank
+                  from user_recs r
+                  where exists (select 1 from {users} u where {key('u', 'r')})
+                    and exists (select 1 from {p}all_ratings x where {key('x', 'r')})) t
+            join all_products a on a.category = t.category and a.product_id = t.product_id
+            where t.rank <= 3""",
+        users, "user_recs", f"{p}all_ratings", "all_products",
+    )
+    view(
+        f"{o}final",
+        f"""select * from {o}als
+            union all
+            select u.category, u.user_id, (c.rank - 1)::bigint as slot, c.product_id, c.product_name,
+                   'category' as source
+            from {users} u join {p}category_top c on c.category = u.category
+            where not exists (select 1 from {o}als a where {key('a', 'u')})""",
+        f"{o}als", users, f"{p}category_top",
+    )
+
+
+def dispatch(p: str, o: str, users: str) -> None:
+    """Strategies by stage for the users of view ``users`` over snapshot ``p``."""
+    for st in (1, 2, 3):
+        view(
+            f"{o}u{st}",
+            f"""select u.category, u.user_id from {users} u join {p}stage s on s.category = u.category
+                where s.stage = {st}""",
+            users, f"{p}stage",
+        )
+        strategies(p, f"{o}s{st}_", f"{o}u{st}")
+    view(
+        f"{o}recommend",
+        f"""select *, 1::bigint as stage from {o}s1_initial
+            union all select *, 2::bigint from {o}s2_mid
+            union all select *, 3::bigint from {o}s3_final""",
+        f"{o}s1_initial", f"{o}s2_mid", f"{o}s3_final",
+    )
+
+
 view(
     "all_products",
     """select category, product_id, product_name, manufacturer, false as is_new from products
        union all select category, product_id, product_name, manufacturer, true from new_products""",
-    "products",
-    "new_products",
+    "products", "new_products",
 )
 view(
-    "all_ratings",
-    """select category, user_id, product_id, rating from ratings
-       union all select category, user_id, product_id, rating from new_product_ratings""",
-    "ratings",
-    "new_product_ratings",
+    "st_ratings", "select * from stage_ratings where product_id % 10 <> 0", "stage_ratings"
 )
 view(
-    "mean_ratings",
-    """select category, product_id, avg(rating) as mean_rating, count(*) as n_ratings
-       from all_ratings group by 1, 2""",
-    "all_ratings",
+    "st_new_ratings", "select * from stage_ratings where product_id % 10 = 0", "stage_ratings"
 )
+snapshot("", "ratings", "new_product_ratings")
+snapshot("st_", "st_ratings", "st_new_ratings")
+strategies("", "", "users")
+dispatch("st_", "st_", "users")
+
 view(
-    "category_top",
-    """select t.category, t.rank, t.product_id, p.product_name, t.mean_rating from (
-         select category, product_id, mean_rating,
-                row_number() over (partition by category order by mean_rating desc, product_id) as rank
-         from mean_ratings) t
-       join all_products p on p.category = t.category and p.product_id = t.product_id
-       where t.rank <= 5""",
-    "mean_ratings",
+    "product_ids",
+    """select category, product_name, product_id, is_new from (
+         select *, row_number() over (partition by category, product_name order by is_new, product_id) as rn
+         from all_products) where rn = 1""",
     "all_products",
 )
+view(
+    "assign_user_ids",
+    """select n.category, (coalesce(m.mx, 0) + row_number() over (partition by n.category order by n.mail_id))::bigint as user_id,
+              n.mail_id
+       from (select distinct category, mail_id from user_requests r
+             where not exists (select 1 from users u where u.category = r.category and u.mail_id = r.mail_id)) n
+       left join (select category, max(user_id) as mx from users group by 1) m on m.category = n.category""",
+    "user_requests", "users",
+)
+view(
+    "assign_product_ids",
+    """select n.category, (coalesce(m.mx, 0) + row_number() over (partition by n.category order by n.product_name))::bigint as product_id,
+              n.product_name
+       from (select distinct category, product_name from product_requests r
+             where not exists (select 1 from all_products a
+                               where a.category = r.category and a.product_name = r.product_name)) n
+       left join (select category, max(product_id) as mx from all_products group by 1) m on m.category = n.category""",
+    "product_requests", "all_products",
+)
+view(
+    "promotion_list",
+    """select category, product_id, count(*) as n_ratings from new_product_ratings
+       group by 1, 2 having count(*) > 2""",
+    "new_product_ratings",
+)
+for _name, _src, _neg in (
+    ("promoted_products", "new_products", ""), ("promoted_ratings", "new_product_ratings", ""),
+    ("remaining_new_products", "new_products", "not "), ("remaining_new_ratings", "new_product_ratings", "not "),
+):
+    view(
+        _name,
+        f"""select * from {_src} x where {_neg}exists (select 1 from promotion_list p
+            where p.category = x.category and p.product_id = x.product_id)""",
+        _src, "promotion_list",
+    )
+view(
+    "feedback_batch",
+    """select category, user_id, product_name, rating, seq from (
+         select *, row_number() over (partition by category, user_id, product_name order by seq desc, rating desc) as rn
+         from feedback) where rn = 1""",
+    "feedback",
+)
+view(
+    "route_feedback",
+    """select f.category, f.user_id, f.product_name, f.product_id, f.rating, f.seq,
+              case when f.reason is not null then 'rejected'
+                   when n.product_name is not null then 'new_product_ratings' else 'ratings' end as target,
+              f.reason
+       from (select b.*, i.product_id,
+                    case when i.product_id is null then 'unknown_product'
+                         when b.rating is null or isnan(b.rating) then 'missing_rating'
+                         when b.rating < 0 or b.rating > 5 then 'out_of_range' end as reason
+             from feedback_batch b left join product_ids i
+               on i.category = b.category and i.product_name = b.product_name) f
+       left join (select distinct category, product_name from new_products) n
+         on n.category = f.category and n.product_name = f.product_name""",
+    "feedback_batch", "product_ids", "new_products",
+)
+
+
+def flag(requests: str, cols: list[str], keys: str, name: str) -> str:
+    on = " and ".join(f"k.{c} = r.{c}" for c in cols)
+    sel = ", ".join(f"r.{c}" for c in cols)
+    return f"""select {sel}, (k.{cols[0]} is not null) as {name} from {requests} r
+               left join (select distinct {", ".join(cols)} from {keys}) k on {on}"""
+
 
+LONG = "category, product_id, product_name, manufacturer, user_id, rating"
 ORACLES: dict[str, str] = {
     "all_products": compose("select * from all_products", "all_products"),
     "all_ratings": compose("select * from all_ratings", "all_ratings"),
     "mean_ratings": compose("select * from mean_ratings", "mean_ratings"),
     "category_top": compose("select * from category_top", "category_top"),
+    "category_top_mid": compose("select * from category_top where rank <= 3", "category_top"),
+    "new_product_means": compose(
+        """select category, product_id, avg(rating) as mean_rating, count(*) as n_ratings
+           from new_product_ratings group by 1, 2""", "new_product_ratings"),
+    "distinct_raters": compose("select distinct category, user_id from ratings", "ratings"),
+    "rated_new_products": compose(
+        "select distinct category, product_id from new_product_ratings", "new_product_ratings"),
+    "category_stage": compose("select * from st_stage", "st_stage"),
+    "product_mean_rating": compose(
+        """select a.category, a.product_id, coalesce(m.mean_rating, 0.0) as mean_rating
+           from all_products a left join mean_ratings m
+             on m.category = a.category and m.product_id = a.product_id""",
+        "all_products", "mean_ratings"),
+    "user_exists": compose(flag("user_requests", ["category", "mail_id"], "users", "user_exists"),
+                           "user_requests", "users"),
+    "lookup_user_id": compose(
+        """select r.category, r.mail_id, u.user_id from user_requests r
+           join (select category, mail_id, min(user_id) as user_id from users group by 1, 2) u
+             on u.category = r.category and u.mail_id = r.mail_id""", "user_requests", "users"),
+    "assign_user_ids": compose("select * from assign_user_ids", "assign_user_ids"),
+    "register_users": compose(
+        """select category, user_id, mail_id from users
+           union all select category, user_id, mail_id from assign_user_ids""",
+        "users", "assign_user_ids"),
+    "product_exists": compose(
+        flag("product_requests", ["category", "product_name"], "all_products", "product_exists"),
+        "product_requests", "all_products"),
+    "lookup_product_id": compose(
+        """select r.category, r.product_name, i.product_id, i.is_new from product_requests r
+           join product_ids i on i.category = r.category and i.product_name = r.product_name""",
+        "product_requests", "product_ids"),
+    "assign_product_ids": compose("select * from assign_product_ids", "assign_product_ids"),
+    "onboard_products": compose(
+        """select a.category, a.product_id, a.product_name, m.manufacturer from assign_product_ids a
+           join (select category, product_name, min(manufacturer) as manufacturer
+                 from product_requests group by 1, 2) m
+             on m.category = a.category and m.product_name = a.product_name""",
+        "assign_product_ids", "product_requests"),
+    "product_is_new": compose(
+        flag("product_requests", ["category", "product_name"], "new_products", "is_new"),
+        "product_requests", "new_products"),
+    "product_names": compose(
+        """select r.category, r.product_id, r.user_id, r.score, a.product_name from user_recs r
+           join all_products a on a.category = r.category and a.product_id = r.product_id""",
+        "user_recs", "all_products"),
+    "has_ratings": compose(flag("users", ["category", "user_id"], "all_ratings", "has_ratings"),
+                           "users", "all_ratings"),
+    "shown_counts": compose(
+        "select category, product_name, count(*) as n_shown from shown group by 1, 2", "shown"),
+    "promotion_list": compose("select * from promotion_list", "promotion_list"),
+    "promoted_products": compose("select * from promoted_products", "promoted_products"),
+    "promoted_ratings": compose("select * from promoted_ratings", "promoted_ratings"),
+    "remaining_new_products": compose("select * from remaining_new_products", "remaining_new_products"),
+    "remaining_new_ratings": compose("select * from remaining_new_ratings", "remaining_new_ratings"),
+    "promote_products": compose(
+        f"""select 'new_product_ratings' as table_name, category, product_id, null::varchar as product_name,
+                   null::varchar as manufacturer, user_id, rating from remaining_new_ratings
+            union all select 'new_products', category, product_id, product_name, manufacturer,
+                   null::bigint, null::double from remaining_new_products
+            union all select 'products', category, product_id, product_name, manufacturer,
+                   null::bigint, null::double
+                   from (select * from products union all select * from promoted_products)
+            union all select 'ratings', category, product_id, null::varchar, null::varchar, user_id, rating
+                   from (select * from ratings union all select * from promoted_ratings)""",
+        "remaining_new_ratings", "remaining_new_products", "products", "promoted_products",
+        "ratings", "promoted_ratings"),
+    "top_rated_new": compose("select * from top_rated_new", "top_rated_new"),
+    "least_shown_unrated": compose("select * from least_shown_unrated", "least_shown_unrated"),
+    "sample_new": compose("select * from initial", "initial"),
+    "new_product_recs": compose("select * from new_recs", "new_recs"),
+    "initial_recs": compose("select * from initial", "initial"),
+    "mid_recs": compose("select * from mid", "mid"),
+    "final_recs": compose("select * from final", "final"),
+    "recommend": compose("select * from st_recommend", "st_recommend"),
+    "feedback_batch": compose("select * from feedback_batch", "feedback_batch"),
+    "route_feedback": compose("select * from route_feedback", "route_feedback"),
+    "last_recommendations": compose(
+        """select category, user_id, batch_id,
+                  (generate_subscripts(string_split(product_list, ':'), 1) - 1)::bigint as slot,
+                  unnest(string_split(product_list, ':')) as product_name
+           from (select category, user_id, max(batch_id) as batch_id,
+                        arg_max(product_list, batch_id) as product_list
+                 from history group by 1, 2)""", "history"),
+    "push_recommendations": compose(
+        """select category, user_id, 0::bigint as batch_id,
+                  string_agg(product_name, ':' order by slot) as product_list
+           from final group by 1, 2""", "final"),
 }
 
 

@@ -9,9 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pickwise.config import DEFAULT, Config
+from pickwise.operators import feedback as FB
+from pickwise.operators import newproducts as NP
 from pickwise.operators import ratings as R
+from pickwise.operators import recommend as RC
+from pickwise.operators import registry as RG
 from pickwise.plans.fixtures import Fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,4 +62,237 @@ def q_category_top(spark, sf_dir):
     return R.category_list(_fx(spark, sf_dir).tables(), CFG)
 
 
-FLAGSHIP = "category_top"
+@query("category_top_mid")
+def q_category_top_mid(spark, sf_dir):
+    return R.recut(R.category_list(_fx(spark, sf_dir).tables(), CFG), CFG.n_established)
+
+
+@query("new_product_means")
+def q_new_product_means(spark, sf_dir):
+    return R.mean_ratings(_fx(spark, sf_dir).new_product_ratings)
+
+
+@query("distinct_raters")
+def q_distinct_raters(spark, sf_dir):
+    return R.distinct_raters(_fx(spark, sf_dir).ratings)
+
+
+@query("rated_new_products")
+def q_rated_new_products(spark, sf_dir):
+    return R.rated_new_products(_fx(spark, sf_dir).new_product_ratings)
+
+
+@query("category_stage")
+def q_category_stage(spark, sf_dir):
+    return RC.stages(_fx(spark, sf_dir).stage_tables(), CFG)
+
+
+@query("product_mean_rating")
+def q_product_mean_rating(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    ids = R.all_products(fx.products, fx.new_products).select("category", "product_id")
+    means = R.mean_ratings(R.all_ratings(fx.ratings, fx.new_product_ratings))
+    return R.product_mean_rating(ids, means)
+
+
+# --- registry ---------------------------------------------------------------------------
+@query("user_exists")
+def q_user_exists(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.user_exists(fx.user_requests, fx.users)
+
+
+@query("lookup_user_id")
+def q_lookup_user_id(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.lookup_user_id(fx.user_requests, fx.users)
+
+
+@query("assign_user_ids")
+def q_assign_user_ids(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.assign_user_ids(fx.user_requests, fx.users)
+
+
+@query("register_users")
+def q_register_users(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.register_users(fx.user_requests, fx.users)
+
+
+@query("product_exists")
+def q_product_exists(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.product_exists(fx.product_requests, fx.products, fx.new_products)
+
+
+@query("lookup_product_id")
+def q_lookup_product_id(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.lookup_product_id(fx.product_requests, fx.products, fx.new_products)
+
+
+@query("assign_product_ids")
+def q_assign_product_ids(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.assign_product_ids(fx.product_requests, fx.products, fx.new_products)
+
+
+@query("onboard_products")
+def q_onboard_products(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.onboard_products(fx.product_requests, fx.products, fx.new_products)
+
+
+@query("product_is_new")
+def q_product_is_new(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.product_is_new(fx.product_requests, fx.new_products)
+
+
+@query("product_names")
+def q_product_names(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return R.with_names(fx.user_recs, R.all_products(fx.products, fx.new_products))
+
+
+@query("has_ratings")
+def q_has_ratings(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RG.has_ratings(fx.users, R.all_ratings(fx.ratings, fx.new_product_ratings))
+
+
+# --- new products -----------------------------------------------------------------------
+@query("shown_counts")
+def q_shown_counts(spark, sf_dir):
+    return NP.shown_counts(_fx(spark, sf_dir).shown)
+
+
+@query("promotion_list")
+def q_promotion_list(spark, sf_dir):
+    return NP.promotion_list(_fx(spark, sf_dir).new_product_ratings, CFG)
+
+
+def _plist(fx):
+    return NP.promotion_list(fx.new_product_ratings, CFG)
+
+
+@query("promoted_products")
+def q_promoted_products(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.promoted(fx.new_products, _plist(fx))
+
+
+@query("promoted_ratings")
+def q_promoted_ratings(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.promoted(fx.new_product_ratings, _plist(fx))
+
+
+@query("remaining_new_products")
+def q_remaining_new_products(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.remaining(fx.new_products, _plist(fx))
+
+
+@query("remaining_new_ratings")
+def q_remaining_new_ratings(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.remaining(fx.new_product_ratings, _plist(fx))
+
+
+def long_form(tables: dict) -> "DataFrame":
+    """Several tables as one long table with a ``table_name`` column."""
+    cols = {"category": "string", "product_id": "long", "product_name": "string",
+            "manufacturer": "string", "user_id": "long", "rating": "double"}
+    out = None
+    for name, df in sorted(tables.items()):
+        sel = [F.lit(name).alias("table_name")] + [
+            (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in cols.items()
+        ]
+        part = df.select(*sel)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("promote_products")
+def q_promote_products(spark, sf_dir):
+    return long_form(NP.promote(_fx(spark, sf_dir).tables(), CFG))
+
+
+@query("top_rated_new")
+def q_top_rated_new(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.top_rated_new(fx.new_product_ratings, fx.new_products, CFG.rated_pool)
+
+
+@query("least_shown_unrated")
+def q_least_shown_unrated(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.least_shown_unrated(fx.new_products, fx.new_product_ratings, fx.shown, CFG.unrated_pool)
+
+
+@query("sample_new")
+def q_sample_new(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.sample_new(fx.users, fx.new_products, CFG)
+
+
+@query("new_product_recs")
+def q_new_product_recs(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return NP.new_product_recs(fx.users, fx.tables(), CFG)
+
+
+# --- strategies and dispatch ------------------------------------------------------------
+@query("initial_recs")
+def q_initial_recs(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RC.initial_recs(fx.users, fx.tables(), CFG)
+
+
+@query("mid_recs")
+def q_mid_recs(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    t = fx.tables()
+    return RC.mid_recs(fx.users, t, R.category_list(t, CFG), CFG)
+
+
+@query("final_recs")
+def q_final_recs(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    t = fx.tables()
+    return RC.final_recs(fx.users, t, R.category_list(t, CFG), CFG)
+
+
+@query("recommend")
+def q_recommend(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return RC.recommend(fx.users, fx.stage_tables(), CFG)
+
+
+# --- feedback ---------------------------------------------------------------------------
+@query("feedback_batch")
+def q_feedback_batch(spark, sf_dir):
+    return FB.feedback_batch(_fx(spark, sf_dir).feedback)
+
+
+@query("route_feedback")
+def q_route_feedback(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return FB.route_feedback(FB.feedback_batch(fx.feedback), fx.products, fx.new_products)
+
+
+@query("last_recommendations")
+def q_last_recommendations(spark, sf_dir):
+    return FB.last_recommendations(_fx(spark, sf_dir).history)
+
+
+@query("push_recommendations")
+def q_push_recommendations(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    t = fx.tables()
+    return FB.push_recommendations(RC.final_recs(fx.users, t, R.category_list(t, CFG), CFG), 0)
+
+
+FLAGSHIP = "recommend"
