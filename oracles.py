@@ -467,6 +467,121 @@ ORACLES: dict[str, str] = {
            from final group by 1, 2""", "final"),
 }
 
+view(
+    "est_top",
+    """select t.category, t.rank, t.product_id, a.product_name, t.mean_rating from (
+         select category, product_id, avg(rating) as mean_rating,
+                row_number() over (partition by category order by avg(rating) desc, product_id) as rank
+         from ratings group by 1, 2) t
+       join all_products a on a.category = t.category and a.product_id = t.product_id
+       where t.rank <= 5""",
+    "ratings", "all_products",
+)
+view(
+    "parsed_lines",
+    """select category, line,
+              case when len(parts) = 3 then try_cast(trim(parts[1]) as bigint) end as user_id,
+              case when len(parts) = 3 then try_cast(trim(parts[2]) as bigint) end as product_id,
+              case when len(parts) = 3 then try_cast(trim(parts[3]) as double) end as rating,
+              len(parts) = 3 as three
+       from (select category, line, string_split(line, ',') as parts from raw_rating_lines)""",
+    "raw_rating_lines",
+)
+
+# Registrations and feedback of the batch first, then one snapshot for every list
+view("j_rq", "select distinct category, mail_id from user_requests", "user_requests")
+view(
+    "j_known",
+    """select r.category, r.mail_id, u.user_id from j_rq r
+       join (select category, mail_id, min(user_id) as user_id from users group by 1, 2) u
+         on u.category = r.category and u.mail_id = r.mail_id""",
+    "j_rq", "users",
+)
+view(
+    "j_req_users",
+    """select category, mail_id, user_id from j_known
+       union all select category, mail_id, user_id from assign_user_ids""",
+    "j_known", "assign_user_ids",
+)
+view("j_users", "select distinct category, user_id from j_req_users", "j_req_users")
+view(
+    "j_feedback",
+    """select category, user_id, product_name, rating, seq from (
+         select f.*, row_number() over (partition by f.category, f.user_id, f.product_name
+                                        order by f.seq desc, f.rating desc) as rn
+         from feedback f where exists (select 1 from j_known k
+                                       where k.category = f.category and k.user_id = f.user_id))
+       where rn = 1""",
+    "feedback", "j_known",
+)
+view(
+    "j_routed",
+    """select b.category, b.user_id, i.product_id, b.rating,
+              case when i.product_id is null or b.rating is null or isnan(b.rating)
+                        or b.rating < 0 or b.rating > 5 then 'rejected'
+                   when exists (select 1 from new_products n
+                                where n.category = b.category and n.product_name = b.product_name)
+                   then 'new_product_ratings' else 'ratings' end as target
+       from j_feedback b left join product_ids i
+         on i.category = b.category and i.product_name = b.product_name""",
+    "j_feedback", "product_ids", "new_products",
+)
+view(
+    "j_ratings",
+    """select category, user_id, product_id, rating from st_ratings
+       union all select category, user_id, product_id, rating from j_routed where target = 'ratings'""",
+    "st_ratings", "j_routed",
+)
+view(
+    "j_new_ratings",
+    """select category, user_id, product_id, rating from st_new_ratings
+       union all select category, user_id, product_id, rating from j_routed
+       where target = 'new_product_ratings'""",
+    "st_new_ratings", "j_routed",
+)
+snapshot("j_", "j_ratings", "j_new_ratings")
+dispatch("j_", "j_", "j_users")
+
+ORACLES.update({
+    "scan_category": compose("select * from products where category = 'BUILDING'", "products"),
+    "parse_ratings": compose(
+        """select q.category, q.line, q.user_id, q.product_id, q.rating,
+                  case when not q.three then 'fields'
+                       when q.user_id is null or q.product_id is null or q.rating is null then 'not_a_number'
+                       when q.rating < 0 or q.rating > 5 then 'out_of_range'
+                       when k.product_id is null then 'unknown_product' end as error
+           from parsed_lines q left join (select distinct category, product_id from all_products) k
+             on k.category = q.category and k.product_id = q.product_id""",
+        "parsed_lines", "all_products"),
+    "sink_append": compose("select * from users union all select * from users", "users"),
+    "sink_overwrite": compose(
+        """select * from st_category_top
+           union all select * from est_top e
+           where not exists (select 1 from st_category_top s where s.category = e.category)""",
+        "st_category_top", "est_top"),
+    "promote_job": ORACLES["promote_products"],
+    "onboard_job": compose(
+        """select * from new_products
+           union all select a.category, a.product_id, a.product_name, m.manufacturer
+           from assign_product_ids a
+           join (select category, product_name, min(manufacturer) as manufacturer
+                 from product_requests group by 1, 2) m
+             on m.category = a.category and m.product_name = a.product_name""",
+        "new_products", "assign_product_ids", "product_requests"),
+    "recommend_job": compose(
+        """select r.category, r.mail_id, r.user_id, x.slot, x.product_id, x.product_name, x.source, x.stage
+           from j_recommend x join j_req_users r on r.category = x.category and r.user_id = x.user_id""",
+        "j_recommend", "j_req_users"),
+    "train_validate_split": compose(
+        f"""select *, case when {H("'0|' || category || '|' || cast(user_id as varchar) || '|' || cast(product_id as varchar)")} % 1000 < 700
+                          then 'train' else 'validate' end as split
+            from ratings""", "ratings"),
+    "rmse": compose(
+        """select category, round(sqrt(avg(power(rating - prediction, 2))), 6) as rmse,
+                  count(*) as n_scored
+           from mean_predictions group by 1""", "mean_predictions"),
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

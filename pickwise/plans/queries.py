@@ -11,13 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.config import DEFAULT, Config
+from pickwise.config import DEFAULT, SMOKE, Config
+from pickwise.operators import factorization as MF
 from pickwise.operators import feedback as FB
 from pickwise.operators import newproducts as NP
 from pickwise.operators import ratings as R
 from pickwise.operators import recommend as RC
 from pickwise.operators import registry as RG
+from pickwise.plans import jobs as J
 from pickwise.plans.fixtures import Fixtures
+from pickwise.session import scratch_path
+from pickwise.sources import models as M
+from pickwise.sources.tables import TableStore
+from pickwise.sources.text import check_products, parse_rating_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -295,4 +301,149 @@ def q_push_recommendations(spark, sf_dir):
     return FB.push_recommendations(RC.final_recs(fx.users, t, R.category_list(t, CFG), CFG), 0)
 
 
+# --- sources and sinks ------------------------------------------------------------------
+def _store(spark, purpose: str) -> TableStore:
+    return TableStore(spark, scratch_path(spark, purpose))
+
+
+@query("scan_category")
+def q_scan_category(spark, sf_dir):
+    """Write products partitioned by category, read one category back (pruned)."""
+    store = _store(spark, "scan_category")
+    store.append("products", _fx(spark, sf_dir).products)
+    return store.scan_category("products", "BUILDING")
+
+
+@query("parse_ratings")
+def q_parse_ratings(spark, sf_dir):
+    """Typed rating rows or a reject reason for every text line."""
+    fx = _fx(spark, sf_dir)
+    return check_products(parse_rating_lines(fx.raw_rating_lines),
+                          R.all_products(fx.products, fx.new_products))
+
+
+@query("sink_append")
+def q_sink_append(spark, sf_dir):
+    """S3: two appends of the users table, read back."""
+    store = _store(spark, "sink_append")
+    users = _fx(spark, sf_dir).users
+    store.append("users", users)
+    store.append("users", users)
+    return store.read("users")
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, sf_dir):
+    """A category list from established ratings, then the stage snapshot's list
+    overwrites the categories it has (dynamic partition overwrite), read back."""
+    fx = _fx(spark, sf_dir)
+    store = _store(spark, "sink_overwrite")
+    prods = R.all_products(fx.products, fx.new_products)
+    store.append("category_recommendation_data",
+                 R.category_top(R.mean_ratings(fx.ratings), prods, CFG.n_recs))
+    store.overwrite_categories("category_recommendation_data",
+                               R.category_list(fx.stage_tables(), CFG))
+    return store.read("category_recommendation_data")
+
+
+def _seed_store(spark, sf_dir, purpose: str) -> TableStore:
+    store = _store(spark, purpose)
+    t = _fx(spark, sf_dir).tables()
+    for attr, name in (("users", "users"), ("products", "products"),
+                       ("new_products", "new_products"), ("ratings", "ratings"),
+                       ("new_product_ratings", "new_product_ratings"),
+                       ("shown", "new_product_shown_list")):
+        store.append(name, getattr(t, attr))
+    return store
+
+
+@query("promote_job")
+def q_promote_job(spark, sf_dir):
+    """C8 + S6: promotion published as a new snapshot of four tables, read back."""
+    store = _seed_store(spark, sf_dir, "promote_job")
+    J.run_promote(store, CFG)
+    return long_form({n: store.read(n) for n in
+                      ("products", "ratings", "new_products", "new_product_ratings")})
+
+
+@query("onboard_job")
+def q_onboard_job(spark, sf_dir):
+    """Onboarding appends unseen product names to new_products, read back."""
+    store = _seed_store(spark, sf_dir, "onboard_job")
+    J.run_onboard(store, _fx(spark, sf_dir).product_requests)
+    return store.read("new_products")
+
+
+@query("recommend_job")
+def q_recommend_job(spark, sf_dir):
+    """E3 over the request table, from the stage snapshot plus this batch's feedback."""
+    fx = _fx(spark, sf_dir)
+    return J.recommend_plan(fx.user_requests, fx.feedback, fx.stage_tables(), CFG, 1).recs
+
+
+# --- factorisation ----------------------------------------------------------------------
+@query("train_validate_split")
+def q_train_validate_split(spark, sf_dir):
+    return MF.split_train_validate(_fx(spark, sf_dir).ratings, CFG)
+
+
+@query("rmse")
+def q_rmse(spark, sf_dir):
+    return MF.rmse(_fx(spark, sf_dir).mean_predictions)
+
+
+def _indexed(spark, sf_dir):
+    ix = MF.index_ratings(_fx(spark, sf_dir).ratings, SMOKE)
+    return ix, ix.data.where("split = 'train'"), ix.data.where("split = 'validate'")
+
+
+@query("als_train")
+def q_als_train(spark, sf_dir):
+    """M1: user and item factors of one fit, keyed by (category, id)."""
+    ix, train, _ = _indexed(spark, sf_dir)
+    m = MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE)
+    u = m.userFactors.withColumnRenamed("id", "u").join(ix.users, on="u").select(
+        F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), "features")
+    i = m.itemFactors.withColumnRenamed("id", "i").join(ix.items, on="i").select(
+        F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), "features")
+    return u.unionByName(i)
+
+
+@query("als_predict")
+def q_als_predict(spark, sf_dir):
+    """Validation rows with a prediction (pairs without factors drop)."""
+    ix, train, valid = _indexed(spark, sf_dir)
+    m = MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE)
+    return MF.predict(m, valid).select(*MF.USER, "product_id", "rating", "prediction")
+
+
+@query("als_grid")
+def q_als_grid(spark, sf_dir):
+    """M3: per-category validation RMSE of every grid point and the winner."""
+    return MF.grid_search(_fx(spark, sf_dir).ratings, SMOKE).grid
+
+
+@query("als_recommend")
+def q_als_recommend(spark, sf_dir):
+    """M5: top 3 products of the user's category for every rater with factors."""
+    recs, _ = MF.user_recommendations(_fx(spark, sf_dir).ratings, SMOKE)
+    return recs
+
+
+@query("als_save_load")
+def q_als_save_load(spark, sf_dir):
+    """An ALS model saved and loaded back scores the validation rows."""
+    ix, train, valid = _indexed(spark, sf_dir)
+    path = scratch_path(spark, "als_model")
+    M.save_als(MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE), path)
+    return MF.predict(M.load_als(path), valid).select(*MF.USER, "product_id", "rating", "prediction")
+
+
+@query("mf_job")
+def q_mf_job(spark, sf_dir):
+    """Grid, model save/load, user_recommendation_data replaced, read back."""
+    store = _seed_store(spark, sf_dir, "mf_job")
+    return J.run_mf(store, SMOKE)
+
+
 FLAGSHIP = "recommend"
