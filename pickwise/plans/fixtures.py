@@ -8,15 +8,19 @@ so the work grows with the tables.
 
 from __future__ import annotations
 
-from functools import cached_property
+import weakref
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.functions.topk import top_k
 from pickwise.sources.tables import Tables
 
 
+# One schema-inferring read per (session, file): every later use reuses the plan.
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def _name(name: str, key: str) -> F.Column:
     return F.concat(F.col(name), F.lit(" #"), F.col(key).cast("string"))
 
@@ -27,7 +31,11 @@ class Fixtures:
         self.sf_dir = sf_dir.rstrip("/")
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        reads = _READS.setdefault(self.spark, {})
+        if path not in reads:
+            reads[path] = self.spark.read.parquet(path)
+        return reads[path]
 
     # -- dimensions ---------------------------------------------------------------------
     @property
