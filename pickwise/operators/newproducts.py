@@ -18,7 +18,9 @@ from pickwise.config import Config
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions, group_sizes
 from pickwise.functions.topk import top_k
-from pickwise.operators.ratings import PRODUCT_KEY, mean_ratings, with_names
+from pickwise.operators.ratings import (
+    PRODUCT_KEY, mean_ratings, new_means_from_stats, with_names,
+)
 
 USER = ["category", "user_id"]
 
@@ -61,9 +63,11 @@ def promote(tables, cfg: Config) -> dict[str, DataFrame]:
 
 
 # --- pools ----------------------------------------------------------------------------
-def top_rated_new(new_product_ratings: DataFrame, new_products: DataFrame, k: int) -> DataFrame:
-    """The k new products with the best mean rating per category (ties: lower id)."""
-    means = mean_ratings(new_product_ratings)
+def top_rated_new(new_product_ratings: DataFrame | None, new_products: DataFrame, k: int,
+                  stats: DataFrame | None = None) -> DataFrame:
+    """The k new products with the best mean rating per category (ties: lower id).
+    Means come from the new-product ratings, or from ``product_stats`` when given."""
+    means = new_means_from_stats(stats) if stats is not None else mean_ratings(new_product_ratings)
     top = top_k(means, ["category"], [F.col("mean_rating").desc(), F.col("product_id")], k)
     return with_names(top, new_products).select(
         "category", "rank", "product_id", "product_name", "mean_rating"
@@ -71,12 +75,12 @@ def top_rated_new(new_product_ratings: DataFrame, new_products: DataFrame, k: in
 
 
 def least_shown_unrated(
-    new_products: DataFrame, new_product_ratings: DataFrame, shown: DataFrame, k: int
+    new_products: DataFrame, new_product_ratings: DataFrame | None, shown: DataFrame, k: int,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """T4: the k unrated new products shown least often (0 if never; ties: lower id)."""
-    unrated = new_products.join(
-        new_product_ratings.select(*PRODUCT_KEY), on=PRODUCT_KEY, how="left_anti"
-    )
+    rated = (stats.where(F.col("n_new") > 0) if stats is not None else new_product_ratings)
+    unrated = new_products.join(rated.select(*PRODUCT_KEY), on=PRODUCT_KEY, how="left_anti")
     counted = unrated.join(shown_counts(shown), on=["category", "product_name"], how="left")
     counted = counted.withColumn("n_shown", F.coalesce(F.col("n_shown"), F.lit(0)).cast("long"))
     return top_k(counted, ["category"], [F.col("n_shown"), F.col("product_id")], k).select(
@@ -106,13 +110,14 @@ def _cyclic_picks(
     )
 
 
-def new_product_recs(users: DataFrame, tables, cfg: Config) -> DataFrame:
+def new_product_recs(users: DataFrame, tables, cfg: Config,
+                     stats: DataFrame | None = None) -> DataFrame:
     """Per user ``picks_per_pool`` products from the least-shown unrated pool, then
     as many from the best-rated pool (slots continue after the unrated picks)."""
     unrated = least_shown_unrated(
-        tables.new_products, tables.new_product_ratings, tables.shown, cfg.unrated_pool
+        tables.new_products, tables.new_product_ratings, tables.shown, cfg.unrated_pool, stats
     )
-    rated = top_rated_new(tables.new_product_ratings, tables.new_products, cfg.rated_pool)
+    rated = top_rated_new(tables.new_product_ratings, tables.new_products, cfg.rated_pool, stats)
     k = cfg.picks_per_pool
     return _cyclic_picks(users, unrated, k, "unrated", cfg, 0, "new_unrated").unionByName(
         _cyclic_picks(users, rated, k, "rated", cfg, k, "new_rated")

@@ -40,6 +40,38 @@ def mean_ratings(ratings: DataFrame) -> DataFrame:
     )
 
 
+def product_stats(ratings: DataFrame, new_product_ratings: DataFrame) -> DataFrame:
+    """One pass over both rating tables: per product, sum and count of all its ratings
+    and of those in the new-product table. Every rating aggregate of a recommendation
+    batch (stage counts, category list, new-product pools) is derived from this table,
+    which has one row per rated product however many ratings there are."""
+    r = ratings.select(*PRODUCT_KEY, "rating", F.lit(False).alias("_new")).unionByName(
+        new_product_ratings.select(*PRODUCT_KEY, "rating", F.lit(True).alias("_new"))
+    )
+    return r.groupBy(*PRODUCT_KEY).agg(
+        F.sum("rating").alias("sum_all"),
+        F.count(F.lit(1)).alias("n_all"),
+        F.sum(F.when(F.col("_new"), F.col("rating"))).alias("sum_new"),
+        F.count(F.when(F.col("_new"), F.lit(1))).alias("n_new"),
+    )
+
+
+def means_from_stats(stats: DataFrame) -> DataFrame:
+    """A1 from the summary: mean over both tables."""
+    return stats.select(
+        *PRODUCT_KEY, (F.col("sum_all") / F.col("n_all")).alias("mean_rating"),
+        F.col("n_all").alias("n_ratings"),
+    )
+
+
+def new_means_from_stats(stats: DataFrame) -> DataFrame:
+    """A2 from the summary: mean over the new-product table, rated products only."""
+    return stats.where(F.col("n_new") > 0).select(
+        *PRODUCT_KEY, (F.col("sum_new") / F.col("n_new")).alias("mean_rating"),
+        F.col("n_new").alias("n_ratings"),
+    )
+
+
 def with_names(df: DataFrame, products: DataFrame) -> DataFrame:
     """Attach product_name by (category, product_id)."""
     names = products.select(*PRODUCT_KEY, "product_name")
@@ -58,10 +90,12 @@ def category_top(means: DataFrame, products: DataFrame, k: int) -> DataFrame:
     )
 
 
-def category_list(tables, cfg: Config) -> DataFrame:
+def category_list(tables, cfg: Config, stats: DataFrame | None = None) -> DataFrame:
     """The stored category list: top ``n_recs`` by mean over both rating tables."""
-    r = all_ratings(tables.ratings, tables.new_product_ratings)
     p = all_products(tables.products, tables.new_products)
+    if stats is not None:
+        return category_top(means_from_stats(stats), p, cfg.n_recs)
+    r = all_ratings(tables.ratings, tables.new_product_ratings)
     return category_top(mean_ratings(r), p, cfg.n_recs)
 
 
@@ -79,12 +113,17 @@ def categories(*dfs: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def category_stage(category_dim: DataFrame, ratings: DataFrame, cfg: Config) -> DataFrame:
+def category_stage(category_dim: DataFrame, ratings: DataFrame | None, cfg: Config,
+                   stats: DataFrame | None = None) -> DataFrame:
     """Rating count per category (0 when it has none) and its stage.
 
     stage 1: n < stage1; stage 2: stage1 <= n < stage2; stage 3: otherwise.
+    Counts come from the rating rows, or from ``product_stats`` when given.
     """
-    counts = ratings.groupBy("category").agg(F.count(F.lit(1)).alias("n_ratings"))
+    if stats is not None:
+        counts = stats.groupBy("category").agg(F.sum("n_all").alias("n_ratings"))
+    else:
+        counts = ratings.groupBy("category").agg(F.count(F.lit(1)).alias("n_ratings"))
     n = F.coalesce(F.col("n_ratings"), F.lit(0)).cast("long")
     return (
         category_dim.join(counts, on="category", how="left")

@@ -15,8 +15,10 @@ from pickwise.config import Config
 from pickwise.functions.topk import top_k
 from pickwise.operators import newproducts as NP
 from pickwise.operators.ratings import (
-    all_products, all_ratings, categories, category_list, category_stage, recut, with_names,
+    all_products, all_ratings, categories, category_list, category_stage, product_stats, recut,
+    with_names,
 )
+from pickwise.session import cut_lineage
 from pickwise.operators.registry import has_ratings
 
 USER = ["category", "user_id"]
@@ -36,11 +38,12 @@ def initial_recs(users: DataFrame, tables, cfg: Config) -> DataFrame:
     return NP.sample_new(users, tables.new_products, cfg)
 
 
-def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config) -> DataFrame:
+def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
+             stats: DataFrame | None = None) -> DataFrame:
     """C5 (stage 2): the first ``n_recs - n_new`` of the category list, then the new
     product picks. A product already listed keeps its first slot; the list closes up."""
     est = _list_for_users(users, recut(category_recs, cfg.n_established), "category")
-    new = NP.new_product_recs(users, tables, cfg).withColumn(
+    new = NP.new_product_recs(users, tables, cfg, stats).withColumn(
         "slot", F.col("slot") + cfg.n_established
     )
     both = est.unionByName(new)
@@ -69,13 +72,22 @@ def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config)
     return als.unionByName(_list_for_users(fallback, category_recs, "category"))
 
 
-def stages(tables, cfg: Config, *extra_category_sources: DataFrame) -> DataFrame:
+def stages(tables, cfg: Config, *extra_category_sources: DataFrame,
+           stats: DataFrame | None = None) -> DataFrame:
     """C2 over the snapshot; the category dimension also covers categories with no
     ratings at all (and any request tables given)."""
     dim = categories(tables.users, tables.products, tables.new_products, *extra_category_sources)
+    if stats is not None:
+        return category_stage(dim, None, cfg, stats)
     return category_stage(dim, all_ratings(tables.ratings, tables.new_product_ratings), cfg)
 
 
+def snapshot_stats(tables) -> DataFrame:
+    """The per-product rating summary of a snapshot, written once to the shared folder
+    so that every strategy of the batch reads it instead of rescanning the ratings."""
+    return cut_lineage(product_stats(tables.ratings, tables.new_product_ratings))
+
+
 def recommend(
     users: DataFrame,
     tables,
@@ -84,17 +96,18 @@ def recommend(
     category_recs: DataFrame | None = None,
 ) -> DataFrame:
     """Dispatch every requested (category, user_id) by the stage of its category."""
+    stats = snapshot_stats(tables)
     if stage is None:
-        stage = stages(tables, cfg, users)
+        stage = stages(tables, cfg, users, stats=stats)
     if category_recs is None:
         category_recs = tables.category_recs if tables.category_recs is not None else (
-            category_list(tables, cfg)
+            category_list(tables, cfg, stats)
         )
     staged = users.select(*USER).join(stage.select("category", "stage"), on="category")
     by = lambda s: staged.where(F.col("stage") == s).select(*USER)
     out = (
         initial_recs(by(1), tables, cfg).withColumn("stage", F.lit(1))
-        .unionByName(mid_recs(by(2), tables, category_recs, cfg).withColumn("stage", F.lit(2)))
+        .unionByName(mid_recs(by(2), tables, category_recs, cfg, stats).withColumn("stage", F.lit(2)))
         .unionByName(final_recs(by(3), tables, category_recs, cfg).withColumn("stage", F.lit(3)))
     )
     return out.withColumn("stage", F.col("stage").cast("long"))

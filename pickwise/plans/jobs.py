@@ -22,7 +22,7 @@ from pickwise.operators import feedback as FB
 from pickwise.operators import newproducts as NP
 from pickwise.operators import registry as RG
 from pickwise.operators.ratings import category_list
-from pickwise.operators.recommend import recommend, stages
+from pickwise.operators.recommend import recommend
 from pickwise.sources import models
 from pickwise.session import cut_lineage
 from pickwise.sources.tables import TableStore, Tables
@@ -60,9 +60,7 @@ def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg
             FB.routed_rows(routed, FB.TARGET_NEW)
         ),
     )
-    stage = stages(snap, cfg, rq)
-    cat_recs = snap.category_recs if snap.category_recs is not None else category_list(snap, cfg)
-    recs = recommend(req_users.select("category", "user_id"), snap, cfg, stage, cat_recs)
+    recs = recommend(req_users.select("category", "user_id"), snap, cfg)
     out = recs.join(req_users, on=["category", "user_id"]).select(
         "category", "mail_id", "user_id", "slot", "product_id", "product_name", "source", "stage"
     )

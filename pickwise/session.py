@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,6 +55,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: survives executor loss and fixes
-    the row-to-partition assignment of ``df`` for every later reader."""
+    the row-to-partition assignment of ``df`` for every later reader.
+
+    The plan is persisted (memory, spilling to disk) while the checkpoint is written,
+    so it runs once rather than once for the count and again for the files."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

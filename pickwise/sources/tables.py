@@ -104,8 +104,8 @@ class TableStore:
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
 
-    def _commit(self, versions: dict[str, int]) -> None:
-        commit_id = uuid.uuid4().hex
+    def _commit(self, versions: dict[str, int], commit_id: str | None = None) -> None:
+        commit_id = commit_id or uuid.uuid4().hex
         rows = [(t, v, commit_id) for t, v in sorted(versions.items())]
         (
             self.spark.createDataFrame(rows, "table string, version long, commit_id string")
@@ -114,6 +114,15 @@ class TableStore:
             .parquet(f"{self.root}/_commits")
         )
 
+    def committed(self, commit_id: str) -> bool:
+        """Whether a commit with this id exists (used to make replays idempotent)."""
+        c = self._commits()
+        return c is not None and c.where(F.col("commit_id") == commit_id).limit(1).count() > 0
+
+    def mark(self, table: str, commit_id: str) -> None:
+        """Record ``commit_id`` against the current version of ``table``."""
+        self._commit({table: self._ensure(table)}, commit_id)
+
     # -- read (S1) ---------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         schema = schemas.TABLES[table]

@@ -1,0 +1,24 @@
+import tempfile
+
+from conftest import rows
+
+from pickwise.sources.tables import TableStore
+from pickwise.streaming import feedback_stream as FS
+
+
+def test_feedback_stream_routes_and_replay_is_skipped(spark, df):
+    root = tempfile.mkdtemp(prefix="pickwise-stream-")
+    store = TableStore(spark, root)
+    store.append("products", df([("A", 1, "old", "m")], "PRODUCTS"))
+    store.append("new_products", df([("A", 2, "new", "m")], "PRODUCTS"))
+    src = tempfile.mkdtemp(prefix="pickwise-src-")
+    df([("A", 7, "old", 4.0, 1), ("A", 7, "new", 2.0, 1), ("A", 7, "ghost", 3.0, 1),
+        ("A", 8, "old", 1.0, 1), ("A", 8, "old", 5.0, 2)], "FEEDBACK").write.parquet(src + "/b1")
+    q = FS.start(spark, src + "/*", store, available_now=True)
+    q.awaitTermination(120)
+    assert rows(store.read("ratings"), "user_id", "product_id", "rating") == [(7, 1, 4.0), (8, 1, 5.0)]
+    assert rows(store.read("new_product_ratings"), "user_id", "product_id") == [(7, 2)]
+    assert spark.read.parquet(root + "/" + FS.REJECTS).count() == 1
+    # the same micro-batch applied again (a replay) changes nothing
+    FS.apply_feedback(store, df([("A", 9, "old", 4.0, 1)], "FEEDBACK"), "feedback-0")
+    assert store.read("ratings").count() == 2
