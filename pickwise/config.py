@@ -43,8 +43,12 @@ class Config:
     als_checkpoint_interval: int = 10
     # rows per factor block in top-k scoring (user side and item side)
     score_block_rows: int = 4096
-    # files written per category partition by the sinks
-    files_per_category: int = 1
+    # files written per category partition by the sinks (0: no extra shuffle)
+    files_per_category: int = 0
+    # largest per-category table (rows) broadcast to a per-user join
+    broadcast_rows: int = 2_000_000
+    # largest item-factor payload (bytes) broadcast to the scoring join
+    score_broadcast_bytes: int = 256 << 20
 
     @property
     def n_established(self) -> int:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.functions.broadcast import checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
@@ -66,8 +67,8 @@ def dense_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
     """(key..., out INT) over the distinct keys, numbered in key order across the cluster."""
     distinct = keys.select(*key).distinct()
     idx = dense_positions(distinct, [], key, out)
-    checked = F.when(F.col(out) > INT_MAX, F.raise_error(F.lit("too many ids for ALS")))
-    return idx.withColumn(out, F.coalesce(checked.cast("long"), F.col(out)).cast("int"))
+    guard = F.when(F.col(out) > INT_MAX, F.raise_error(F.lit("too many ids for ALS")))
+    return idx.withColumn(out, F.coalesce(guard.cast("long"), F.col(out)).cast("int"))
 
 
 @dataclass
@@ -171,10 +172,11 @@ def winning_factors(res: GridResult) -> tuple[DataFrame, DataFrame]:
         cats = spark.createDataFrame(
             [(c,) for c, g in sorted(res.winners.items()) if g == gi], "category string"
         )
+        # ``cats`` is built from the driver-held winner list: at most one row per category
         uf = model.userFactors.withColumnRenamed("id", "u").join(res.index.users, on="u").join(
-            cats, on="category", how="left_semi").select(*USER, "features")
+            F.broadcast(cats), on="category", how="left_semi").select(*USER, "features")
         itf = model.itemFactors.withColumnRenamed("id", "i").join(res.index.items, on="i").join(
-            cats, on="category", how="left_semi").select(*ITEM, "features")
+            F.broadcast(cats), on="category", how="left_semi").select(*ITEM, "features")
         users = uf if users is None else users.unionByName(uf)
         items = itf if items is None else items.unionByName(itf)
     if users is None:
@@ -185,18 +187,19 @@ def winning_factors(res: GridResult) -> tuple[DataFrame, DataFrame]:
 
 # --- M5: top-k scoring in blocks -----------------------------------------------------------
 def _blocks(factors: DataFrame, id_col: str, block_rows: int, prefix: str) -> DataFrame:
-    """(category, <prefix>_ids, <prefix>_feats): factors packed into blocks of about
-    ``block_rows`` rows; the number of blocks of a category grows with its size."""
-    sizes = factors.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
+    """(category, <prefix>_blk, <prefix>_ids, <prefix>_feats): factors packed into blocks
+    of about ``block_rows`` rows; the number of blocks of a category grows with its size."""
+    sizes = checked(factors.groupBy("category").agg(F.count(F.lit(1)).alias("_n")))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows)))
+    blk = f"{prefix}_blk"
     packed = (
         factors.join(sizes, on="category")
-        .withColumn("_b", F.pmod(F.xxhash64(F.col(id_col)), nb))
-        .groupBy("category", "_b")
+        .withColumn(blk, F.pmod(F.xxhash64(F.col(id_col)), nb))
+        .groupBy("category", blk)
         .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "features")).alias("_blk"))
     )
     return packed.select(
-        "category",
+        "category", blk,
         F.transform("_blk", lambda s: s["id"]).alias(f"{prefix}_ids"),
         F.transform("_blk", lambda s: s["features"]).alias(f"{prefix}_feats"),
     )
@@ -242,8 +245,18 @@ def recommend_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cf
     (category, user_id, product_id, score, rank); ties go to the lower product id."""
     ub = _blocks(user_factors, "user_id", cfg.score_block_rows, "u")
     ib = _blocks(item_factors, "product_id", cfg.score_block_rows, "i")
-    pairs = ub.join(ib, on="category")
-    cand = pairs.mapInPandas(
+    n_items, width = item_factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    if (n_items or 0) * ((width or 0) * 4 + 16) <= cfg.score_broadcast_bytes:
+        # every item factor fits a broadcast: user blocks stay where they are
+        pairs = ub.join(F.broadcast(ib), on="category")
+    else:
+        # one copy of each item block per user block of its category, met on
+        # (category, user block): a large category is scored by all its user blocks
+        ukeys = ub.select("category", "u_blk")
+        n_ublocks = ukeys.count()
+        small = F.broadcast if n_ublocks <= cfg.broadcast_rows else (lambda d: d)
+        pairs = ub.join(ib.join(small(ukeys), on="category"), on=["category", "u_blk"])
+    cand = pairs.select("category", "u_ids", "u_feats", "i_ids", "i_feats").mapInPandas(
         _top_pairs(k), "category string, user_id long, product_id long, score double"
     )
     return top_k(cand, USER, [F.col("score").desc(), F.col("product_id")], k)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.functions.broadcast import Broadcaster, checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions, group_sizes
 from pickwise.functions.topk import top_k
@@ -89,7 +90,8 @@ def least_shown_unrated(
 
 
 def _cyclic_picks(
-    users: DataFrame, pool: DataFrame, picks: int, salt: str, cfg: Config, slot0: int, source: str
+    users: DataFrame, pool: DataFrame, picks: int, salt: str, cfg: Config, slot0: int, source: str,
+    bc: Broadcaster = checked,
 ) -> DataFrame:
     """``picks`` distinct pool entries per user: start at H(seed|salt|category|user) mod
     size and walk the pool's ``rank`` order cyclically. Empty pool: no rows."""
@@ -97,12 +99,12 @@ def _cyclic_picks(
     start = F.pmod(seeded(cfg.sample_seed, F.lit(salt), F.col("category"), F.col("user_id")),
                    F.col("_size"))
     steps = F.sequence(F.lit(0), F.least(F.lit(picks), F.col("_size")) - 1)
-    walk = users.select(*USER).join(sizes, on="category", how="inner").select(
+    walk = users.select(*USER).join(bc(sizes), on="category", how="inner").select(
         *USER, "_size", start.alias("_start"), F.explode(steps).alias("_i")
     )
     walk = walk.withColumn("rank", (F.pmod(F.col("_start") + F.col("_i"), F.col("_size")) + 1)
                            .cast("long"))
-    return walk.join(pool.select("category", "rank", "product_id", "product_name"),
+    return walk.join(bc(pool.select("category", "rank", "product_id", "product_name")),
                      on=["category", "rank"], how="inner").select(
         *USER,
         (F.lit(slot0) + F.col("_i")).cast("long").alias("slot"),
@@ -111,7 +113,7 @@ def _cyclic_picks(
 
 
 def new_product_recs(users: DataFrame, tables, cfg: Config,
-                     stats: DataFrame | None = None) -> DataFrame:
+                     stats: DataFrame | None = None, bc: Broadcaster = checked) -> DataFrame:
     """Per user ``picks_per_pool`` products from the least-shown unrated pool, then
     as many from the best-rated pool (slots continue after the unrated picks)."""
     unrated = least_shown_unrated(
@@ -119,8 +121,8 @@ def new_product_recs(users: DataFrame, tables, cfg: Config,
     )
     rated = top_rated_new(tables.new_product_ratings, tables.new_products, cfg.rated_pool, stats)
     k = cfg.picks_per_pool
-    return _cyclic_picks(users, unrated, k, "unrated", cfg, 0, "new_unrated").unionByName(
-        _cyclic_picks(users, rated, k, "rated", cfg, k, "new_rated")
+    return _cyclic_picks(users, unrated, k, "unrated", cfg, 0, "new_unrated", bc).unionByName(
+        _cyclic_picks(users, rated, k, "rated", cfg, k, "new_rated", bc)
     )
 
 
@@ -130,7 +132,8 @@ def exposures(recs: DataFrame) -> DataFrame:
 
 
 # --- sampling -------------------------------------------------------------------------
-def sample_new(users: DataFrame, new_products: DataFrame, cfg: Config) -> DataFrame:
+def sample_new(users: DataFrame, new_products: DataFrame, cfg: Config,
+               bc: Broadcaster = checked) -> DataFrame:
     """T5: ``n_recs`` distinct new products per user, without replacement.
 
     New products are placed in hash order per category (position 0..n-1, distributed
@@ -146,7 +149,7 @@ def sample_new(users: DataFrame, new_products: DataFrame, cfg: Config) -> DataFr
     )
     sizes = group_sizes(new_products, ["category"], "_size")
     start = F.pmod(seeded(cfg.sample_seed, F.col("category"), F.col("user_id")), F.col("_size"))
-    walk = users.select(*USER).join(sizes, on="category", how="inner").select(
+    walk = users.select(*USER).join(bc(sizes), on="category", how="inner").select(
         *USER, "_size", start.alias("_start"),
         F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("_size")) - 1)).alias("slot"),
     ).withColumn("_pos", F.pmod(F.col("_start") + F.col("slot"), F.col("_size")))

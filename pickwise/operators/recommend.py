@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.functions.broadcast import Broadcaster, bounded, checked
 from pickwise.functions.topk import top_k
 from pickwise.operators import newproducts as NP
 from pickwise.operators.ratings import (
@@ -25,25 +26,26 @@ USER = ["category", "user_id"]
 REC_COLS = ["category", "user_id", "slot", "product_id", "product_name", "source"]
 
 
-def _list_for_users(users: DataFrame, lst: DataFrame, source: str) -> DataFrame:
+def _list_for_users(users: DataFrame, lst: DataFrame, source: str,
+                    bc: Broadcaster = checked) -> DataFrame:
     """Give every user the per-category list ``lst`` (rank 1 -> slot 0)."""
-    return users.select(*USER).join(lst, on="category", how="inner").select(
+    return users.select(*USER).join(bc(lst), on="category", how="inner").select(
         *USER, (F.col("rank") - 1).cast("long").alias("slot"), "product_id", "product_name",
         F.lit(source).alias("source"),
     )
 
 
-def initial_recs(users: DataFrame, tables, cfg: Config) -> DataFrame:
+def initial_recs(users: DataFrame, tables, cfg: Config, bc: Broadcaster = checked) -> DataFrame:
     """C4 (stage 1): a hash-order sample of new products."""
-    return NP.sample_new(users, tables.new_products, cfg)
+    return NP.sample_new(users, tables.new_products, cfg, bc)
 
 
 def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
-             stats: DataFrame | None = None) -> DataFrame:
+             stats: DataFrame | None = None, bc: Broadcaster = checked) -> DataFrame:
     """C5 (stage 2): the first ``n_recs - n_new`` of the category list, then the new
     product picks. A product already listed keeps its first slot; the list closes up."""
-    est = _list_for_users(users, recut(category_recs, cfg.n_established), "category")
-    new = NP.new_product_recs(users, tables, cfg, stats).withColumn(
+    est = _list_for_users(users, recut(category_recs, cfg.n_established), "category", bc)
+    new = NP.new_product_recs(users, tables, cfg, stats, bc).withColumn(
         "slot", F.col("slot") + cfg.n_established
     )
     both = est.unionByName(new)
@@ -54,7 +56,8 @@ def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
     return first.withColumn("slot", (F.row_number().over(w) - 1).cast("long")).select(*REC_COLS)
 
 
-def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config) -> DataFrame:
+def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
+               bc: Broadcaster = checked) -> DataFrame:
     """C6 (stage 3): the user's ALS rows when the user has ratings and ALS rows;
     otherwise the category list."""
     rated = has_ratings(users, all_ratings(tables.ratings, tables.new_product_ratings)).where(
@@ -69,7 +72,7 @@ def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config)
         F.lit("als").alias("source"),
     )
     fallback = users.select(*USER).join(als.select(*USER).distinct(), on=USER, how="left_anti")
-    return als.unionByName(_list_for_users(fallback, category_recs, "category"))
+    return als.unionByName(_list_for_users(fallback, category_recs, "category", bc))
 
 
 def stages(tables, cfg: Config, *extra_category_sources: DataFrame,
@@ -99,15 +102,21 @@ def recommend(
     stats = snapshot_stats(tables)
     if stage is None:
         stage = stages(tables, cfg, users, stats=stats)
+    # one row per category: its count bounds every per-category list and pool
+    stage = cut_lineage(stage.select("category", "stage"))
+    per_cat = max(cfg.n_recs, cfg.unrated_pool, cfg.rated_pool, 1)
+    bc = bounded(stage.count(), per_cat, cfg.broadcast_rows)
     if category_recs is None:
         category_recs = tables.category_recs if tables.category_recs is not None else (
             category_list(tables, cfg, stats)
         )
-    staged = users.select(*USER).join(stage.select("category", "stage"), on="category")
+    staged = users.select(*USER).join(bc(stage), on="category")
     by = lambda s: staged.where(F.col("stage") == s).select(*USER)
     out = (
-        initial_recs(by(1), tables, cfg).withColumn("stage", F.lit(1))
-        .unionByName(mid_recs(by(2), tables, category_recs, cfg, stats).withColumn("stage", F.lit(2)))
-        .unionByName(final_recs(by(3), tables, category_recs, cfg).withColumn("stage", F.lit(3)))
+        initial_recs(by(1), tables, cfg, bc).withColumn("stage", F.lit(1))
+        .unionByName(mid_recs(by(2), tables, category_recs, cfg, stats, bc)
+                     .withColumn("stage", F.lit(2)))
+        .unionByName(final_recs(by(3), tables, category_recs, cfg, bc)
+                     .withColumn("stage", F.lit(3)))
     )
     return out.withColumn("stage", F.col("stage").cast("long"))

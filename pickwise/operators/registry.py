@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.functions.broadcast import checked
 from pickwise.functions.sequence import dense_positions
 from pickwise.operators.ratings import all_products
 
@@ -28,7 +29,7 @@ def _flag(requests: DataFrame, keys: DataFrame, on: list[str], name: str) -> Dat
 
 def _next_ids(unseen: DataFrame, existing_ids: DataFrame, id_col: str, order: str) -> DataFrame:
     """``unseen`` distinct (category, order) rows numbered after the category's max id."""
-    top = existing_ids.groupBy("category").agg(F.max(id_col).alias("_max"))
+    top = checked(existing_ids.groupBy("category").agg(F.max(id_col).alias("_max")))
     ranked = dense_positions(unseen, ["category"], [order], "_pos")
     return ranked.join(top, on="category", how="left").withColumn(
         id_col, (F.coalesce(F.col("_max"), F.lit(0)) + F.col("_pos") + 1).cast("long")

