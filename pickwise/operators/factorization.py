@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
@@ -28,7 +28,7 @@ from pickwise.functions.broadcast import checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
-from pickwise.session import shared_dir
+from pickwise.session import cut_lineage, shared_dir
 
 USER = ["category", "user_id"]
 ITEM = ["category", "product_id"]
@@ -62,7 +62,7 @@ def rmse(scored: DataFrame, by: list[str] | None = None, label: str = "rating",
     )
 
 
-# --- dense indexes ------------------------------------------------------------------------
+# --- integer ids for ALS ----------------------------------------------------------------
 def dense_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
     """(key..., out INT) over the distinct keys, numbered in key order across the cluster."""
     distinct = keys.select(*key).distinct()
@@ -71,6 +71,29 @@ def dense_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
     return idx.withColumn(out, F.coalesce(guard.cast("long"), F.col(out)).cast("int"))
 
 
+def packed_index(keys: DataFrame, key: list[str], out: str) -> DataFrame | None:
+    """(key..., out INT) as ``offset(category) + id`` when every id is non-negative and
+    the categories' id ranges, laid end to end, fit in an int; else None.
+
+    Needs only a per-category max/min (one small aggregate), no sort of the keys."""
+    cat, idc = key
+    ranges = keys.groupBy(cat).agg(F.max(idc).alias("_hi"), F.min(idc).alias("_lo"))
+    w = Window.orderBy(cat).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = checked(ranges.withColumn(
+        "_off", F.coalesce(F.sum(F.col("_hi") + 1).over(w), F.lit(0))
+    ))
+    top, low = offsets.agg(F.max(F.col("_off") + F.col("_hi")), F.min("_lo")).first()
+    if top is None or low is None or low < 0 or top > INT_MAX:
+        return None
+    return keys.select(*key).distinct().join(offsets.select(cat, "_off"), on=cat).select(
+        *key, (F.col("_off") + F.col(idc)).cast("int").alias(out)
+    )
+
+
+def int_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
+    return packed_index(keys, key, out) or dense_index(keys, key, out)
+
+
 @dataclass
 class Indexed:
     data: DataFrame        # category, user_id, product_id, rating, split, u, i
@@ -79,8 +102,11 @@ class Indexed:
 
 
 def index_ratings(ratings: DataFrame, cfg: Config) -> Indexed:
-    users = dense_index(ratings, USER, "u")
-    items = dense_index(ratings, ITEM, "i")
+    """Ratings with their split and integer ids. The two id tables (one row per user and
+    per product) are written once to the shared folder: training, prediction and the
+    mapping of factors back to (category, id) all read them."""
+    users = cut_lineage(int_index(ratings, USER, "u"))
+    items = cut_lineage(int_index(ratings, ITEM, "i"))
     data = (
         split_train_validate(ratings.select(*USER, "product_id", "rating"), cfg)
         .join(users, on=USER)
@@ -205,60 +231,92 @@ def _blocks(factors: DataFrame, id_col: str, block_rows: int, prefix: str) -> Da
     )
 
 
+def _topk_rows(uids, U, iids, V, k: int):
+    """Exact top-k of U @ V.T per row, ties to the lower item id: every column scoring at
+    least the k-th best (ties included), sorted by (row, -score, id), k kept per row."""
+    S = U @ V.T
+    kk = min(k, len(iids))
+    kth = np.partition(S, S.shape[1] - kk, axis=1)[:, S.shape[1] - kk]
+    rows, cols = np.nonzero(S >= kth[:, None])
+    vals = S[rows, cols]
+    order = np.lexsort((iids[cols], -vals, rows))
+    rows, cols, vals = rows[order], cols[order], vals[order]
+    pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    keep = pos < kk
+    return uids[rows[keep]], iids[cols[keep]], vals[keep], pos[keep] + 1
+
+
+def _frame(cat, u, i, v, r) -> pd.DataFrame:
+    return pd.DataFrame({"category": np.full(len(u), cat, dtype=object), "user_id": u,
+                         "product_id": i, "score": v, "rank": r.astype(np.int64)})
+
+
 def _top_pairs(k: int):
+    """mapInPandas body for block pairs (category, u_ids, u_feats, i_ids, i_feats)."""
     def score(batches):
         for pdf in batches:
-            cats, us, its, scs = [], [], [], []
             for cat, uids, ufe, iids, ife in zip(
                 pdf["category"], pdf["u_ids"], pdf["u_feats"], pdf["i_ids"], pdf["i_feats"]
             ):
-                uids = np.asarray(uids, dtype=np.int64)
-                iids = np.asarray(iids, dtype=np.int64)
-                U = np.stack(ufe).astype(np.float64)
-                V = np.stack(ife).astype(np.float64)
-                S = U @ V.T
-                kk = min(k, len(iids))
-                # every column scoring at least the k-th best (ties included), then
-                # sort by (user, -score, product id) and keep k per user: exact top-k
-                kth = np.partition(S, S.shape[1] - kk, axis=1)[:, S.shape[1] - kk]
-                rows, cols = np.nonzero(S >= kth[:, None])
-                vals = S[rows, cols]
-                order = np.lexsort((iids[cols], -vals, rows))
-                rows, cols, vals = rows[order], cols[order], vals[order]
-                pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-                keep = pos < kk
-                cats.append(np.full(int(keep.sum()), cat, dtype=object))
-                us.append(uids[rows[keep]])
-                its.append(iids[cols[keep]])
-                scs.append(vals[keep])
-            if cats:
-                yield pd.DataFrame({
-                    "category": np.concatenate(cats), "user_id": np.concatenate(us),
-                    "product_id": np.concatenate(its), "score": np.concatenate(scs),
-                })
+                yield _frame(cat, *_topk_rows(
+                    np.asarray(uids, dtype=np.int64), np.stack(ufe).astype(np.float64),
+                    np.asarray(iids, dtype=np.int64), np.stack(ife).astype(np.float64), k))
 
     return score
 
 
+def _item_matrices(item_factors: DataFrame) -> dict:
+    """Item factors per category as numpy arrays; callers check the size first."""
+    pdf = item_factors.select("category", "product_id", "features").toPandas()
+    return {
+        cat: (g["product_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64))
+        for cat, g in pdf.groupby("category")
+    }
+
+
+def _score_users(items, k: int):
+    """mapInPandas body for user factor rows against broadcast item matrices."""
+    def score(batches):
+        mats = items.value
+        for pdf in batches:
+            for cat, g in pdf.groupby("category"):
+                if cat not in mats:
+                    continue
+                iids, V = mats[cat]
+                yield _frame(cat, *_topk_rows(
+                    g["user_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64),
+                    iids, V, k))
+
+    return score
+
+
+SCORED = "category string, user_id long, product_id long, score double, rank long"
+
+
 def recommend_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cfg: Config) -> DataFrame:
     """M5: the k best products of the user's own category for every user with factors:
-    (category, user_id, product_id, score, rank); ties go to the lower product id."""
+    (category, user_id, product_id, score, rank); ties go to the lower product id.
+
+    Item factors under ``score_broadcast_bytes`` (counted first) are broadcast as numpy
+    matrices and users are scored where they are: one matrix product per category per
+    Arrow batch, nothing shuffled. Beyond that, factors are packed into blocks and every
+    item block is paired with each user block of its category on (category, user block);
+    the top k per user per pair leaves the task and a final top-k merges the pairs.
+    """
+    n_items, width = item_factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    if (n_items or 0) * ((width or 0) * 8 + 16) <= cfg.score_broadcast_bytes:
+        items = user_factors.sparkSession.sparkContext.broadcast(_item_matrices(item_factors))
+        return user_factors.select("category", "user_id", "features").mapInPandas(
+            _score_users(items, k), SCORED
+        )
     ub = _blocks(user_factors, "user_id", cfg.score_block_rows, "u")
     ib = _blocks(item_factors, "product_id", cfg.score_block_rows, "i")
-    n_items, width = item_factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
-    if (n_items or 0) * ((width or 0) * 4 + 16) <= cfg.score_broadcast_bytes:
-        # every item factor fits a broadcast: user blocks stay where they are
-        pairs = ub.join(F.broadcast(ib), on="category")
-    else:
-        # one copy of each item block per user block of its category, met on
-        # (category, user block): a large category is scored by all its user blocks
-        ukeys = ub.select("category", "u_blk")
-        n_ublocks = ukeys.count()
-        small = F.broadcast if n_ublocks <= cfg.broadcast_rows else (lambda d: d)
-        pairs = ub.join(ib.join(small(ukeys), on="category"), on=["category", "u_blk"])
+    ukeys = ub.select("category", "u_blk")
+    small = F.broadcast if ukeys.count() <= cfg.broadcast_rows else (lambda d: d)
+    pairs = ub.join(ib.join(small(ukeys), on="category"), on=["category", "u_blk"])
     cand = pairs.select("category", "u_ids", "u_feats", "i_ids", "i_feats").mapInPandas(
-        _top_pairs(k), "category string, user_id long, product_id long, score double"
-    )
+        _top_pairs(k), SCORED
+    ).drop("rank")
     return top_k(cand, USER, [F.col("score").desc(), F.col("product_id")], k)
 
 

@@ -93,3 +93,16 @@ def test_replicated_block_path_equals_broadcast_path(planted):
     a = {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, CFG).collect()}
     b = {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, CFG.with_(score_broadcast_bytes=0)).collect()}
     assert a == b and len(a) == 3 * 3 * 80 - sum(1 for _ in []) or len(a) > 0
+
+
+def test_packed_and_dense_indexes_are_injective(spark):
+    keys = spark.createDataFrame([("A", 5), ("A", 0), ("B", 5), ("C", 2), ("B", 9)],
+                                 "category string, user_id long")
+    for idx in (MF.packed_index(keys, MF.USER, "u"), MF.dense_index(keys, MF.USER, "u")):
+        got = {(r["category"], r["user_id"]): r["u"] for r in idx.collect()}
+        assert len(got) == 5 and len(set(got.values())) == 5
+        assert all(0 <= v < 2**31 for v in got.values())
+    neg = spark.createDataFrame([("A", -1)], "category string, user_id long")
+    assert MF.packed_index(neg, MF.USER, "u") is None
+    big = spark.createDataFrame([("A", 2**31), ("B", 1)], "category string, user_id long")
+    assert MF.packed_index(big, MF.USER, "u") is None
