@@ -560,6 +560,7 @@ ORACLES.update({
            where not exists (select 1 from st_category_top s where s.category = e.category)""",
         "st_category_top", "est_top"),
     "promote_job": ORACLES["promote_products"],
+    "categorical_job": ORACLES["category_top"],
     "onboard_job": compose(
         """select * from new_products
            union all select a.category, a.product_id, a.product_name, m.manufacturer

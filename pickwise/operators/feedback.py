@@ -35,12 +35,12 @@ def route_feedback(feedback: DataFrame, products: DataFrame, new_products: DataF
     """Where each feedback rating goes.
 
     The target table is decided by whether the name is in ``new_products`` (R9); the id
-    by the established-first lookup (R6). Unknown names, missing ratings and ratings
-    outside [0, 5] go to the reject table with a reason.
+    by the established-first lookup (R6); both come from one lookup table, so feedback is
+    joined once. Unknown names, missing ratings and ratings outside [0, 5] go to the
+    reject table with a reason.
     """
-    ids = product_ids(products, new_products).select("category", "product_name", "product_id")
-    in_new = new_products.select("category", "product_name").distinct().withColumn(
-        "_new", F.lit(True)
+    ids = product_ids(products, new_products).select(
+        "category", "product_name", "product_id", F.col("in_new").alias("_new")
     )
     r = F.col("rating")
     reason = (
@@ -48,14 +48,12 @@ def route_feedback(feedback: DataFrame, products: DataFrame, new_products: DataF
         .when(r.isNull() | F.isnan(r), F.lit(ERR_MISSING))
         .when((r < RATING_MIN) | (r > RATING_MAX), F.lit(ERR_RANGE))
     )
-    routed = (
-        feedback.join(ids, on=["category", "product_name"], how="left")
-        .join(in_new, on=["category", "product_name"], how="left")
-        .withColumn("reason", reason)
+    routed = feedback.join(ids, on=["category", "product_name"], how="left").withColumn(
+        "reason", reason
     )
     target = (
         F.when(F.col("reason").isNotNull(), F.lit(TARGET_REJECTED))
-        .when(F.col("_new").isNotNull(), F.lit(TARGET_NEW))
+        .when(F.col("_new"), F.lit(TARGET_NEW))
         .otherwise(F.lit(TARGET_ESTABLISHED))
     )
     return routed.select(

@@ -8,7 +8,7 @@ branch per user.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
@@ -49,11 +49,17 @@ def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
         "slot", F.col("slot") + cfg.n_established
     )
     both = est.unionByName(new)
-    first = both.groupBy(*USER, "product_id").agg(
-        F.min(F.struct("slot", "product_name", "source")).alias("_f")
-    ).select(*USER, "product_id", "_f.*")
-    w = Window.partitionBy(*USER).orderBy("slot")
-    return first.withColumn("slot", (F.row_number().over(w) - 1).cast("long")).select(*REC_COLS)
+    # one group per user (at most n_recs rows): sort by slot, drop a product seen in an
+    # earlier slot, renumber -- a single shuffle on the user key
+    items = F.array_sort(F.collect_list(F.struct("slot", "product_id", "product_name", "source")))
+    ids = F.transform(F.col("_l"), lambda x: x["product_id"])
+    firsts = F.filter(F.col("_l"), lambda x, i: ~F.array_contains(F.slice(ids, 1, i), x["product_id"]))
+    return (
+        both.groupBy(*USER).agg(items.alias("_l"))
+        .select(*USER, F.posexplode(firsts).alias("slot", "_x"))
+        .select(*USER, F.col("slot").cast("long").alias("slot"), "_x.product_id",
+                "_x.product_name", "_x.source")
+    )
 
 
 def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,

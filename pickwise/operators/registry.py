@@ -73,17 +73,21 @@ def product_exists(requests: DataFrame, products: DataFrame, new_products: DataF
 
 
 def product_ids(products: DataFrame, new_products: DataFrame) -> DataFrame:
-    """Name -> id: an established product wins over a new one, then the lowest id."""
+    """Name -> id: an established product wins over a new one, then the lowest id.
+    ``in_new`` tells whether the name is listed among the new products at all."""
     first = F.min(F.struct("is_new", "product_id"))
-    return all_products(products, new_products).groupBy(*NAME_KEY).agg(first.alias("_f")).select(
-        *NAME_KEY, F.col("_f.product_id").alias("product_id"), F.col("_f.is_new").alias("is_new")
+    return all_products(products, new_products).groupBy(*NAME_KEY).agg(
+        first.alias("_f"), F.max("is_new").alias("in_new")
+    ).select(
+        *NAME_KEY, F.col("_f.product_id").alias("product_id"), F.col("_f.is_new").alias("is_new"),
+        "in_new",
     )
 
 
 def lookup_product_id(requests: DataFrame, products: DataFrame, new_products: DataFrame) -> DataFrame:
     """(category, product_name, product_id, is_new) for every known requested name."""
     return requests.select(*NAME_KEY).join(
-        product_ids(products, new_products), on=NAME_KEY, how="inner"
+        product_ids(products, new_products).drop("in_new"), on=NAME_KEY, how="inner"
     )
 
 

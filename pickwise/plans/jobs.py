@@ -28,6 +28,9 @@ from pickwise.session import cut_lineage
 from pickwise.sources.tables import TableStore, Tables
 
 
+REJECTS = "feedback_rejects"
+
+
 # --- E3: recommend a batch of requests ----------------------------------------------------
 @dataclass
 class BatchResult:
@@ -77,6 +80,8 @@ def run_recommend(store: TableStore, requests: DataFrame, feedback: DataFrame, c
     store.append("users", res.new_users)
     store.append("ratings", FB.routed_rows(routed, FB.TARGET_ESTABLISHED))
     store.append("new_product_ratings", FB.routed_rows(routed, FB.TARGET_NEW))
+    routed.where(F.col("target") == FB.TARGET_REJECTED).write.mode("append").partitionBy(
+        "category").parquet(f"{store.root}/{REJECTS}")
     store.append("previous_user_recommendations",
                  FB.push_recommendations(recs, batch_id))
     store.append("new_product_shown_list", NP.exposures(recs))

@@ -374,6 +374,12 @@ def q_onboard_job(spark, sf_dir):
     return store.read("new_products")
 
 
+@query("categorical_job")
+def q_categorical_job(spark, sf_dir):
+    """The category list published to the store, read back."""
+    return J.run_categorical(_seed_store(spark, sf_dir, "categorical_job"), CFG)
+
+
 @query("recommend_job")
 def q_recommend_job(spark, sf_dir):
     """E3 over the request table, from the stage snapshot plus this batch's feedback."""

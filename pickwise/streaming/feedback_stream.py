@@ -20,10 +20,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pickwise import schemas
 from pickwise.operators import feedback as FB
+from pickwise.plans import jobs as J
 from pickwise.session import cut_lineage, scratch_path
 from pickwise.sources.tables import TableStore
 
-REJECTS = "feedback_rejects"
+REJECTS = J.REJECTS
 
 
 def apply_feedback(store: TableStore, batch: DataFrame, tag: str) -> DataFrame:
