@@ -11,7 +11,7 @@ users to them never moves more than that per category.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
@@ -95,18 +95,23 @@ def _cyclic_picks(
     bc: Broadcaster = checked,
 ) -> DataFrame:
     """``picks`` distinct pool entries per user: start at H(seed|salt|category|user) mod
-    size and walk the pool's ``rank`` order cyclically. Empty pool: no rows."""
-    sizes = group_sizes(pool, ["category"], "_size")
+    size and walk the pool's ``rank`` order cyclically. Empty pool: no rows.
+
+    The pool carries its own size (a window over at most pool-size rows per category),
+    so one small table serves both joins."""
+    pool = bc(pool.select("category", "rank", "product_id", "product_name").withColumn(
+        "_size", F.count(F.lit(1)).over(Window.partitionBy("category"))
+    ))
+    sizes = pool.where(F.col("rank") == 1).select("category", "_size")
     start = F.pmod(seeded(cfg.sample_seed, F.lit(salt), F.col("category"), F.col("user_id")),
                    F.col("_size"))
     steps = F.sequence(F.lit(0), F.least(F.lit(picks), F.col("_size")) - 1)
-    walk = users.select(*USER).join(bc(sizes), on="category", how="inner").select(
+    walk = users.select(*USER).join(sizes, on="category", how="inner").select(
         *USER, "_size", start.alias("_start"), F.explode(steps).alias("_i")
     )
     walk = walk.withColumn("rank", (F.pmod(F.col("_start") + F.col("_i"), F.col("_size")) + 1)
                            .cast("long"))
-    return walk.join(bc(pool.select("category", "rank", "product_id", "product_name")),
-                     on=["category", "rank"], how="inner").select(
+    return walk.join(pool.drop("_size"), on=["category", "rank"], how="inner").select(
         *USER,
         (F.lit(slot0) + F.col("_i")).cast("long").alias("slot"),
         "product_id", "product_name", F.lit(source).alias("source"),
