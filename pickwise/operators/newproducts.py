@@ -54,8 +54,11 @@ def remaining(df: DataFrame, plist: DataFrame) -> DataFrame:
 
 def promote(tables, cfg: Config) -> dict[str, DataFrame]:
     """The four tables after moving every promoted product and its ratings from the
-    new tables to the established ones. Rows are conserved: nothing is lost or doubled."""
-    plist = promotion_list(tables.new_product_ratings, cfg)
+    new tables to the established ones. Rows are conserved: nothing is lost or doubled.
+
+    The list (one row per promoted product) is written once to the shared folder, so the
+    four outputs join the same list without recounting the ratings four times."""
+    plist = cut_lineage(promotion_list(tables.new_product_ratings, cfg))
     return {
         "products": tables.products.unionByName(promoted(tables.new_products, plist)),
         "ratings": tables.ratings.unionByName(promoted(tables.new_product_ratings, plist)),
