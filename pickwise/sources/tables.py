@@ -68,8 +68,10 @@ def write_partitioned(df: DataFrame, path: str, mode: str, files_per_category: i
     dynamic: only categories present in ``df`` are replaced.
     """
     if files_per_category > 0:
+        # an explicit partition count: adaptive execution must not merge the writers back
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_category)
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_category))
-        df = df.repartition(F.col("category"), salt)
+        df = df.repartition(n, F.col("category"), salt)
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

@@ -42,3 +42,15 @@ def test_store_append_overwrite_publish_and_pruning(spark, df):
     v = store.publish({"users": df([("C", 1, "q")], "USERS"), "products": df([], "PRODUCTS")})
     assert v == {"users": 2, "products": 1}
     assert rows(store.read("users"), "category") == [("C",)]
+
+
+def test_files_per_category_spreads_writers(spark, df):
+    import glob
+
+    root = tempfile.mkdtemp(prefix="pickwise-files-")
+    store = TableStore(spark, root, files_per_category=3)
+    store.append("users", df([("A", i, f"a{i}") for i in range(300)] + [("B", 1, "b")], "USERS"))
+    a_files = glob.glob(f"{root}/users/v=1/category=A/*.parquet")
+    b_files = glob.glob(f"{root}/users/v=1/category=B/*.parquet")
+    assert 2 <= len(a_files) <= 3 and len(b_files) == 1
+    assert store.read("users").count() == 301
