@@ -41,6 +41,9 @@ class Config:
     als_seed: int = 7
     als_blocks: int = 0  # 0: let Spark pick from the default parallelism
     als_checkpoint_interval: int = 10
+    # grid points fitted at once (threads submitting Spark jobs), as in pyspark.ml.tuning;
+    # 1 when a single fit fills the cluster
+    grid_parallelism: int = 1
     # rows per factor block in top-k scoring (user side and item side)
     score_block_rows: int = 4096
     # files written per category partition by the sinks (0: no extra shuffle)
@@ -66,4 +69,4 @@ class Config:
 DEFAULT = Config()
 
 # Small grid for smoke queries; the jobs use the full grid above.
-SMOKE = Config(ranks=(5,), reg_params=(0.01, 0.1), max_iter=5)
+SMOKE = Config(ranks=(5,), reg_params=(0.01, 0.1), max_iter=5, grid_parallelism=2)

@@ -15,6 +15,7 @@ user x product matrix is never materialised as rows or shuffled.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -158,24 +159,35 @@ def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
     best: dict[str, tuple[float, int]] = {}
     models: dict[int, ALSModel] = {}
     grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
-    for gi, (rank, reg) in enumerate(grid):
+
+    def run(point):
+        gi, (rank, reg) = point
         model = fit(train, rank, reg, cfg)
         # one row per category: a small summary, safe to bring to the driver
-        rows = rmse(predict(model, valid)).collect()
-        won = False
-        for r in rows:
-            e = r["rmse"]
-            summary.append((r["category"], gi, rank, float(reg), e, int(r["n_scored"])))
-            if e is None or np.isnan(e):
-                continue
-            if r["category"] not in best or e < best[r["category"]][0]:
-                best[r["category"]] = (e, gi)
-                won = True
-        if won:
-            models[gi] = model
-        live = {g for _, g in best.values()}
-        for g in [g for g in models if g not in live]:
-            models.pop(g)
+        return gi, rank, reg, model, rmse(predict(model, valid)).collect()
+
+    step = max(1, cfg.grid_parallelism)
+    with ThreadPoolExecutor(max_workers=step) as pool:
+        for at in range(0, len(grid), step):
+            done = list(pool.map(run, list(enumerate(grid))[at:at + step]))
+            # the winner rule is applied strictly in grid order (first wins on ties)
+            for gi, rank, reg, model, rows in done:
+                won = False
+                for r in rows:
+                    e = r["rmse"]
+                    summary.append((r["category"], gi, rank, float(reg), e, int(r["n_scored"])))
+                    if e is None or np.isnan(e):
+                        continue
+                    if r["category"] not in best or e < best[r["category"]][0]:
+                        best[r["category"]] = (e, gi)
+                        won = True
+                if won:
+                    models[gi] = model
+            # only models that still win a category stay referenced; Spark's context
+            # cleaner reclaims the cached factors of the others
+            live = {g for _, g in best.values()}
+            for g in [g for g in models if g not in live]:
+                models.pop(g)
     winners = {c: g for c, (_, g) in best.items()}
     gdf = spark.createDataFrame(
         summary,

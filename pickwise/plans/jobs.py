@@ -1,6 +1,7 @@
 """Batch jobs over a ``TableStore`` (E1-E4, C8) and the plans they run.
 
-    python -m pickwise.plans.jobs <root> mf|categorical|promote
+    python -m pickwise.plans.jobs <root> mf [grid_parallelism]
+    python -m pickwise.plans.jobs <root> categorical|promote
     python -m pickwise.plans.jobs <root> onboard <product_requests.parquet>
     python -m pickwise.plans.jobs <root> recommend <user_requests.parquet> <feedback.parquet> <batch_id>
 
@@ -131,7 +132,7 @@ def main(argv: list[str]) -> None:
     store = TableStore(spark, root)
     cfg = DEFAULT
     if job == "mf":
-        run_mf(store, cfg)
+        run_mf(store, cfg.with_(grid_parallelism=int(argv[2])) if len(argv) > 2 else cfg)
     elif job == "categorical":
         run_categorical(store, cfg)
     elif job == "promote":

@@ -106,3 +106,11 @@ def test_packed_and_dense_indexes_are_injective(spark):
     assert MF.packed_index(neg, MF.USER, "u") is None
     big = spark.createDataFrame([("A", 2**31), ("B", 1)], "category string, user_id long")
     assert MF.packed_index(big, MF.USER, "u") is None
+
+
+def test_parallel_grid_picks_the_same_winners(planted):
+    a = MF.grid_search(planted, CFG)
+    b = MF.grid_search(planted, CFG.with_(grid_parallelism=3))
+    assert a.winners == b.winners
+    key = lambda r: (r["category"], r["grid_index"])
+    assert sorted(map(tuple, a.grid.collect()), key=str) == sorted(map(tuple, b.grid.collect()), key=str)
