@@ -12,13 +12,47 @@ import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pickwise import schemas
 from pickwise.functions.topk import top_k
+from pickwise.session import scratch_path
 from pickwise.sources.tables import Tables
 
-
 # One schema-inferring read per (session, file): every later use reuses the plan.
 _READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+# Loaded tables per (session, driver folder): name -> path in the shared folder.
+_LOADED: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], str]]" = weakref.WeakKeyDictionary()
+
+_SCHEMAS = {
+    "users": schemas.USERS, "catalog": schemas.PRODUCTS, "all_ratings": schemas.RATINGS,
+    "shown": schemas.SHOWN, "user_requests": schemas.USER_REQUESTS,
+    "product_requests": schemas.PRODUCT_REQUESTS, "feedback": schemas.FEEDBACK,
+    "history": schemas.HISTORY, "user_recs": schemas.USER_RECS,
+    "stage_ratings": schemas.RATINGS, "raw_rating_lines": schemas.RAW_RATING_LINES,
+    "mean_predictions": T.StructType(
+        schemas.RATINGS.fields + [T.StructField("prediction", T.DoubleType(), True)]
+    ),
+}
+
+
+def stored(fn):
+    """A derived table written once per session to the shared folder as
+    category-partitioned Parquet (the store's layout) and read from there: every query
+    scans it like a stored engine table, with partition pruning and pushed filters."""
+    name = fn.__name__
+
+    def get(self: "Fixtures") -> DataFrame:
+        loaded = _LOADED.setdefault(self.spark, {})
+        key = (self.sf_dir, name)
+        if key not in loaded:
+            path = scratch_path(self.spark, f"fixtures/{name}")
+            fn(self).write.mode("overwrite").partitionBy("category").parquet(path)
+            loaded[key] = path
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(loaded[key])
+
+    get.__doc__ = fn.__doc__
+    return property(get)
 
 
 def _name(name: str, key: str) -> F.Column:
@@ -38,7 +72,7 @@ class Fixtures:
         return reads[path]
 
     # -- dimensions ---------------------------------------------------------------------
-    @property
+    @stored
     def users(self) -> DataFrame:
         return self.base("customer").select(
             F.col("c_mktsegment").alias("category"),
@@ -50,7 +84,7 @@ class Fixtures:
     def categories(self) -> DataFrame:
         return self.base("customer").select(F.col("c_mktsegment").alias("category")).distinct()
 
-    @property
+    @stored
     def catalog(self) -> DataFrame:
         """Every part in every category. The category list is an uncorrelated scalar
         subquery (one small distinct set, computed once), expanded per part row."""
@@ -79,7 +113,7 @@ class Fixtures:
         c = self.base("customer").select("c_custkey", "c_mktsegment")
         return li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
 
-    @property
+    @stored
     def all_ratings(self) -> DataFrame:
         q = F.col("l_quantity").cast("int")
         return (
@@ -104,7 +138,7 @@ class Fixtures:
     def new_product_ratings(self) -> DataFrame:
         return self.all_ratings.where(F.col("product_id") % 10 == 0)
 
-    @property
+    @stored
     def shown(self) -> DataFrame:
         ev = self.base("events").where(F.col("event_type") == "view")
         c = self.base("customer").select("c_custkey", "c_mktsegment")
@@ -116,7 +150,7 @@ class Fixtures:
             "category", "product_name"
         )
 
-    @property
+    @stored
     def user_requests(self) -> DataFrame:
         u = self.users
         return u.where(F.col("user_id") % 7 == 0).select("category", "mail_id").unionByName(
@@ -125,7 +159,7 @@ class Fixtures:
             )
         )
 
-    @property
+    @stored
     def product_requests(self) -> DataFrame:
         c = self.catalog
         return c.where(F.col("product_id") % 50 == 0).select(
@@ -138,7 +172,7 @@ class Fixtures:
             )
         )
 
-    @property
+    @stored
     def feedback(self) -> DataFrame:
         li = self.base("lineitem").where(
             (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1)
@@ -161,7 +195,7 @@ class Fixtures:
             )
         )
 
-    @property
+    @stored
     def history(self) -> DataFrame:
         """previous_user_recommendations: one list per (user, order) of flag-N lines."""
         li = self.base("lineitem").where(F.col("l_returnflag") == "N")
@@ -186,7 +220,7 @@ class Fixtures:
             ).alias("product_list")
         )
 
-    @property
+    @stored
     def user_recs(self) -> DataFrame:
         """Stand-in for ALS output: each user's 3 best-rated established products."""
         best = self.ratings.groupBy("category", "user_id", "product_id").agg(
@@ -196,7 +230,7 @@ class Fixtures:
             best, ["category", "user_id"], [F.col("score").desc(), F.col("product_id")], 3, "_rn"
         ).drop("_rn")
 
-    @property
+    @stored
     def stage_ratings(self) -> DataFrame:
         """BUILDING keeps all its ratings, FURNITURE only its first, others none."""
         r = self.all_ratings
@@ -208,7 +242,7 @@ class Fixtures:
         )
         return r.where(F.col("category") == "BUILDING").unionByName(first)
 
-    @property
+    @stored
     def mean_predictions(self) -> DataFrame:
         """Ratings scored by a per-product mean predictor; a third of the products has
         no prediction (and is dropped by the inner join)."""
@@ -221,7 +255,7 @@ class Fixtures:
             "category", "user_id", "product_id", "rating", "prediction"
         )
 
-    @property
+    @stored
     def raw_rating_lines(self) -> DataFrame:
         u = F.col("user_id").cast("string")
         p = F.col("product_id").cast("string")
@@ -233,6 +267,13 @@ class Fixtures:
         )
         return self.ratings.select("category", line.alias("line"))
 
+    def load(self) -> list[str]:
+        """Write every derived table now (otherwise each is written on first use)."""
+        names = list(_SCHEMAS)
+        for n in names:
+            getattr(self, n)
+        return names
+
     # -- snapshot ------------------------------------------------------------------------
     def tables(self) -> Tables:
         return Tables(
