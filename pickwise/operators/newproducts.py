@@ -19,7 +19,6 @@ from pickwise.functions.broadcast import Broadcaster, checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions, group_sizes
 from pickwise.functions.topk import top_k
-from pickwise.session import cut_lineage
 from pickwise.operators.ratings import (
     PRODUCT_KEY, mean_ratings, new_means_from_stats, with_names,
 )
@@ -57,8 +56,10 @@ def promote(tables, cfg: Config) -> dict[str, DataFrame]:
     new tables to the established ones. Rows are conserved: nothing is lost or doubled.
 
     The list (one row per promoted product) is written once to the shared folder, so the
-    four outputs join the same list without recounting the ratings four times."""
-    plist = cut_lineage(promotion_list(tables.new_product_ratings, cfg))
+    four outputs join the same list without recounting the ratings four times, and it is
+    broadcast when small enough: a product holding a large share of the ratings is then
+    not sent to a single task by the semi/anti joins."""
+    plist = checked(promotion_list(tables.new_product_ratings, cfg), cfg.broadcast_rows)
     return {
         "products": tables.products.unionByName(promoted(tables.new_products, plist)),
         "ratings": tables.ratings.unionByName(promoted(tables.new_product_ratings, plist)),

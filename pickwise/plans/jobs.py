@@ -48,7 +48,8 @@ def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg
     """Known mail ids give feedback, unknown ones are registered; then every requester
     gets a list from one snapshot that already holds this batch's feedback and users."""
     rq = requests.select("category", "mail_id").distinct()
-    known = RG.lookup_user_id(rq, tables.users)
+    # request-sized tables read by several branches below: written once
+    known = cut_lineage(RG.lookup_user_id(rq, tables.users))
     new_users = RG.assign_user_ids(rq, tables.users)
     req_users = known.unionByName(new_users.select("category", "mail_id", "user_id"))
 
@@ -56,7 +57,7 @@ def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg
         feedback.join(known.select("category", "user_id"), on=["category", "user_id"],
                       how="left_semi")
     )
-    routed = FB.route_feedback(fb, tables.products, tables.new_products)
+    routed = cut_lineage(FB.route_feedback(fb, tables.products, tables.new_products))
     snap = tables.with_(
         users=tables.users.unionByName(new_users.select(*tables.users.columns)),
         ratings=tables.ratings.unionByName(FB.routed_rows(routed, FB.TARGET_ESTABLISHED)),
@@ -77,7 +78,7 @@ def run_recommend(store: TableStore, requests: DataFrame, feedback: DataFrame, c
     res = recommend_plan(requests, feedback, store.load(), cfg, batch_id)
     # materialise once in the shared folder: the appends below change the inputs
     recs = cut_lineage(res.recs)
-    routed = cut_lineage(res.routed)
+    routed = res.routed
     store.append("users", res.new_users)
     store.append("ratings", FB.routed_rows(routed, FB.TARGET_ESTABLISHED))
     store.append("new_product_ratings", FB.routed_rows(routed, FB.TARGET_NEW))
