@@ -15,11 +15,13 @@ user x product matrix is never materialised as rows or shuffled.
 
 from __future__ import annotations
 
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +33,10 @@ from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
 from pickwise.session import cut_lineage, shared_dir
 
+# The scoring functions below run in Python workers, which need not have this package
+# installed: ship them by value (numpy and pandas are imported there by reference).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 USER = ["category", "user_id"]
 ITEM = ["category", "product_id"]
 INT_MAX = 2**31 - 1
