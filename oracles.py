@@ -553,6 +553,13 @@ ORACLES.update({
            from parsed_lines q left join (select distinct category, product_id from all_products) k
              on k.category = q.category and k.product_id = q.product_id""",
         "parsed_lines", "all_products"),
+    "legacy_import": compose(
+        """select q.category, q.user_id, q.product_id, q.rating
+           from parsed_lines q join (select distinct category, product_id from all_products) k
+             on k.category = q.category and k.product_id = q.product_id
+           where q.three and q.user_id is not null and q.product_id is not null
+             and q.rating is not null and q.rating between 0 and 5""",
+        "parsed_lines", "all_products"),
     "sink_append": compose("select * from users union all select * from users", "users"),
     "sink_overwrite": compose(
         """select * from st_category_top

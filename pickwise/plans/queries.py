@@ -21,6 +21,7 @@ from pickwise.operators import registry as RG
 from pickwise.plans import jobs as J
 from pickwise.plans.fixtures import Fixtures
 from pickwise.session import scratch_path
+from pickwise.sources import legacy as L
 from pickwise.sources import models as M
 from pickwise.sources.tables import TableStore
 from pickwise.sources.text import check_products, parse_rating_lines
@@ -322,6 +323,21 @@ def q_parse_ratings(spark, sf_dir):
                           R.all_products(fx.products, fx.new_products))
 
 
+@query("legacy_import")
+def q_legacy_import(spark, sf_dir):
+    """S1 + S2 on the original text layout: rating lines, products and new products
+    written as headerless text/CSV per category folder, imported into a store; the
+    imported ratings (bad lines rejected) are read back."""
+    fx = _fx(spark, sf_dir)
+    base = scratch_path(spark, "legacy_layout")
+    L.export_text(fx.raw_rating_lines, base, "ratings")
+    L.export_csv(fx.products, base, "products")
+    L.export_csv(fx.new_products, base, "new_products")
+    store = _store(spark, "legacy_import")
+    L.import_legacy(store, base, CFG)
+    return store.read("ratings")
+
+
 @query("sink_append")
 def q_sink_append(spark, sf_dir):
     """S3: two appends of the users table, read back."""
