@@ -7,10 +7,11 @@ by its own count), so categories do not influence each other: one fit per grid p
 instead of one per grid point and category. The winner is chosen per category from
 per-category validation RMSE (strict ``<`` in grid order: rank outer, reg inner).
 
-Scoring stays inside a category: factors are packed into bounded blocks per category,
-block pairs of the same category are scored with one matrix product in Python, and only
-the top k per user per block pair leaves the task; a final top-k merges the blocks. The
-user x product matrix is never materialised as rows or shuffled.
+Scoring stays inside a category and never materialises the user x product matrix as
+rows. Item factors under a byte bound are broadcast as per-category matrices and user
+rows are scored in place; beyond it, factors are packed into bounded blocks, each item
+block meets every user block of its category, only the top k per user per block pair
+leaves the task, and a final top-k merges the pairs.
 """
 
 from __future__ import annotations
