@@ -65,3 +65,18 @@ def test_jobs_end_to_end(spark, df):
     out2 = J.run_recommend(store, df([("A", "newA@x")], "USER_REQUESTS"), df([], "FEEDBACK"), CFG, 2)
     assert {r["user_id"] for r in out2.collect()} == {31}
     assert store.read("users").count() == 62
+
+
+def test_cli_runs_a_job(spark, df):
+    import os
+    import subprocess
+    import sys
+
+    store = _seed(spark, df)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    done = subprocess.run([sys.executable, "-m", "pickwise.plans.jobs", store.root, "categorical"],
+                          cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lst = TableStore(spark, store.root).read("category_recommendation_data")
+    assert lst.count() > 0 and lst.groupBy("category").count().where("count > 5").count() == 0
