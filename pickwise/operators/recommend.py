@@ -73,10 +73,11 @@ def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
         tables.user_recs.join(rated, on=USER, how="left_semi"),
         USER, [F.col("score").desc(), F.col("product_id")], cfg.n_established,
     )
-    als = with_names(als, all_products(tables.products, tables.new_products)).select(
+    # at most n_recs - n_new rows per requested user, read twice below: written once
+    als = cut_lineage(with_names(als, all_products(tables.products, tables.new_products)).select(
         *USER, (F.col("rank") - 1).cast("long").alias("slot"), "product_id", "product_name",
         F.lit("als").alias("source"),
-    )
+    ))
     fallback = users.select(*USER).join(als.select(*USER).distinct(), on=USER, how="left_anti")
     return als.unionByName(_list_for_users(fallback, category_recs, "category", bc))
 
