@@ -54,5 +54,10 @@ def test_matches_duckdb(spark, con, key):
     res = con.execute(E.oracle_sql()[key])
     ocols, odata = [d[0] for d in res.description], res.fetchall()
     assert sorted(cols) == sorted(ocols)
+    duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN"}
+    spark_types = {f.name: duck.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in got.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in res.description}
     assert len(data) == len(odata)
     assert _digest(cols, data) == _digest(ocols, odata)

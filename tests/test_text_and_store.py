@@ -54,3 +54,11 @@ def test_files_per_category_spreads_writers(spark, df):
     b_files = glob.glob(f"{root}/users/v=1/category=B/*.parquet")
     assert 2 <= len(a_files) <= 3 and len(b_files) == 1
     assert store.read("users").count() == 301
+
+
+def test_scratch_lives_under_the_session_checkpoint_dir(spark):
+    from pickwise.session import scratch_path, shared_dir
+
+    root = spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark) == root
+    assert scratch_path(spark, "x").startswith(root)
