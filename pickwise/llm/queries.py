@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import sentencepiece_codec
+from pickwise.llm import embedding_dedup, line_dedup, sentencepiece_codec
 from pickwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,18 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), keep_text=False)
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_line_dedup": line_dedup_query,
     "op8_sentencepiece": sentencepiece,
+    "op10_embedding_near_dedup": embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
