@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pickwise.llm import embedding_dedup, line_dedup, sentencepiece_codec
+from pickwise.llm import embedding_dedup, line_dedup, quality, sentencepiece_codec, token_counts, toxicity, url_filters
 from pickwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +32,91 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train_on_labels(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).drop("text")
+
+
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_codec.parse_model(open(tokenizer_file("piece_bpe_32k.model"), "rb").read())
+    first, rest = token_counts.split_vocabulary(t for t, _, kind in model["pieces"] if kind == sentencepiece_codec.NORMAL)
+    # a word may also begin with a bare character
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), first + [p for p in rest if len(p) == 1], rest)
+
+
+def _number(x: str, modulus: int) -> str:
+    """SQL for an integer below ``modulus`` from the md5 of a text (Spark)."""
+    return f"pmod(cast(conv(substr(md5({x}), 1, 8), 16, 10) as bigint), {modulus})"
+
+
+def url_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with a fetch time in 2024 that follows from the page's id."""
+    at = F.expr("timestamp_seconds(1704067200 + pmod(page_id * 7919, 365) * 86400 + pmod(page_id * 104729, 86400))")
+    return table(spark, sf_dir, "pages").select("page_id", "url", at.alias("fetched_at"))
+
+
+def url_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated list events that follow from the hosts in ``pages``: one in three hosts (without a leading
+    www., m. or blog.) is added to one of three lists, most are removed later, some come back."""
+    host = url_filters.host_of(F.col("url"))
+    pattern = F.regexp_replace(host, r"^(www|m|blog)\.", "")
+    h = table(spark, sf_dir, "pages").select(pattern.alias("pattern")).where("pattern is not null").distinct()
+    h = h.selectExpr(
+        "pattern", f"{_number('pattern', 3)} as pick", f"element_at(array('ads', 'malware', 'spam'), cast({_number('concat(pattern, chr(49))', 3)} + 1 as int)) as list",
+        f"1704067200 + {_number('concat(pattern, chr(50))', 250)} * 86400 as t0", f"{_number('concat(pattern, chr(51))', 90)} * 86400 as d1",
+        f"{_number('concat(pattern, chr(52))', 60)} * 86400 as d2", f"{_number('concat(pattern, chr(53))', 4)} as kind",
+    ).where("pick = 0")
+    return h.selectExpr("list", "pattern", "kind", "stack(3, 'add', t0, 0, 'remove', t0 + d1, 1, 'add', t0 + d1 + d2, 3) as (action, s, least_kind)").where(
+        "kind >= least_kind"
+    ).selectExpr("list", "pattern", "action", "timestamp_seconds(s) as at")
+
+
+def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_captures(url_captures(spark, sf_dir), url_events(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": toxicity_query,
+    "op2_quality": quality_query,
     "op3_line_dedup": line_dedup_query,
+    "op5_token_counts": token_count_query,
     "op8_sentencepiece": sentencepiece,
+    "op9_url_filters": url_filter_query,
     "op10_embedding_near_dedup": embedding_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_URL_SQL = r"""
+with hosts as (
+  select page_id, url, nullif(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') as host,
+    1704067200 + (page_id * 7919) % 365 * 86400 + (page_id * 104729) % 86400 as at
+  from pages),
+patterns as (select distinct regexp_replace(host, '^(www|m|blog)[.]', '') as pattern from hosts where host is not null),
+picked as (
+  select pattern, ['ads', 'malware', 'spam'][1 + cast('0x' || substr(md5(pattern || '1'), 1, 8) as bigint) % 3] as list,
+    1704067200 + cast('0x' || substr(md5(pattern || '2'), 1, 8) as bigint) % 250 * 86400 as t0,
+    cast('0x' || substr(md5(pattern || '3'), 1, 8) as bigint) % 90 * 86400 as d1,
+    cast('0x' || substr(md5(pattern || '4'), 1, 8) as bigint) % 60 * 86400 as d2,
+    cast('0x' || substr(md5(pattern || '5'), 1, 8) as bigint) % 4 as kind
+  from patterns where cast('0x' || substr(md5(pattern), 1, 8) as bigint) % 3 = 0),
+active as (
+  select list, pattern, t0 as lo, case when kind >= 1 then t0 + d1 end as hi from picked where kind = 0 or d1 > 0
+  union
+  select list, pattern, t0 + d1 + d2, null from picked where kind >= 3),
+hits as (
+  select h.page_id, a.list, a.pattern from hosts h join active a
+    on (h.host = a.pattern or ends_with(h.host, '.' || a.pattern)) and h.at >= a.lo and (a.hi is null or h.at < a.hi)),
+verdicts as (
+  select page_id, count(distinct list || ' ' || pattern) as n_entries, string_agg(distinct list, ',' order by list) as lists from hits group by page_id)
+select h.page_id, h.host, to_timestamp(h.at) at time zone 'UTC' as fetched_at, coalesce(v.n_entries, 0) as n_entries,
+  coalesce(v.lists, '') as lists, v.page_id is not null as blocked
+from hosts h left join verdicts v using (page_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_url_filters": _URL_SQL,
+}
