@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import embedding_dedup, line_dedup, quality, sentencepiece_codec, token_counts, toxicity, url_filters
+from pickwise.llm import embedding_dedup, line_dedup, ngram_join, quality, sentencepiece_codec, token_counts, toxicity, url_filters
 from pickwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_codec.parse_model(open(tokenizer_file("piece_bpe_32k.model"), "rb").read())
     first, rest = token_counts.split_vocabulary(t for t, _, kind in model["pieces"] if kind == sentencepiece_codec.NORMAL)
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": quality_query,
     "op3_line_dedup": line_dedup_query,
     "op5_token_counts": token_count_query,
+    "op6_ngram_jaccard": ngram_jaccard,
     "op8_sentencepiece": sentencepiece,
     "op9_url_filters": url_filter_query,
     "op10_embedding_near_dedup": embedding_near_dedup,
