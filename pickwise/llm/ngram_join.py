@@ -292,8 +292,10 @@ def similar_sets(
     placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumn("bi", F.least("block", "o")).withColumn("bj", F.greatest("block", "o"))
     # the order stays sorted, so a fragment is a slice between two cuts
-    upto = [F.size(F.filter(F.arrays_zip("df", "gram"), lambda x, c=c: place(x["df"], x["gram"]) <= c)) for c in cuts]
-    bounds = F.array(F.lit(0), *upto, F.size("gram"))
+    def upto(cut: float):
+        return F.size(F.filter(F.arrays_zip("df", "gram"), lambda x: place(x["df"], x["gram"]) <= F.lit(cut)))
+
+    bounds = F.array(F.lit(0), *map(upto, cuts), F.size("gram"))
     segments = (
         placed.withColumn("bounds", bounds)
         .select("sig", "n", "block", "bi", "bj", F.col("component").alias("comp"), "gram", "bounds", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("fragment"))
