@@ -137,7 +137,7 @@ def train_chain(labelled: DataFrame, categories: list[str], p: Params = Params()
     y = np.array([r["y"] for r in got], float).reshape(len(got), len(categories))
     fold = np.array([r["pick"] // p.folds % p.folds for r in got], int)
     sample = Sample([np.frombuffer(r["ids"], np.int32) for r in got], y, fold, p)
-    shared = spark.sparkContext.broadcast(sample)
+    shared = spark.sparkContext.broadcast(vars(sample))  # plain data only
     oof = np.zeros((len(got), 0))
     chain = Chain(categories, np.zeros((len(categories), 1 << p.bits), np.float32), [], [], p)
     for k in range(len(categories)):
@@ -159,7 +159,8 @@ def _fit_folds(spark, shared, k: int, oof: np.ndarray, p: Params) -> dict[int, t
 
     def run(frames):
         for pdf in frames:
-            s: Sample = shared.value
+            s = Sample.__new__(Sample)
+            vars(s).update(shared.value)
             for f in pdf["id"]:
                 w, we, b = s.fit(s.fold != f, s.labels[:, k], oof, p)
                 yield pd.DataFrame({"f": [f], "w": [w.tobytes()], "e": [we.tobytes()], "b": [b]})
@@ -177,12 +178,13 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     Null and empty texts get the probabilities of a text without words. Repeated rows are scored
     each."""
     new = [f"p_{c}" for c in chain.categories]
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    params, plain = chain.params, {k: v for k, v in vars(chain).items() if k != "params"}
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
     keep = [c for c in docs.columns if c not in (*new, "rejected")]
     src = docs.select(F.struct(*keep).alias("row"), text_bytes(text_col).alias("t"))
 
     def run(batches):
-        c: Chain = shared.value
+        c = Chain(**shared.value, params=params)
         for b in batches:
             p = np.array([c.probabilities(word_ids(t, c.params.bits)) for t in b.column(1).to_pylist()]).reshape(-1, len(new))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(p[:, k], pa.float64()) for k in range(len(new))]], names=["row", *new])
