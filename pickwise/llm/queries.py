@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import embedding_dedup, line_dedup, ngram_join, quality, sentencepiece_codec, token_counts, toxicity, url_filters
+from pickwise.llm import (
+    decontamination, embedding_dedup, line_dedup, ngram_join, pii_surrogates, quality, sentencepiece_codec, token_counts, toxicity, url_filters,
+)
 from pickwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,17 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+PII_KEY = b"demonstration key; a production run passes its own secret"
+
+
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -88,8 +101,10 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
     "op2_quality": quality_query,
     "op3_line_dedup": line_dedup_query,
+    "op4_pii_surrogates": pii_query,
     "op5_token_counts": token_count_query,
     "op6_ngram_jaccard": ngram_jaccard,
+    "op7_decontamination": decontamination_query,
     "op8_sentencepiece": sentencepiece,
     "op9_url_filters": url_filter_query,
     "op10_embedding_near_dedup": embedding_near_dedup,
