@@ -124,7 +124,7 @@ def _sketch(docs: DataFrame, text_col: str, shingle: int, percent: int) -> DataF
 
 
 def _count_hits(batches):
-    """Per task: hits of the sets whose n-gram another set shows too."""
+    """``(sig, hits)``: a hit for every n-gram of a set that another set shows too."""
     g, s, out = [], [], []
     for b in batches:
         gram, sig, hits = b.column(0), b.column(1), b.column(2)
@@ -147,11 +147,9 @@ def _count_hits(batches):
             differ = np.r_[False, (s[1:] != s[:-1]) & (g[1:] == g[:-1])]
             shared = np.add.reduceat(differ.astype(np.int64), start) + np.add.reduceat(many.astype(np.int64), start) > 0
             hit = s[np.repeat(shared, size) & ~many]
-            out.append(np.unique(hit, return_counts=True))
-    if out:
-        sig, n = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
-        sig, at = np.unique(sig, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(np.bincount(at, n, len(sig)).astype(np.int64))], names=["sig", "hits"])
+            out.append((hit, np.ones(len(hit), np.int64)))
+    for sig, hits in out:  # one row a hit; the aggregate above combines them before they travel
+        yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(hits, pa.int64())], names=["sig", "hits"])
 
 
 def _grams(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
