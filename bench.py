@@ -28,6 +28,7 @@ HEADLINE = [
     "recommend",
     "recommend_job",
     "als_recommend",
+    "mf_job",
 ]
 
 

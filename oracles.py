@@ -53,7 +53,7 @@ view(
     """select c_mktsegment as category, o_custkey as user_id, l_partkey as product_id,
        1.0e0 + (cast(l_quantity as int) % 5) as rating
        from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
-       where l_returnflag = 'R' and c_custkey % 10 <> 0 and (c_custkey % 10 <> 1 or l_partkey % 10 = 0)""",
+       where l_returnflag = 'R'""",
 )
 view("ratings", "select * from fx_all_ratings where product_id % 10 <> 0", "fx_all_ratings")
 view("new_product_ratings", "select * from fx_all_ratings where product_id % 10 = 0", "fx_all_ratings")
@@ -67,14 +67,13 @@ view(
 )
 view(
     "user_requests",
-    """select category, mail_id from users where user_id % 7 = 0
-       union all select category, 'guest-' || mail_id from users where user_id % 50 = 0""",
+    """select category, mail_id from users union all select category, 'guest-' || mail_id from users""",
     "users",
 )
 view(
     "product_requests",
-    """select category, product_name, manufacturer from catalog where product_id % 50 = 0
-       union all select category, 'fresh ' || product_name, manufacturer from catalog where product_id % 50 = 25""",
+    """select category, product_name, manufacturer from catalog
+       union all select category, 'fresh ' || product_name, manufacturer from catalog""",
     "catalog",
 )
 view(
@@ -85,7 +84,7 @@ view(
        o_orderkey as seq
        from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
        join part on p_partkey = l_partkey
-       where l_returnflag = 'A' and l_linenumber = 1""",
+       where l_returnflag = 'A'""",
 )
 view(
     "history",
@@ -103,19 +102,17 @@ view(
        where rn <= 3""",
     "ratings",
 )
+# stage thresholds of the batch: second and fourth smallest rating count of the categories
 view(
-    "stage_ratings",
-    """select category, user_id, product_id, rating from (
-         select *, row_number() over (partition by category order by user_id, product_id, rating) rn
-         from fx_all_ratings)
-       where category = 'BUILDING' or (category = 'FURNITURE' and rn = 1)""",
+    "thresholds",
+    """select list_sort(list(n))[2] as t1, list_sort(list(n))[4] as t2
+       from (select category, count(*) as n from fx_all_ratings group by 1)""",
     "fx_all_ratings",
 )
 view(
     "mean_predictions",
     """select r.category, r.user_id, r.product_id, r.rating, m.prediction from ratings r
-       join (select category, product_id, avg(rating) as prediction from fx_all_ratings
-             where product_id % 3 <> 0 group by 1, 2) m
+       join (select category, product_id, avg(rating) as prediction from fx_all_ratings group by 1, 2) m
        on m.category = r.category and m.product_id = r.product_id""",
     "ratings",
     "fx_all_ratings",
@@ -158,12 +155,12 @@ def snapshot(p: str, ratings: str, new_ratings: str) -> None:
     view(
         f"{p}stage",
         f"""select d.category, coalesce(c.n, 0)::bigint as n_ratings,
-              (case when coalesce(c.n, 0) < 1 then 1 when coalesce(c.n, 0) < 2 then 2 else 3 end)::bigint as stage
-            from (select category from users union select category from products
+              (case when coalesce(c.n, 0) < t1 then 1 when coalesce(c.n, 0) < t2 then 2 else 3 end)::bigint as stage
+            from thresholds, (select category from users union select category from products
                   union select category from new_products) d
             left join (select category, count(*) as n from {p}all_ratings group by 1) c
               on c.category = d.category""",
-        "users", "products", "new_products", f"{p}all_ratings",
+        "users", "products", "new_products", "thresholds", f"{p}all_ratings",
     )
     view(
         f"{p}top_rated_new",
@@ -287,16 +284,9 @@ view(
        union all select category, product_id, product_name, manufacturer, true from new_products""",
     "products", "new_products",
 )
-view(
-    "st_ratings", "select * from stage_ratings where product_id % 10 <> 0", "stage_ratings"
-)
-view(
-    "st_new_ratings", "select * from stage_ratings where product_id % 10 = 0", "stage_ratings"
-)
 snapshot("", "ratings", "new_product_ratings")
-snapshot("st_", "st_ratings", "st_new_ratings")
 strategies("", "", "users")
-dispatch("st_", "st_", "users")
+dispatch("", "st_", "users")
 
 view(
     "product_ids",
@@ -385,7 +375,7 @@ ORACLES: dict[str, str] = {
     "distinct_raters": compose("select distinct category, user_id from ratings", "ratings"),
     "rated_new_products": compose(
         "select distinct category, product_id from new_product_ratings", "new_product_ratings"),
-    "category_stage": compose("select * from st_stage", "st_stage"),
+    "category_stage": compose("select * from stage", "stage"),
     "product_mean_rating": compose(
         """select a.category, a.product_id, coalesce(m.mean_rating, 0.0) as mean_rating
            from all_products a left join mean_ratings m
@@ -509,35 +499,39 @@ view(
     """select category, user_id, product_name, rating, seq from (
          select f.*, row_number() over (partition by f.category, f.user_id, f.product_name
                                         order by f.seq desc, f.rating desc) as rn
-         from feedback f where exists (select 1 from j_known k
-                                       where k.category = f.category and k.user_id = f.user_id))
+         from feedback f)
        where rn = 1""",
-    "feedback", "j_known",
+    "feedback",
 )
 view(
     "j_routed",
-    """select b.category, b.user_id, i.product_id, b.rating,
-              case when i.product_id is null or b.rating is null or isnan(b.rating)
+    """select b.category, b.user_id, b.product_name, i.product_id, b.rating,
+              case when not exists (select 1 from users u where u.category = b.category and u.user_id = b.user_id) then 'unknown_user'
+                   when i.product_id is null then 'unknown_product'
+                   when b.rating is null or isnan(b.rating) then 'missing_rating'
+                   when b.rating < 0 or b.rating > 5 then 'out_of_range' end as reason,
+              case when not exists (select 1 from users u where u.category = b.category and u.user_id = b.user_id)
+                        or i.product_id is null or b.rating is null or isnan(b.rating)
                         or b.rating < 0 or b.rating > 5 then 'rejected'
                    when exists (select 1 from new_products n
                                 where n.category = b.category and n.product_name = b.product_name)
                    then 'new_product_ratings' else 'ratings' end as target
        from j_feedback b left join product_ids i
          on i.category = b.category and i.product_name = b.product_name""",
-    "j_feedback", "product_ids", "new_products",
+    "j_feedback", "product_ids", "new_products", "users",
 )
 view(
     "j_ratings",
-    """select category, user_id, product_id, rating from st_ratings
+    """select category, user_id, product_id, rating from ratings
        union all select category, user_id, product_id, rating from j_routed where target = 'ratings'""",
-    "st_ratings", "j_routed",
+    "ratings", "j_routed",
 )
 view(
     "j_new_ratings",
-    """select category, user_id, product_id, rating from st_new_ratings
+    """select category, user_id, product_id, rating from new_product_ratings
        union all select category, user_id, product_id, rating from j_routed
        where target = 'new_product_ratings'""",
-    "st_new_ratings", "j_routed",
+    "new_product_ratings", "j_routed",
 )
 snapshot("j_", "j_ratings", "j_new_ratings")
 dispatch("j_", "j_", "j_users")
@@ -562,10 +556,9 @@ ORACLES.update({
         "parsed_lines", "all_products"),
     "sink_append": compose("select * from users union all select * from users", "users"),
     "sink_overwrite": compose(
-        """select * from st_category_top
-           union all select * from est_top e
-           where not exists (select 1 from st_category_top s where s.category = e.category)""",
-        "st_category_top", "est_top"),
+        """select t.* from category_top t join stage s on s.category = t.category and s.stage = 3
+           union all select e.* from est_top e join stage s on s.category = e.category and s.stage < 3""",
+        "category_top", "stage", "est_top"),
     "promote_job": ORACLES["promote_products"],
     "categorical_job": ORACLES["category_top"],
     "onboard_job": compose(
@@ -580,6 +573,22 @@ ORACLES.update({
         """select r.category, r.mail_id, r.user_id, x.slot, x.product_id, x.product_name, x.source, x.stage
            from j_recommend x join j_req_users r on r.category = x.category and r.user_id = x.user_id""",
         "j_recommend", "j_req_users"),
+    "recommend_job_tables": compose(
+        """select * from (
+             select 'users' as table_name, category, user_id, mail_id, null::bigint as product_id, null::varchar as product_name,
+                    null::double as rating, null::varchar as reason, null::bigint as batch_id, null::varchar as product_list
+             from (select category, user_id, mail_id from users union all select category, user_id, mail_id from assign_user_ids)
+             union all select 'ratings', category, user_id, null, product_id, null, rating, null, null, null from j_ratings
+             union all select 'new_product_ratings', category, user_id, null, product_id, null, rating, null, null, null from j_new_ratings
+             union all select 'feedback_rejects', category, user_id, null, product_id, product_name, rating, reason, 1, null
+                       from j_routed where target = 'rejected'
+             union all select 'previous_user_recommendations', category, user_id, null, null, null, null, null, batch_id, product_list from (
+                       select category, user_id, batch_id, product_list from history
+                       union all select category, user_id, 1, string_agg(product_name, ':' order by slot) from j_recommend group by 1, 2)
+             union all select 'new_product_shown_list', category, null, null, null, product_name, null, null, null, null from (
+                       select category, product_name from shown
+                       union all select category, product_name from j_recommend where starts_with(source, 'new_')))""",
+        "users", "assign_user_ids", "j_ratings", "j_new_ratings", "j_routed", "history", "j_recommend", "shown"),
     "train_validate_split": compose(
         f"""select *, case when {H("'0|' || category || '|' || cast(user_id as varchar) || '|' || cast(product_id as varchar)")} % 1000 < 700
                           then 'train' else 'validate' end as split
@@ -591,5 +600,52 @@ ORACLES.update({
 })
 
 
+# --- ALS: what does not depend on the solver's floats -----------------------------------------
+view("split", f"""select *, case when {H("'0|' || category || '|' || cast(user_id as varchar) || '|' || cast(product_id as varchar)")} % 1000 < 700
+       then 'train' else 'validate' end as split from ratings""", "ratings")
+view(
+    "predictable",
+    """select v.category, v.user_id, v.product_id, v.rating from split v
+       where v.split = 'validate'
+         and exists (select 1 from split t where t.split = 'train' and t.category = v.category and t.user_id = v.user_id)
+         and exists (select 1 from split t where t.split = 'train' and t.category = v.category and t.product_id = v.product_id)""",
+    "split",
+)
+view(
+    "grid",
+    """select (row_number() over (order by r.i, g.i) - 1)::bigint as grid_index, r.v::bigint as rank, g.v as reg_param
+       from (select unnest([5, 10, 15, 20]) as v, generate_subscripts([5, 10, 15, 20], 1) as i) r,
+            (select unnest([0.001e0, 0.003e0, 0.009e0, 0.01e0, 0.03e0, 0.09e0, 0.1e0]) as v,
+                    generate_subscripts([1, 2, 3, 4, 5, 6, 7], 1) as i) g""",
+)
+ORACLES.update({
+    "als_train": compose(
+        """select 'user' as kind, category, user_id as id, 5::bigint as rank from (select distinct category, user_id from split where split = 'train')
+           union all select 'item', category, product_id, 5::bigint from (select distinct category, product_id from split where split = 'train')""",
+        "split"),
+    "als_predict": compose("select *, true as scored from predictable", "predictable"),
+    "als_save_load": compose("select *, true as same from predictable", "predictable"),
+    "als_grid": compose(
+        """select p.category, g.grid_index, g.rank, g.reg_param, p.n as n_scored, 1::bigint as n_winners, true as winner_is_lowest
+           from (select category, count(*) as n from predictable group by 1) p, grid g""", "predictable", "grid"),
+    "als_recommend": compose(
+        """select * from (
+             select u.category, u.user_id, i.product_id,
+                    ((u.user_id % 7 - 3) * (i.product_id % 13 - 6) + (u.user_id * 3 % 5 - 2) * (i.product_id * 5 % 7 - 3)
+                     + (u.user_id % 11 - 5) * (i.product_id % 3 - 1))::double as score,
+                    row_number() over (partition by u.category, u.user_id order by
+                     (u.user_id % 7 - 3) * (i.product_id % 13 - 6) + (u.user_id * 3 % 5 - 2) * (i.product_id * 5 % 7 - 3)
+                     + (u.user_id % 11 - 5) * (i.product_id % 3 - 1) desc, i.product_id) as rank
+             from (select distinct category, user_id from ratings) u
+             join (select distinct category, product_id from ratings) i on i.category = u.category)
+           where rank <= 3""", "ratings"),
+    "mf_job": compose(
+        """select u.category, u.user_id, least(3, i.n)::bigint as n_products, least(3, i.n)::bigint as n_distinct
+           from (select distinct category, user_id from split where split = 'train') u
+           join (select category, count(distinct product_id) as n from split where split = 'train' group by 1) i on i.category = u.category""",
+        "split"),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

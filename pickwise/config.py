@@ -39,7 +39,8 @@ class Config:
     split_buckets: int = 1000
     # ALS solver layout
     als_seed: int = 7
-    als_blocks: int = 0  # 0: let Spark pick from the default parallelism
+    als_blocks: int = 0  # 0: from the number of ratings and the default parallelism
+    als_block_ratings: int = 1_000_000  # ratings per block when blocks are derived
     als_checkpoint_interval: int = 10
     # grid points fitted at once (threads submitting Spark jobs), as in pyspark.ml.tuning;
     # 1 when a single fit fills the cluster
@@ -47,11 +48,11 @@ class Config:
     # rows per factor block in top-k scoring (user side and item side)
     score_block_rows: int = 4096
     # files written per category partition by the sinks (0: no extra shuffle)
-    files_per_category: int = 0
+    files_per_category: int = 8
     # largest per-category table (rows) broadcast to a per-user join
     broadcast_rows: int = 2_000_000
-    # largest item-factor payload (bytes) broadcast to the scoring join
-    score_broadcast_bytes: int = 256 << 20
+    # largest item-factor payload (bytes) broadcast to the scoring tasks
+    score_broadcast_bytes: int = 64 << 20
 
     @property
     def n_established(self) -> int:
@@ -67,6 +68,3 @@ class Config:
 
 
 DEFAULT = Config()
-
-# Small grid for smoke queries; the jobs use the full grid above.
-SMOKE = Config(ranks=(5,), reg_params=(0.01, 0.1), max_iter=5, grid_parallelism=2)

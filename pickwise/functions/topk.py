@@ -17,13 +17,13 @@ def top_k(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
-    k: int,
+    k: int | None,
     rank_col: str = "rank",
 ) -> DataFrame:
-    """Keep the first ``k`` rows of every group in ``order``; ``rank_col`` is 1-based."""
+    """Keep the first ``k`` rows of every group in ``order`` (None: number all of them);
+    ``rank_col`` is 1-based."""
     w = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn(rank_col, F.row_number().over(w))
-        .where(F.col(rank_col) <= k)
-        .withColumn(rank_col, F.col(rank_col).cast("long"))
-    )
+    ranked = df.withColumn(rank_col, F.row_number().over(w))
+    if k is not None:
+        ranked = ranked.where(F.col(rank_col) <= k)
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("long"))

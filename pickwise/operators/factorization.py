@@ -60,13 +60,14 @@ def split_train_validate(ratings: DataFrame, cfg: Config) -> DataFrame:
 
 # --- A9: RMSE ----------------------------------------------------------------------------
 def rmse(scored: DataFrame, by: list[str] | None = None, label: str = "rating",
-         prediction: str = "prediction") -> DataFrame:
-    """sqrt(mean((label - prediction)^2)) per group, rounded to 6 places; every scored
-    row counts once."""
+         prediction: str = "prediction", digits: int | None = 6) -> DataFrame:
+    """sqrt(mean((label - prediction)^2)) per group, rounded for output (``digits`` None: not
+    rounded, as the winner of a grid needs it); every scored row counts once."""
     by = ["category"] if by is None else by
     err = F.pow(F.col(label) - F.col(prediction), 2)
+    value = F.sqrt(F.avg(err))
     return scored.groupBy(*by).agg(
-        F.round(F.sqrt(F.avg(err)), 6).alias("rmse"), F.count(F.lit(1)).alias("n_scored")
+        (value if digits is None else F.round(value, digits)).alias("rmse"), F.count(F.lit(1)).alias("n_scored")
     )
 
 
@@ -79,29 +80,6 @@ def dense_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
     return idx.withColumn(out, F.coalesce(guard.cast("long"), F.col(out)).cast("int"))
 
 
-def packed_index(keys: DataFrame, key: list[str], out: str) -> DataFrame | None:
-    """(key..., out INT) as ``offset(category) + id`` when every id is non-negative and
-    the categories' id ranges, laid end to end, fit in an int; else None.
-
-    Needs only a per-category max/min (one small aggregate), no sort of the keys."""
-    cat, idc = key
-    ranges = keys.groupBy(cat).agg(F.max(idc).alias("_hi"), F.min(idc).alias("_lo"))
-    w = Window.orderBy(cat).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = checked(ranges.withColumn(
-        "_off", F.coalesce(F.sum(F.col("_hi") + 1).over(w), F.lit(0))
-    ))
-    top, low = offsets.agg(F.max(F.col("_off") + F.col("_hi")), F.min("_lo")).first()
-    if top is None or low is None or low < 0 or top > INT_MAX:
-        return None
-    return keys.select(*key).distinct().join(offsets.select(cat, "_off"), on=cat).select(
-        *key, (F.col("_off") + F.col(idc)).cast("int").alias(out)
-    )
-
-
-def int_index(keys: DataFrame, key: list[str], out: str) -> DataFrame:
-    return packed_index(keys, key, out) or dense_index(keys, key, out)
-
-
 @dataclass
 class Indexed:
     data: DataFrame        # category, user_id, product_id, rating, split, u, i
@@ -113,8 +91,8 @@ def index_ratings(ratings: DataFrame, cfg: Config) -> Indexed:
     """Ratings with their split and integer ids. The two id tables (one row per user and
     per product) are written once to the shared folder: training, prediction and the
     mapping of factors back to (category, id) all read them."""
-    users = cut_lineage(int_index(ratings, USER, "u"))
-    items = cut_lineage(int_index(ratings, ITEM, "i"))
+    users = cut_lineage(dense_index(ratings, USER, "u"))
+    items = cut_lineage(dense_index(ratings, ITEM, "i"))
     data = (
         split_train_validate(ratings.select(*USER, "product_id", "rating"), cfg)
         .join(users, on=USER)
@@ -124,21 +102,27 @@ def index_ratings(ratings: DataFrame, cfg: Config) -> Indexed:
 
 
 # --- M1 / M2 -----------------------------------------------------------------------------
-def als(rank: int, reg: float, cfg: Config) -> ALS:
-    est = ALS(
+def blocks_for(n_ratings: int, parallelism: int, cfg: Config) -> int:
+    """User and item blocks of a fit: enough for the cores and for blocks of a bounded size."""
+    return cfg.als_blocks or max(1, parallelism, -(-n_ratings // cfg.als_block_ratings))
+
+
+def als(rank: int, reg: float, cfg: Config, blocks: int) -> ALS:
+    return ALS(
         rank=rank, maxIter=cfg.max_iter, regParam=reg, userCol="u", itemCol="i",
         ratingCol="rating", coldStartStrategy="drop", seed=cfg.als_seed, implicitPrefs=False,
-        checkpointInterval=cfg.als_checkpoint_interval,
+        checkpointInterval=cfg.als_checkpoint_interval, numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    if cfg.als_blocks > 0:
-        est = est.setNumUserBlocks(cfg.als_blocks).setNumItemBlocks(cfg.als_blocks)
-    return est
 
 
-def fit(train: DataFrame, rank: int, reg: float, cfg: Config) -> ALSModel:
-    """M1: explicit-feedback ALS on indexed training rows."""
-    shared_dir(train.sparkSession)  # ALS checkpoints its lineage there
-    return als(rank, reg, cfg).fit(train)
+def fit(train: DataFrame, rank: int, reg: float, cfg: Config, blocks: int | None = None) -> ALSModel:
+    """M1: explicit-feedback ALS on indexed training rows. ``blocks``: as ``blocks_for`` gives
+    them, where the caller has counted the rows already."""
+    spark = train.sparkSession
+    shared_dir(spark)  # ALS checkpoints its lineage there
+    if blocks is None:
+        blocks = blocks_for(0 if cfg.als_blocks else train.count(), spark.sparkContext.defaultParallelism, cfg)
+    return als(rank, reg, cfg, blocks).fit(train)
 
 
 def predict(model: ALSModel, rows: DataFrame) -> DataFrame:
@@ -159,6 +143,7 @@ def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
     spark = ratings.sparkSession
     ix = index_ratings(ratings, cfg)
     ix.data = ix.data.persist()  # reused by every grid point
+    blocks = blocks_for(ix.data.count(), spark.sparkContext.defaultParallelism, cfg)
     train = ix.data.where(F.col("split") == TRAIN)
     valid = ix.data.where(F.col("split") == VALIDATE)
 
@@ -169,9 +154,9 @@ def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
 
     def run(point):
         gi, (rank, reg) = point
-        model = fit(train, rank, reg, cfg)
+        model = fit(train, rank, reg, cfg, blocks)
         # one row per category: a small summary, safe to bring to the driver
-        return gi, rank, reg, model, rmse(predict(model, valid)).collect()
+        return gi, rank, reg, model, rmse(predict(model, valid), digits=None).collect()
 
     step = max(1, cfg.grid_parallelism)
     with ThreadPoolExecutor(max_workers=step) as pool:
@@ -182,7 +167,7 @@ def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
                 won = False
                 for r in rows:
                     e = r["rmse"]
-                    summary.append((r["category"], gi, rank, float(reg), e, int(r["n_scored"])))
+                    summary.append((r["category"], gi, rank, float(reg), None if e is None else round(e, 6), int(r["n_scored"])))
                     if e is None or np.isnan(e):
                         continue
                     if r["category"] not in best or e < best[r["category"]][0]:
@@ -195,6 +180,7 @@ def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
             live = {g for _, g in best.values()}
             for g in [g for g in models if g not in live]:
                 models.pop(g)
+    ix.data.unpersist()
     winners = {c: g for c, (_, g) in best.items()}
     gdf = spark.createDataFrame(
         summary,
@@ -250,19 +236,40 @@ def _blocks(factors: DataFrame, id_col: str, block_rows: int, prefix: str) -> Da
     )
 
 
+TILE_USERS, TILE_ITEMS = 256, 4096
+
+
+def _scores(U, V):
+    """Dot products of a tile, summed factor by factor in one order: the same value for a pair
+    whatever the tile's shape."""
+    S = np.zeros((len(U), len(V)))
+    for f in range(U.shape[1]):
+        S += U[:, f, None] * V[None, :, f]
+    return S
+
+
 def _topk_rows(uids, U, iids, V, k: int):
-    """Exact top-k of U @ V.T per row, ties to the lower item id: every column scoring at
-    least the k-th best (ties included), sorted by (row, -score, id), k kept per row."""
-    S = U @ V.T
-    kk = min(k, len(iids))
-    kth = np.partition(S, S.shape[1] - kk, axis=1)[:, S.shape[1] - kk]
-    rows, cols = np.nonzero(S >= kth[:, None])
-    vals = S[rows, cols]
-    order = np.lexsort((iids[cols], -vals, rows))
-    rows, cols, vals = rows[order], cols[order], vals[order]
-    pos = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    keep = pos < kk
-    return uids[rows[keep]], iids[cols[keep]], vals[keep], pos[keep] + 1
+    """Exact top-k of every user over the items, ties to the lower item id, in tiles: a running
+    top-k is merged with one tile of scores at a time, so memory does not depend on the
+    number of users or items."""
+    out = []
+    for lo in range(0, len(uids), TILE_USERS):
+        u = U[lo:lo + TILE_USERS]
+        best_s, best_i = np.empty((len(u), 0)), np.empty((len(u), 0), np.int64)
+        for at in range(0, len(iids), TILE_ITEMS):
+            s = _scores(u, V[at:at + TILE_ITEMS])
+            i = np.broadcast_to(iids[at:at + TILE_ITEMS], s.shape)
+            if s.shape[1] > k:  # only what reaches the tile's k-th best, ties included
+                kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+                width = int((s >= kth[:, None]).sum(axis=1).max())
+                pick = np.argsort(-s, axis=1, kind="stable")[:, :width]
+                s, i = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
+            s, i = np.hstack([best_s, s]), np.hstack([best_i, i])
+            pick = np.lexsort((i, -s), axis=1)[:, :k]
+            best_s, best_i = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
+        n = best_s.shape[1]
+        out.append((np.repeat(uids[lo:lo + TILE_USERS], n), best_i.ravel(), best_s.ravel(), np.tile(np.arange(1, n + 1), len(u))))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _frame(cat, u, i, v, r) -> pd.DataFrame:
@@ -285,12 +292,14 @@ def _top_pairs(k: int):
 
 
 def _item_matrices(item_factors: DataFrame) -> dict:
-    """Item factors per category as numpy arrays; callers check the size first."""
-    pdf = item_factors.select("category", "product_id", "features").toPandas()
-    return {
-        cat: (g["product_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64))
-        for cat, g in pdf.groupby("category")
-    }
+    """Item factors per category as numpy arrays, row by row from the cluster; callers check
+    the size first."""
+    ids: dict[str, list] = {}
+    feats: dict[str, list] = {}
+    for r in item_factors.select("category", "product_id", "features").toLocalIterator():
+        ids.setdefault(r["category"], []).append(r["product_id"])
+        feats.setdefault(r["category"], []).append(np.asarray(r["features"], np.float32))
+    return {c: (np.array(ids[c], np.int64), np.stack(feats[c])) for c in ids}
 
 
 def _score_users(items, k: int):
@@ -304,7 +313,7 @@ def _score_users(items, k: int):
                 iids, V = mats[cat]
                 yield _frame(cat, *_topk_rows(
                     g["user_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64),
-                    iids, V, k))
+                    iids, V.astype(np.float64), k))
 
     return score
 
@@ -317,10 +326,11 @@ def recommend_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cf
     (category, user_id, product_id, score, rank); ties go to the lower product id.
 
     Item factors under ``score_broadcast_bytes`` (counted first) are broadcast as numpy
-    matrices and users are scored where they are: one matrix product per category per
-    Arrow batch, nothing shuffled. Beyond that, factors are packed into blocks and every
+    matrices and users are scored where they are, nothing shuffled. Beyond that, factors are packed into blocks and every
     item block is paired with each user block of its category on (category, user block);
-    the top k per user per pair leaves the task and a final top-k merges the pairs.
+    the top k per user per pair leaves the task and a final top-k merges the pairs. Both
+    run the same tile kernel, whose memory is bounded by a constant and whose scores do not
+    depend on the tiling.
     """
     n_items, width = item_factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     if (n_items or 0) * ((width or 0) * 8 + 16) <= cfg.score_broadcast_bytes:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.lists import explode_list, ordered_join
-from pickwise.operators.registry import product_ids
+from pickwise.operators.registry import NAME_KEY, product_ids, requested
 from pickwise.sources.text import ERR_PRODUCT, ERR_RANGE, RATING_MAX, RATING_MIN
 
 USER = ["category", "user_id"]
@@ -19,6 +19,7 @@ TARGET_NEW = "new_product_ratings"
 TARGET_ESTABLISHED = "ratings"
 TARGET_REJECTED = "rejected"
 ERR_MISSING = "missing_rating"
+ERR_USER = "unknown_user"
 
 
 def feedback_batch(feedback: DataFrame) -> DataFrame:
@@ -31,15 +32,17 @@ def feedback_batch(feedback: DataFrame) -> DataFrame:
     )
 
 
-def route_feedback(feedback: DataFrame, products: DataFrame, new_products: DataFrame) -> DataFrame:
+def route_feedback(feedback: DataFrame, products: DataFrame, new_products: DataFrame,
+                   users: DataFrame | None = None) -> DataFrame:
     """Where each feedback rating goes.
 
     The target table is decided by whether the name is in ``new_products`` (R9); the id
     by the established-first lookup (R6); both come from one lookup table, so feedback is
-    joined once. Unknown names, missing ratings and ratings outside [0, 5] go to the
-    reject table with a reason.
+    joined once. Unknown names, missing ratings, ratings outside [0, 5] and, when ``users`` is
+    given, unknown users go to the reject table with a reason.
     """
-    ids = product_ids(products, new_products).select(
+    asked = lambda t: requested(t, feedback, NAME_KEY)
+    ids = product_ids(asked(products), asked(new_products)).select(
         "category", "product_name", "product_id", F.col("in_new").alias("_new")
     )
     r = F.col("rating")
@@ -48,6 +51,10 @@ def route_feedback(feedback: DataFrame, products: DataFrame, new_products: DataF
         .when(r.isNull() | F.isnan(r), F.lit(ERR_MISSING))
         .when((r < RATING_MIN) | (r > RATING_MAX), F.lit(ERR_RANGE))
     )
+    if users is not None:
+        known = requested(users.select(*USER), feedback, USER).distinct().withColumn("_known", F.lit(True))
+        feedback = feedback.join(known, on=USER, how="left")
+        reason = F.when(F.col("_known").isNull(), F.lit(ERR_USER)).otherwise(reason)
     routed = feedback.join(ids, on=["category", "product_name"], how="left").withColumn(
         "reason", reason
     )

@@ -74,10 +74,9 @@ def top_rated_new(new_product_ratings: DataFrame | None, new_products: DataFrame
     """The k new products with the best mean rating per category (ties: lower id).
     Means come from the new-product ratings, or from ``product_stats`` when given."""
     means = new_means_from_stats(stats) if stats is not None else mean_ratings(new_product_ratings)
-    top = top_k(means, ["category"], [F.col("mean_rating").desc(), F.col("product_id")], k)
-    return with_names(top, new_products).select(
-        "category", "rank", "product_id", "product_name", "mean_rating"
-    )
+    return top_k(
+        with_names(means, new_products), ["category"], [F.col("mean_rating").desc(), F.col("product_id")], k
+    ).select("category", "rank", "product_id", "product_name", "mean_rating")
 
 
 def least_shown_unrated(

@@ -81,13 +81,12 @@ def with_names(df: DataFrame, products: DataFrame) -> DataFrame:
 def category_top(means: DataFrame, products: DataFrame, k: int) -> DataFrame:
     """The k best products of every category by mean rating (ties: lower id).
 
-    ``products`` should be all products (U1). The top-k is cut before the name join, so
-    the join sees k rows per category.
+    ``products`` should be all products (U1). Names are joined before the cut, so a rated
+    product that is in no product table takes no place in the list.
     """
-    top = top_k(means, ["category"], [F.col("mean_rating").desc(), F.col("product_id")], k)
-    return with_names(top, products).select(
-        "category", "rank", "product_id", "product_name", "mean_rating"
-    )
+    return top_k(
+        with_names(means, products), ["category"], [F.col("mean_rating").desc(), F.col("product_id")], k
+    ).select("category", "rank", "product_id", "product_name", "mean_rating")
 
 
 def category_list(tables, cfg: Config, stats: DataFrame | None = None) -> DataFrame:

@@ -114,9 +114,9 @@ def recommend(
     per_cat = max(cfg.n_recs, cfg.unrated_pool, cfg.rated_pool, 1)
     bc = bounded(stage.count(), per_cat, cfg.broadcast_rows)
     if category_recs is None:
-        category_recs = tables.category_recs if tables.category_recs is not None else (
-            category_list(tables, cfg, stats)
-        )
+        # from the snapshot, never a stored list: that one may be missing, stale or of any
+        # length; at most n_recs rows per category, read by two strategies: written once
+        category_recs = cut_lineage(category_list(tables, cfg, stats))
     staged = users.select(*USER).join(bc(stage), on="category")
     by = lambda s: staged.where(F.col("stage") == s).select(*USER)
     out = (

@@ -1,8 +1,10 @@
 """User and product registry, set-wise over request tables.
 
 The original answers one mail id or product name per Spark job; here a request table of
-any size is answered by one join. Existence tests are left joins against a distinct key
-set (never a count per request). New ids are ``max id of the category + 1, 2, ...`` in
+any size is answered by one join. The big table is first cut to the requested keys by a
+semi-join (no shuffle of it while the requests are small enough for Spark to broadcast them),
+and only what is left is aggregated or joined. Existence tests are left joins against a
+distinct key set (never a count per request). New ids are ``max id of the category + 1, 2, ...`` in
 name order over the distinct unseen requests, assigned by ``dense_positions`` so that a
 category with a huge batch of new names is not numbered by a single task.
 """
@@ -20,8 +22,13 @@ USER_KEY = ["category", "mail_id"]
 NAME_KEY = ["category", "product_name"]
 
 
+def requested(rows: DataFrame, requests: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is requested."""
+    return rows.join(requests.select(*on), on=on, how="left_semi")
+
+
 def _flag(requests: DataFrame, keys: DataFrame, on: list[str], name: str) -> DataFrame:
-    k = keys.select(*on).distinct().withColumn(name, F.lit(True))
+    k = requested(keys.select(*on), requests, on).distinct().withColumn(name, F.lit(True))
     return requests.join(k, on=on, how="left").withColumn(
         name, F.coalesce(F.col(name), F.lit(False))
     )
@@ -44,14 +51,14 @@ def user_exists(requests: DataFrame, users: DataFrame) -> DataFrame:
 
 def lookup_user_id(requests: DataFrame, users: DataFrame) -> DataFrame:
     """R2: id of each known requested mail id (lowest id if repeated); unknown: no row."""
-    ids = users.groupBy(*USER_KEY).agg(F.min("user_id").alias("user_id"))
+    ids = requested(users, requests, USER_KEY).groupBy(*USER_KEY).agg(F.min("user_id").alias("user_id"))
     return requests.select(*USER_KEY).join(ids, on=USER_KEY, how="inner")
 
 
 def assign_user_ids(requests: DataFrame, users: DataFrame) -> DataFrame:
     """Ids for the distinct mail ids not yet registered in their category."""
     unseen = requests.select(*USER_KEY).distinct().join(
-        users.select(*USER_KEY), on=USER_KEY, how="left_anti"
+        requested(users.select(*USER_KEY), requests, USER_KEY).distinct(), on=USER_KEY, how="left_anti"
     )
     return _next_ids(unseen, users, "user_id", "mail_id").select("category", "user_id", "mail_id")
 
@@ -86,16 +93,15 @@ def product_ids(products: DataFrame, new_products: DataFrame) -> DataFrame:
 
 def lookup_product_id(requests: DataFrame, products: DataFrame, new_products: DataFrame) -> DataFrame:
     """(category, product_name, product_id, is_new) for every known requested name."""
-    return requests.select(*NAME_KEY).join(
-        product_ids(products, new_products).drop("in_new"), on=NAME_KEY, how="inner"
-    )
+    ids = product_ids(requested(products, requests, NAME_KEY), requested(new_products, requests, NAME_KEY))
+    return requests.select(*NAME_KEY).join(ids.drop("in_new"), on=NAME_KEY, how="inner")
 
 
 def assign_product_ids(requests: DataFrame, products: DataFrame, new_products: DataFrame) -> DataFrame:
     """Ids for distinct unseen names, after the max id over both product tables."""
     both = all_products(products, new_products)
     unseen = requests.select(*NAME_KEY).distinct().join(
-        both.select(*NAME_KEY), on=NAME_KEY, how="left_anti"
+        requested(both.select(*NAME_KEY), requests, NAME_KEY).distinct(), on=NAME_KEY, how="left_anti"
     )
     return _next_ids(unseen, both, "product_id", "product_name").select(
         "category", "product_id", "product_name"

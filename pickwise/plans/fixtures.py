@@ -1,8 +1,7 @@
 """Engine inputs derived from the driver's TPC-H-style tables (FIXTURES.md part 2).
 
 category = market segment; user = customer; product = part, listed in every category;
-every tenth part is new; customers with key % 10 = 0 never rate and those with
-key % 10 = 1 rate only new products. Everything is a lazy plan over the parquet files,
+every tenth part is new; customers without returned lines never rate. Everything is a lazy plan over the parquet files,
 so the work grows with the tables.
 """
 
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pickwise import schemas
+from pickwise.config import Config
 from pickwise.functions.topk import top_k
 from pickwise.session import scratch_path
 from pickwise.sources.tables import Tables
@@ -29,7 +29,7 @@ _SCHEMAS = {
     "shown": schemas.SHOWN, "user_requests": schemas.USER_REQUESTS,
     "product_requests": schemas.PRODUCT_REQUESTS, "feedback": schemas.FEEDBACK,
     "history": schemas.HISTORY, "user_recs": schemas.USER_RECS,
-    "stage_ratings": schemas.RATINGS, "raw_rating_lines": schemas.RAW_RATING_LINES,
+    "raw_rating_lines": schemas.RAW_RATING_LINES,
     "mean_predictions": T.StructType(
         schemas.RATINGS.fields + [T.StructField("prediction", T.DoubleType(), True)]
     ),
@@ -118,10 +118,6 @@ class Fixtures:
         q = F.col("l_quantity").cast("int")
         return (
             self._line_orders("R")
-            .where(
-                (F.col("c_custkey") % 10 != 0)
-                & ((F.col("c_custkey") % 10 != 1) | (F.col("l_partkey") % 10 == 0))
-            )
             .select(
                 F.col("c_mktsegment").alias("category"),
                 F.col("o_custkey").alias("user_id"),
@@ -152,31 +148,19 @@ class Fixtures:
 
     @stored
     def user_requests(self) -> DataFrame:
-        u = self.users
-        return u.where(F.col("user_id") % 7 == 0).select("category", "mail_id").unionByName(
-            u.where(F.col("user_id") % 50 == 0).select(
-                "category", F.concat(F.lit("guest-"), F.col("mail_id")).alias("mail_id")
-            )
-        )
+        """Every registered mail id, and an unseen one for each."""
+        known = self.users.select("category", "mail_id")
+        return known.unionByName(known.withColumn("mail_id", F.concat(F.lit("guest-"), "mail_id")))
 
     @stored
     def product_requests(self) -> DataFrame:
-        c = self.catalog
-        return c.where(F.col("product_id") % 50 == 0).select(
-            "category", "product_name", "manufacturer"
-        ).unionByName(
-            c.where(F.col("product_id") % 50 == 25).select(
-                "category",
-                F.concat(F.lit("fresh "), F.col("product_name")).alias("product_name"),
-                "manufacturer",
-            )
-        )
+        """Every product name, and an unseen one for each."""
+        known = self.catalog.select("category", "product_name", "manufacturer")
+        return known.unionByName(known.withColumn("product_name", F.concat(F.lit("fresh "), "product_name")))
 
     @stored
     def feedback(self) -> DataFrame:
-        li = self.base("lineitem").where(
-            (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1)
-        )
+        li = self.base("lineitem").where(F.col("l_returnflag") == "A")
         o = self.base("orders").select("o_orderkey", "o_custkey")
         c = self.base("customer").select("c_custkey", "c_mktsegment")
         p = self.base("part").select("p_partkey", "p_name")
@@ -230,24 +214,11 @@ class Fixtures:
             best, ["category", "user_id"], [F.col("score").desc(), F.col("product_id")], 3, "_rn"
         ).drop("_rn")
 
-    @stored
-    def stage_ratings(self) -> DataFrame:
-        """BUILDING keeps all its ratings, FURNITURE only its first, others none."""
-        r = self.all_ratings
-        first = (
-            r.where(F.col("category") == "FURNITURE")
-            .groupBy("category")
-            .agg(F.min(F.struct("user_id", "product_id", "rating")).alias("f"))
-            .select("category", "f.*")
-        )
-        return r.where(F.col("category") == "BUILDING").unionByName(first)
-
     @stored
     def mean_predictions(self) -> DataFrame:
-        """Ratings scored by a per-product mean predictor; a third of the products has
-        no prediction (and is dropped by the inner join)."""
+        """Ratings scored by a per-product mean predictor."""
         m = (
-            self.all_ratings.where(F.col("product_id") % 3 != 0)
+            self.all_ratings
             .groupBy("category", "product_id")
             .agg(F.avg("rating").alias("prediction"))
         )
@@ -288,10 +259,8 @@ class Fixtures:
             history=self.history,
         )
 
-    def stage_tables(self) -> Tables:
-        """The snapshot with ratings cut down to ``stage_ratings`` (all three stages)."""
-        s = self.stage_ratings
-        return self.tables().with_(
-            ratings=s.where(F.col("product_id") % 10 != 0),
-            new_product_ratings=s.where(F.col("product_id") % 10 == 0),
-        )
+    def stage_config(self, cfg: Config) -> Config:
+        """Stage thresholds at the second and fourth smallest rating count of the categories, so
+        that the whole rating tables take the batch through all three stages."""
+        n = sorted(r["count"] for r in self.all_ratings.groupBy("category").count().collect())  # one row per category
+        return cfg.with_(stage1=n[1], stage2=n[3])

@@ -3,6 +3,7 @@
     python -m pickwise.plans.jobs <root> mf [grid_parallelism]
     python -m pickwise.plans.jobs <root> categorical|promote
     python -m pickwise.plans.jobs <root> onboard <product_requests.parquet>
+    python -m pickwise.plans.jobs <root> import <folder of the original layout>
     python -m pickwise.plans.jobs <root> recommend <user_requests.parquet> <feedback.parquet> <batch_id>
 
 Each ``*_plan`` function is pure (DataFrames in, DataFrames out); the ``run_*`` functions
@@ -26,38 +27,31 @@ from pickwise.operators.ratings import category_list
 from pickwise.operators.recommend import recommend
 from pickwise.sources import models
 from pickwise.session import cut_lineage
+from pickwise.sources.legacy import import_legacy
 from pickwise.sources.tables import TableStore, Tables
 
 
-REJECTS = "feedback_rejects"
-
-
 # --- E3: recommend a batch of requests ----------------------------------------------------
 @dataclass
 class BatchResult:
     recs: DataFrame          # category, mail_id, user_id, slot, product_id, product_name, source, stage
     new_users: DataFrame     # rows appended to users
     routed: DataFrame        # feedback with its target table (or reject reason)
-    history: DataFrame       # rows appended to previous_user_recommendations
-    exposures: DataFrame     # rows appended to new_product_shown_list
-    snapshot: Tables         # the snapshot the lists were computed from
 
 
 def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg: Config,
                    batch_id: int) -> BatchResult:
-    """Known mail ids give feedback, unknown ones are registered; then every requester
-    gets a list from one snapshot that already holds this batch's feedback and users."""
+    """Feedback of any known user is routed, unknown requesters are registered; then every
+    requester gets a list from one snapshot that already holds this batch's feedback and users."""
     rq = requests.select("category", "mail_id").distinct()
     # request-sized tables read by several branches below: written once
     known = cut_lineage(RG.lookup_user_id(rq, tables.users))
     new_users = RG.assign_user_ids(rq, tables.users)
     req_users = known.unionByName(new_users.select("category", "mail_id", "user_id"))
 
-    fb = FB.feedback_batch(
-        feedback.join(known.select("category", "user_id"), on=["category", "user_id"],
-                      how="left_semi")
-    )
-    routed = cut_lineage(FB.route_feedback(fb, tables.products, tables.new_products))
+    routed = cut_lineage(FB.route_feedback(
+        FB.feedback_batch(feedback), tables.products, tables.new_products, tables.users
+    ))
     snap = tables.with_(
         users=tables.users.unionByName(new_users.select(*tables.users.columns)),
         ratings=tables.ratings.unionByName(FB.routed_rows(routed, FB.TARGET_ESTABLISHED)),
@@ -69,25 +63,29 @@ def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg
     out = recs.join(req_users, on=["category", "user_id"]).select(
         "category", "mail_id", "user_id", "slot", "product_id", "product_name", "source", "stage"
     )
-    return BatchResult(out, new_users, routed, FB.push_recommendations(recs, batch_id),
-                       NP.exposures(recs), snap)
+    return BatchResult(out, new_users, routed)
 
 
 def run_recommend(store: TableStore, requests: DataFrame, feedback: DataFrame, cfg: Config,
                   batch_id: int) -> DataFrame:
-    res = recommend_plan(requests, feedback, store.load(), cfg, batch_id)
-    # materialise once in the shared folder: the appends below change the inputs
-    recs = cut_lineage(res.recs)
-    routed = res.routed
-    store.append("users", res.new_users)
-    store.append("ratings", FB.routed_rows(routed, FB.TARGET_ESTABLISHED))
-    store.append("new_product_ratings", FB.routed_rows(routed, FB.TARGET_NEW))
-    routed.where(F.col("target") == FB.TARGET_REJECTED).write.mode("append").partitionBy(
-        "category").parquet(f"{store.root}/{REJECTS}")
-    store.append("previous_user_recommendations",
-                 FB.push_recommendations(recs, batch_id))
-    store.append("new_product_shown_list", NP.exposures(recs))
-    return recs
+    """One batch, committed as a whole under its id. A batch that comes back changes
+    nothing and returns the lists stored for it."""
+    commit_id = f"recommend-{batch_id}"
+    if not store.committed(commit_id):
+        res = recommend_plan(requests, feedback, store.load(), cfg, batch_id)
+        # six outputs read them: written once
+        recs, users = cut_lineage(res.recs), cut_lineage(res.new_users)
+        rejected = res.routed.where(F.col("target") == FB.TARGET_REJECTED)
+        store.commit({
+            "users": users,
+            "ratings": FB.routed_rows(res.routed, FB.TARGET_ESTABLISHED),
+            "new_product_ratings": FB.routed_rows(res.routed, FB.TARGET_NEW),
+            "feedback_rejects": rejected.withColumn("batch_id", F.lit(batch_id).cast("long")),
+            "previous_user_recommendations": FB.push_recommendations(recs, batch_id),
+            "new_product_shown_list": NP.exposures(recs),
+            "batch_recommendations": recs.withColumn("batch_id", F.lit(batch_id).cast("long")),
+        }, commit_id=commit_id)
+    return store.read("batch_recommendations").where(F.col("batch_id") == batch_id).drop("batch_id")
 
 
 # --- E4, C8, E2, E1 -----------------------------------------------------------------------
@@ -98,10 +96,9 @@ def run_onboard(store: TableStore, product_requests: DataFrame) -> DataFrame:
     return rows
 
 
-def run_promote(store: TableStore, cfg: Config) -> dict[str, int]:
+def run_promote(store: TableStore, cfg: Config) -> None:
     """Read-and-replace of four tables, published as one new snapshot."""
-    new = NP.promote(store.load(), cfg)
-    return store.publish(new)
+    store.publish(NP.promote(store.load(), cfg))
 
 
 def run_categorical(store: TableStore, cfg: Config) -> DataFrame:
@@ -130,8 +127,8 @@ def main(argv: list[str]) -> None:
 
     root, job = argv[0], argv[1]
     spark: SparkSession = build_session()
-    store = TableStore(spark, root)
     cfg = DEFAULT
+    store = TableStore(spark, root, cfg.files_per_category)
     if job == "mf":
         run_mf(store, cfg.with_(grid_parallelism=int(argv[2])) if len(argv) > 2 else cfg)
     elif job == "categorical":
@@ -143,6 +140,8 @@ def main(argv: list[str]) -> None:
     elif job == "recommend":
         run_recommend(store, spark.read.parquet(argv[2]), spark.read.parquet(argv[3]), cfg,
                       int(argv[4]))
+    elif job == "import":
+        import_legacy(store, argv[2], cfg)
     else:
         raise SystemExit(f"unknown job {job!r}")
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.config import DEFAULT, SMOKE, Config
+from pickwise.config import DEFAULT, Config
 from pickwise.operators import factorization as MF
 from pickwise.operators import feedback as FB
 from pickwise.operators import newproducts as NP
@@ -23,7 +23,7 @@ from pickwise.plans.fixtures import Fixtures
 from pickwise.session import scratch_path
 from pickwise.sources import legacy as L
 from pickwise.sources import models as M
-from pickwise.sources.tables import TableStore
+from pickwise.sources.tables import STORED, TableStore
 from pickwise.sources.text import check_products, parse_rating_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,7 +91,8 @@ def q_rated_new_products(spark, sf_dir):
 
 @query("category_stage")
 def q_category_stage(spark, sf_dir):
-    return RC.stages(_fx(spark, sf_dir).stage_tables(), CFG)
+    fx = _fx(spark, sf_dir)
+    return RC.stages(fx.tables(), fx.stage_config(CFG))
 
 
 @query("product_mean_rating")
@@ -275,7 +276,7 @@ def q_final_recs(spark, sf_dir):
 @query("recommend")
 def q_recommend(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return RC.recommend(fx.users, fx.stage_tables(), CFG)
+    return RC.recommend(fx.users, fx.tables(), fx.stage_config(CFG))
 
 
 # --- feedback ---------------------------------------------------------------------------
@@ -350,26 +351,23 @@ def q_sink_append(spark, sf_dir):
 
 @query("sink_overwrite")
 def q_sink_overwrite(spark, sf_dir):
-    """A category list from established ratings, then the stage snapshot's list
-    overwrites the categories it has (dynamic partition overwrite), read back."""
+    """A category list from established ratings, then the list over all ratings overwrites
+    the categories that have reached stage 3, read back."""
     fx = _fx(spark, sf_dir)
     store = _store(spark, "sink_overwrite")
     prods = R.all_products(fx.products, fx.new_products)
     store.append("category_recommendation_data",
                  R.category_top(R.mean_ratings(fx.ratings), prods, CFG.n_recs))
+    late = RC.stages(fx.tables(), fx.stage_config(CFG)).where("stage = 3")
     store.overwrite_categories("category_recommendation_data",
-                               R.category_list(fx.stage_tables(), CFG))
+                               R.category_list(fx.tables(), CFG).join(late, "category", "left_semi"))
     return store.read("category_recommendation_data")
 
 
 def _seed_store(spark, sf_dir, purpose: str) -> TableStore:
     store = _store(spark, purpose)
     t = _fx(spark, sf_dir).tables()
-    for attr, name in (("users", "users"), ("products", "products"),
-                       ("new_products", "new_products"), ("ratings", "ratings"),
-                       ("new_product_ratings", "new_product_ratings"),
-                       ("shown", "new_product_shown_list")):
-        store.append(name, getattr(t, attr))
+    store.commit({name: getattr(t, attr) for attr, name in STORED.items() if getattr(t, attr) is not None})
     return store
 
 
@@ -398,9 +396,27 @@ def q_categorical_job(spark, sf_dir):
 
 @query("recommend_job")
 def q_recommend_job(spark, sf_dir):
-    """E3 over the request table, from the stage snapshot plus this batch's feedback."""
+    """E3 over the request table, by the job itself on a store: the lists it returns."""
     fx = _fx(spark, sf_dir)
-    return J.recommend_plan(fx.user_requests, fx.feedback, fx.stage_tables(), CFG, 1).recs
+    store = _seed_store(spark, sf_dir, "recommend_job")
+    return J.run_recommend(store, fx.user_requests, fx.feedback, fx.stage_config(CFG), 1)
+
+
+@query("recommend_job_tables")
+def q_recommend_job_tables(spark, sf_dir):
+    """Every table that the job appends to, after the same batch came twice."""
+    fx = _fx(spark, sf_dir)
+    store = _seed_store(spark, sf_dir, "recommend_job_tables")
+    for _ in range(2):
+        J.run_recommend(store, fx.user_requests, fx.feedback, fx.stage_config(CFG), 1)
+    cols = {"category": "string", "user_id": "long", "mail_id": "string", "product_id": "long", "product_name": "string",
+            "rating": "double", "reason": "string", "batch_id": "long", "product_list": "string"}
+    out = None
+    for t in ("users", "ratings", "new_product_ratings", "feedback_rejects", "previous_user_recommendations", "new_product_shown_list"):
+        df = store.read(t)
+        part = df.select(F.lit(t).alias("table_name"), *((F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in cols.items()))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # --- factorisation ----------------------------------------------------------------------
@@ -414,58 +430,77 @@ def q_rmse(spark, sf_dir):
     return MF.rmse(_fx(spark, sf_dir).mean_predictions)
 
 
-def _indexed(spark, sf_dir):
-    ix = MF.index_ratings(_fx(spark, sf_dir).ratings, SMOKE)
-    return ix, ix.data.where("split = 'train'"), ix.data.where("split = 'validate'")
+# the grid of the jobs, four points at a time
+GRID: Config = CFG.with_(grid_parallelism=4)
+
+
+def _fitted(spark, sf_dir):
+    """The first grid point fitted on the training rows, with the index and the validation rows."""
+    ix = MF.index_ratings(_fx(spark, sf_dir).ratings, CFG)
+    model = MF.fit(ix.data.where("split = 'train'"), CFG.ranks[0], CFG.reg_params[0], CFG)
+    return ix, model, ix.data.where("split = 'validate'")
 
 
 @query("als_train")
 def q_als_train(spark, sf_dir):
-    """M1: user and item factors of one fit, keyed by (category, id)."""
-    ix, train, _ = _indexed(spark, sf_dir)
-    m = MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE)
+    """M1: every user and product of the training rows has one factor of the given rank."""
+    ix, m, _ = _fitted(spark, sf_dir)
     u = m.userFactors.withColumnRenamed("id", "u").join(ix.users, on="u").select(
-        F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), "features")
+        F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), F.size("features").cast("long").alias("rank"))
     i = m.itemFactors.withColumnRenamed("id", "i").join(ix.items, on="i").select(
-        F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), "features")
+        F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), F.size("features").cast("long").alias("rank"))
     return u.unionByName(i)
 
 
 @query("als_predict")
 def q_als_predict(spark, sf_dir):
-    """Validation rows with a prediction (pairs without factors drop)."""
-    ix, train, valid = _indexed(spark, sf_dir)
-    m = MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE)
-    return MF.predict(m, valid).select(*MF.USER, "product_id", "rating", "prediction")
+    """Validation rows whose user and product have factors get a number."""
+    _, m, valid = _fitted(spark, sf_dir)
+    return MF.predict(m, valid).select(*MF.USER, "product_id", "rating", (~F.isnan("prediction")).alias("scored"))
 
 
 @query("als_grid")
 def q_als_grid(spark, sf_dir):
-    """M3: per-category validation RMSE of every grid point and the winner."""
-    return MF.grid_search(_fx(spark, sf_dir).ratings, SMOKE).grid
+    """M3: every grid point scores every predictable validation row; one winner a category, and it
+    has the smallest error."""
+    grid = MF.grid_search(_fx(spark, sf_dir).ratings, GRID).grid
+    best = grid.groupBy("category").agg(F.min("rmse").alias("_low"), F.sum(F.col("is_best").cast("long")).alias("n_winners"))
+    of_winner = grid.where("is_best").select("category", F.col("rmse").alias("_won"))
+    return grid.join(best, "category").join(of_winner, "category").select(
+        "category", F.col("grid_index").cast("long").alias("grid_index"), F.col("rank").cast("long").alias("rank"), "reg_param",
+        "n_scored", "n_winners", (F.col("_won") == F.col("_low")).alias("winner_is_lowest"))
 
 
 @query("als_recommend")
 def q_als_recommend(spark, sf_dir):
-    """M5: top 3 products of the user's category for every rater with factors."""
-    recs, _ = MF.user_recommendations(_fx(spark, sf_dir).ratings, SMOKE)
-    return recs
+    """Top 3 products of the user's category for every rater. The factors are small whole
+    numbers made from the ids, saved and loaded through the model store, so scores are exact."""
+    ratings = _fx(spark, sf_dir).ratings
+    whole = lambda c, ms: F.array(*[(F.col(c) * m % n - o).cast("float") for m, n, o in ms])
+    u = ratings.select(*MF.USER).distinct().withColumn("features", whole("user_id", [(1, 7, 3), (3, 5, 2), (1, 11, 5)]))
+    i = ratings.select(*MF.ITEM).distinct().withColumn("features", whole("product_id", [(1, 13, 6), (5, 7, 3), (1, 3, 1)]))
+    path = scratch_path(spark, "exact_model")
+    M.save_factors(path, u, i, spark.createDataFrame([], M.GRID))
+    u, i, _ = M.load_factors(spark, path)
+    return MF.recommend_top_k(u, i, CFG.n_established, CFG)
 
 
 @query("als_save_load")
 def q_als_save_load(spark, sf_dir):
-    """An ALS model saved and loaded back scores the validation rows."""
-    ix, train, valid = _indexed(spark, sf_dir)
+    """An ALS model saved and loaded back scores the validation rows as before."""
+    _, m, valid = _fitted(spark, sf_dir)
     path = scratch_path(spark, "als_model")
-    M.save_als(MF.fit(train, SMOKE.ranks[0], SMOKE.reg_params[-1], SMOKE), path)
-    return MF.predict(M.load_als(path), valid).select(*MF.USER, "product_id", "rating", "prediction")
+    M.save_als(m, path)
+    again = MF.predict(M.load_als(path), MF.predict(m, valid).withColumnRenamed("prediction", "before"))
+    return again.select(*MF.USER, "product_id", "rating", (F.col("prediction") == F.col("before")).alias("same"))
 
 
 @query("mf_job")
 def q_mf_job(spark, sf_dir):
-    """Grid, model save/load, user_recommendation_data replaced, read back."""
+    """The full grid, model save/load, user_recommendation_data replaced; lists per user, read back."""
     store = _seed_store(spark, sf_dir, "mf_job")
-    return J.run_mf(store, SMOKE)
+    recs = J.run_mf(store, GRID)
+    return recs.groupBy(*MF.USER).agg(F.count("*").alias("n_products"), F.countDistinct("product_id").alias("n_distinct"))
 
 
 FLAGSHIP = "recommend"

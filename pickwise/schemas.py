@@ -31,6 +31,15 @@ FEEDBACK = _schema(
 )
 RAW_RATING_LINES = _schema(("category", S), ("line", S))
 
+FEEDBACK_REJECTS = _schema(
+    ("category", S), ("user_id", L), ("product_name", S), ("product_id", L), ("rating", D), ("seq", L),
+    ("target", S), ("reason", S), ("batch_id", L),
+)
+BATCH_RECS = _schema(
+    ("category", S), ("mail_id", S), ("user_id", L), ("slot", L), ("product_id", L), ("product_name", S),
+    ("source", S), ("stage", L), ("batch_id", L),
+)
+
 TABLES = {
     "users": USERS,
     "products": PRODUCTS,
@@ -41,6 +50,8 @@ TABLES = {
     "category_recommendation_data": CATEGORY_RECS,
     "user_recommendation_data": USER_RECS,
     "previous_user_recommendations": HISTORY,
+    "feedback_rejects": FEEDBACK_REJECTS,
+    "batch_recommendations": BATCH_RECS,
 }
 
 # recommendation rows produced by every strategy

@@ -1,7 +1,7 @@
 """Session defaults and the shared working folder.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; we only pick
-our own (a fresh temporary folder) when the session has none, as in local tests.
+On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; only a session with
+a local master (tests) may go without and then gets a fresh temporary folder.
 """
 
 from __future__ import annotations
@@ -10,28 +10,41 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
+from pyspark import SparkConf, SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str | None = None, partitions: int = 8, app: str = "pickwise") -> SparkSession:
+def _submitted() -> dict[str, str]:
+    """Settings given on submission: they are in the JVM that the launcher starts."""
+    SparkContext._ensure_initialized()
+    return dict(SparkConf(loadDefaults=True).getAll())
+
+
+def build_session(master: str | None = None, partitions: int | None = None, app: str = "pickwise") -> SparkSession:
+    """A session with the settings the engine relies on.
+
+    Settings given on submission win: only those that are unset get a value here.
+    ``partitions`` is for local sessions (tests, bench); a cluster's own
+    ``spark.sql.shuffle.partitions`` is never touched."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    return (
-        b.config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    given = _submitted()
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
         # factor blocks travel to Python in Arrow batches: bound them by bytes, not rows
-        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    for k, v in wanted.items():
+        if k not in given:
+            b = b.config(k, v)
+    if partitions and (master or given.get("spark.master", "")).startswith("local"):
+        b = b.config("spark.sql.shuffle.partitions", str(partitions))
+    return b.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,7 +55,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Unset: local run or test. Take a fresh folder of our own.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pickwise-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -17,7 +17,7 @@ from pyspark.sql.utils import AnalysisException
 
 from pickwise.config import Config
 from pickwise.functions.topk import top_k
-from pickwise.operators.ratings import all_products, with_names
+from pickwise.operators.ratings import all_products
 from pickwise.sources.tables import TableStore
 from pickwise.sources.text import check_products, parse_rating_lines
 
@@ -48,7 +48,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path).limit(0).collect()
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
@@ -70,7 +72,8 @@ def read_rating_lines(spark: SparkSession, base: str, dataset: str) -> DataFrame
 
 def import_legacy(store: TableStore, base: str, cfg: Config) -> dict[str, DataFrame]:
     """Append every dataset found under ``base`` to ``store``. Returns the rejected
-    rating lines per rating dataset (unparseable, out of range or unknown product)."""
+    rating lines per rating dataset (unparseable, out of range or unknown product); they are
+    also kept under ``<root>/<dataset>_rejects``."""
     spark = store.spark
     found = {d for d in (*LAYOUT, *RATING_SETS) if _exists(spark, f"{base}/{d}/*/*")}
     for d in ("users", "products", "new_products", "new_product_shown_list",
@@ -91,9 +94,12 @@ def import_legacy(store: TableStore, base: str, cfg: Config) -> dict[str, DataFr
             rejects[d] = parsed.where(F.col("error").isNotNull())
     if "category_recommendation_data" in found:
         lst = read_dataset(spark, base, "category_recommendation_data")
-        ranked = top_k(lst, ["category"], [F.col("mean_rating").desc(), F.col("product_id")],
-                       cfg.n_recs)
-        store.append("category_recommendation_data", with_names(ranked, prods))
+        # every stored row, in the list's own order; a product no longer known keeps a null name
+        ranked = top_k(lst, ["category"], [F.col("mean_rating").desc(), F.col("product_id")], None)
+        names = prods.select("category", "product_id", "product_name")
+        store.append("category_recommendation_data", ranked.join(names, ["category", "product_id"], "left"))
+    for d, bad in rejects.items():
+        bad.write.mode("append").partitionBy("category").parquet(f"{store.root}/{d}_rejects")
     return rejects
 
 

@@ -2,14 +2,15 @@
 
 Layout under a root folder (any Hadoop-compatible path shared by the cluster)::
 
-    <root>/<table>/v=<N>/category=<c>/part-*.parquet
-    <root>/_commits/part-*.parquet            (table, version, commit_id)
-
-A table's current version is the highest committed one. Appends and per-category
-overwrites go into the current version; a replacement of several tables at once
-(``publish``) writes every table into version N+1 first and commits them together with
-one small append to ``_commits`` last, so readers never see half of a promotion and a
-plan never overwrites the files it is reading. One writer at a time (as in the original).
+    <root>/<table>/segment=<id>/category=<c>/part-*.parquet
+    <root>/_commits/part-*.parquet            (seq, commit_id, table, segment, replaces)
+
+A commit is one small append to ``_commits`` that names the segments it adds to any number of
+tables, and whether they replace what the table held. Segments have fresh names and are
+written before their commit, so readers never see half of a batch or of a promotion, a
+writer that died leaves nothing behind that counts, and a plan never overwrites the files it
+reads. A commit id given by the caller (a batch) is accepted once. One writer at a time
+(as in the original).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from pickwise import schemas
+from pickwise.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -80,104 +82,82 @@ def write_partitioned(df: DataFrame, path: str, mode: str, files_per_category: i
     )
 
 
+_COMMITS = "seq long, commit_id string, table string, segment string, replaces boolean"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, files_per_category: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files_per_category = files_per_category
 
-    # -- versions -----------------------------------------------------------------------
-    def _commits(self) -> DataFrame | None:
+    # -- commits ------------------------------------------------------------------------
+    def _commits(self) -> DataFrame:
+        """The commit log; empty only if nothing was ever committed. Other errors surface."""
         try:
-            return self.spark.read.parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            return None
-
-    def versions(self) -> dict[str, int]:
-        c = self._commits()
-        if c is None:
-            return {}
-        rows = c.groupBy("table").agg(F.max("version").alias("v")).collect()  # one row per table
-        return {r["table"]: int(r["v"]) for r in rows}
-
-    def version(self, table: str) -> int:
-        return self.versions().get(table, 0)
-
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
-
-    def _commit(self, versions: dict[str, int], commit_id: str | None = None) -> None:
-        commit_id = commit_id or uuid.uuid4().hex
-        rows = [(t, v, commit_id) for t, v in sorted(versions.items())]
-        (
-            self.spark.createDataFrame(rows, "table string, version long, commit_id string")
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/_commits")
-        )
+            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/_commits")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty(self.spark, _COMMITS)
+
+    def segments(self) -> dict[str, list[str]]:
+        """Segments of every table as of now (one small read of the log)."""
+        out: dict[str, list[str]] = {}
+        for r in self._commits().orderBy("seq").toLocalIterator():
+            if r["replaces"] or r["table"] not in out:
+                out[r["table"]] = []
+            if r["segment"]:
+                out[r["table"]].append(r["segment"])
+        return out
 
     def committed(self, commit_id: str) -> bool:
-        """Whether a commit with this id exists (used to make replays idempotent)."""
-        c = self._commits()
-        return c is not None and c.where(F.col("commit_id") == commit_id).limit(1).count() > 0
-
-    def mark(self, table: str, commit_id: str) -> None:
-        """Record ``commit_id`` against the current version of ``table``."""
-        self._commit({table: self._ensure(table)}, commit_id)
+        """Whether a commit with this id exists (a batch that came back)."""
+        return not self._commits().where(F.col("commit_id") == commit_id).isEmpty()
+
+    def commit(self, appends: dict[str, DataFrame], replaces: dict[str, DataFrame] | None = None, commit_id: str | None = None) -> bool:
+        """Append to and replace any number of tables at once (S3, S6). False, and nothing
+        done, if ``commit_id`` was committed before."""
+        if commit_id and self.committed(commit_id):
+            return False
+        seq = (self._commits().agg(F.max("seq")).first()[0] or 0) + 1
+        rows = []
+        for dfs, replacing in ((appends, False), (replaces or {}, True)):
+            for t, df in dfs.items():
+                segment = f"{seq:08d}-{uuid.uuid4().hex}"
+                write_partitioned(df.select(*schemas.TABLES[t].fieldNames()), f"{self.root}/{t}/segment={segment}", "error", self.files_per_category)
+                rows.append((seq, commit_id or uuid.uuid4().hex, t, segment, replacing))
+        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        return True
 
     # -- read (S1) ---------------------------------------------------------------------
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, segments: dict[str, list[str]] | None = None) -> DataFrame:
         schema = schemas.TABLES[table]
-        v = self.version(table)
-        if v == 0:
-            return empty(self.spark, schema)
-        try:
-            return self.spark.read.schema(schema).parquet(self._path(table, v))
-        except AnalysisException:
+        paths = [f"{self.root}/{table}/segment={x}" for x in (self.segments() if segments is None else segments).get(table, [])]
+        if not paths:
             return empty(self.spark, schema)
+        read = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
+        return read.parquet(*paths).select(*schema.fieldNames())
 
     def scan_category(self, table: str, category: str) -> DataFrame:
         """One category of a table; the filter on the partition column prunes folders."""
         return self.read(table).where(F.col("category") == F.lit(category))
 
     def load(self) -> Tables:
-        return Tables(**{attr: self.read(name) for attr, name in STORED.items()})
+        """Every table, all as of the same commit."""
+        now = self.segments()
+        return Tables(**{attr: self.read(name, now) for attr, name in STORED.items()})
 
     # -- write (S3, S4, S6) -------------------------------------------------------------
-    def _ensure(self, table: str) -> int:
-        v = self.version(table)
-        if v == 0:
-            v = 1
-            write_partitioned(
-                empty(self.spark, schemas.TABLES[table]), self._path(table, v), "overwrite"
-            )
-            self._commit({table: v})
-        return v
-
     def append(self, table: str, df: DataFrame) -> None:
-        v = self._ensure(table)
-        write_partitioned(
-            df.select(*schemas.TABLES[table].fieldNames()), self._path(table, v), "append",
-            self.files_per_category,
-        )
+        self.commit({table: df})
 
     def overwrite_categories(self, table: str, df: DataFrame) -> None:
-        """Replace the categories present in ``df``; others stay. ``df`` must not read
-        the same table version (use ``publish`` for read-and-replace)."""
-        v = self._ensure(table)
-        write_partitioned(
-            df.select(*schemas.TABLES[table].fieldNames()), self._path(table, v), "overwrite",
-            self.files_per_category,
-        )
-
-    def publish(self, tables: dict[str, DataFrame]) -> dict[str, int]:
-        """Write whole new versions of several tables, then commit them at once."""
-        current = self.versions()
-        new = {t: current.get(t, 0) + 1 for t in tables}
-        for t, df in tables.items():
-            write_partitioned(
-                df.select(*schemas.TABLES[t].fieldNames()), self._path(t, new[t]), "overwrite",
-                self.files_per_category,
-            )
-        self._commit(new)
-        return new
+        """Replace the categories present in ``df``; others stay."""
+        df = cut_lineage(df.select(*schemas.TABLES[table].fieldNames()))
+        there = F.broadcast(df.select("category").distinct())  # one row per category
+        self.publish({table: self.read(table).join(there, "category", "left_anti").unionByName(df)})
+
+    def publish(self, tables: dict[str, DataFrame]) -> None:
+        """Replace several tables at once (S6); the plans may read what they replace."""
+        self.commit({}, tables)

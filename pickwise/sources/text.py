@@ -57,11 +57,6 @@ def check_products(parsed: DataFrame, all_products: DataFrame) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files under ``<path>/category=<c>/`` as (category, line)."""
-    return spark.read.text(path).withColumnRenamed("value", "line").select("category", "line")
-
-
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Headerless, quoted CSV as the original job's writer produced (a name may hold a
     comma inside quotes)."""

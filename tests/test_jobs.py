@@ -67,6 +67,29 @@ def test_jobs_end_to_end(spark, df):
     assert store.read("users").count() == 62
 
 
+def test_a_batch_that_comes_back_changes_nothing(spark, df):
+    store = _seed(spark, df)
+    req = df([("A", "A1@x"), ("A", "fresh@x")], "USER_REQUESTS")
+    fb = df([("A", 1, "A-p2", 5.0, 1), ("A", 29, "A-p3", 4.0, 1), ("A", 99, "A-p3", 4.0, 1)], "FEEDBACK")
+    tables = ("users", "ratings", "new_product_ratings", "previous_user_recommendations", "new_product_shown_list", "feedback_rejects")
+    first = sorted(map(tuple, J.run_recommend(store, req, fb, CFG, 7).collect()), key=str)
+    sizes = {t: store.read(t).count() for t in tables}
+    again = sorted(map(tuple, J.run_recommend(store, req, fb, CFG, 7).collect()), key=str)
+    assert first == again and len(first) > 0
+    assert {t: store.read(t).count() for t in tables} == sizes
+    # a known user who asks for nothing still rates; an unknown one is rejected with a reason
+    assert store.read("ratings").where("user_id = 29 and product_id = 3 and rating = 4.0").count() >= 1
+    assert [(r["user_id"], r["reason"]) for r in store.read("feedback_rejects").collect()] == [(99, "unknown_user")]
+
+
+def test_lists_come_from_the_snapshot_not_from_a_stored_list(spark, df):
+    """A stage-3 user without ALS rows gets the category list though no categorical run was made."""
+    store = _seed(spark, df)
+    out = J.run_recommend(store, df([("A", "unseen@x")], "USER_REQUESTS"), df([], "FEEDBACK"), CFG, 1).collect()
+    assert len(out) == 5 and {r["source"] for r in out} == {"category"}
+    assert store.read("previous_user_recommendations").count() == 1
+
+
 def test_cli_runs_a_job(spark, df):
     import os
     import subprocess

@@ -24,7 +24,7 @@ def test_import_original_layout(spark):
     _write(base, "ratings", "HR", "1,1,4\n2,2,5\n2,9,3\n1,x,2\n1,2\n")
     _write(base, "new_product_ratings", "HR", "1,3,2.5\n2,3,7\n")
     _write(base, "new_product_shown_list", "HR", "Lamp\nLamp\n")
-    _write(base, "category_recommendation_data", "HR", "2,5.0\n1,4.0\n")
+    _write(base, "category_recommendation_data", "HR", "2,5.0\n1,4.0\n77,3.0\n3,2.0\n1,1.0\n2,0.5\n")
     _write(base, "previous_user_recommendations", "HR", "1,Desk:Chair\n")
     store = TableStore(spark, tempfile.mkdtemp(prefix="pickwise-imported-"))
     rejects = import_legacy(store, base, CFG)
@@ -37,6 +37,9 @@ def test_import_original_layout(spark):
     assert rows(store.read("new_product_ratings"), "user_id", "rating") == [(1, 2.5)]
     assert rows(rejects["new_product_ratings"], "error") == [("out_of_range",)]
     assert store.read("new_product_shown_list").count() == 2
-    assert rows(store.read("category_recommendation_data"), "rank", "product_id", "product_name") == [
-        (1, 2, "Chair"), (2, 1, "Desk, oak")]
+    # every stored row, known product or not, however many
+    assert [(r["rank"], r["product_id"], r["product_name"]) for r in
+            store.read("category_recommendation_data").orderBy("rank").collect()] == [
+        (1, 2, "Chair"), (2, 1, "Desk, oak"), (3, 77, None), (4, 3, "Lamp"), (5, 1, "Desk, oak"), (6, 2, "Chair")]
+    assert spark.read.parquet(f"{store.root}/ratings_rejects").count() == 3
     assert rows(store.read("previous_user_recommendations"), "product_list") == [("Desk:Chair",)]

@@ -9,12 +9,15 @@ from pickwise.sources.tables import Tables
 
 
 def _executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final adaptive plan: collect() runs the frame's own execution, a write does not."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan or "AdaptiveSparkPlan" not in plan  # no exchange, nothing to adapt
+    return plan.partition("== Initial Plan ==")[0]
 
 
 def _category_only_smj(plan):
-    return re.findall(r"SortMergeJoin \[category#\d+\], \[category#\d+\]", plan)
+    return re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[category#\d+\], \[category#\d+\]", plan)
 
 
 def test_dispatch_never_shuffles_users_on_category_alone(df):
@@ -45,3 +48,20 @@ def test_scoring_paths_do_not_join_on_category_alone(spark):
     for cfg in (Config(), Config(score_broadcast_bytes=0, score_block_rows=16)):
         plan = _executed(MF.recommend_top_k(uf, itf, 3, cfg))
         assert not _category_only_smj(plan)
+
+
+def test_small_batches_do_not_shuffle_the_whole_tables(spark, tmp_path):
+    """Lookups cut the big table to the requested keys before anything is exchanged."""
+    from pyspark.sql import functions as F
+
+    from pickwise.operators import registry as RG
+
+    spark.range(200_000).select(F.lit("H").alias("category"), F.col("id").alias("user_id"), F.concat(F.lit("m"), "id").alias("mail_id")).write.parquet(f"{tmp_path}/users")
+    spark.range(50).select(F.lit("H").alias("category"), F.concat(F.lit("m"), F.col("id") * 7).alias("mail_id")).write.parquet(f"{tmp_path}/requests")
+    users, requests = spark.read.parquet(f"{tmp_path}/users"), spark.read.parquet(f"{tmp_path}/requests")
+    for df in (RG.lookup_user_id(requests, users), RG.user_exists(requests, users)):
+        plan = _executed(df)
+        assert "LeftSemi, BuildRight" in plan
+        below = plan[plan.index("LeftSemi, BuildRight"):]
+        big = below[:below.index("/users")]  # from the semi-join down to the scan of the big table
+        assert not re.search(r"\n[^\n]*- Exchange hashpartitioning", big.rpartition("BroadcastExchange")[0] or big.split("BroadcastExchange")[0])

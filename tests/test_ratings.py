@@ -36,3 +36,10 @@ def test_recut_and_product_mean_default(df):
     means = df([("A", 1, 4.5, 2)], "category string, product_id long, mean_rating double, n_ratings long")
     req = df([("A", 1), ("A", 2)], "category string, product_id long")
     assert rows(R.product_mean_rating(req, means), "product_id", "mean_rating") == [(1, 4.5), (2, 0.0)]
+
+
+def test_unnamed_product_takes_no_place_in_the_list(df):
+    means = df([("A", p, float(10 - p), 1) for p in range(1, 10)], "category string, product_id long, mean_rating double, n_ratings long")
+    prods = df([("A", p, f"p{p}", "m") for p in range(1, 10) if p not in (2, 4)], "PRODUCTS")
+    got = R.category_top(means, prods, 5).orderBy("rank").collect()
+    assert [(r["rank"], r["product_id"]) for r in got] == [(1, 1), (2, 3), (3, 5), (4, 6), (5, 7)]

@@ -39,8 +39,7 @@ def test_store_append_overwrite_publish_and_pruning(spark, df):
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(category" in plan
     assert rows(scan, "user_id") == [(1,)]
-    v = store.publish({"users": df([("C", 1, "q")], "USERS"), "products": df([], "PRODUCTS")})
-    assert v == {"users": 2, "products": 1}
+    store.publish({"users": df([("C", 1, "q")], "USERS"), "products": df([], "PRODUCTS")})
     assert rows(store.read("users"), "category") == [("C",)]
 
 
@@ -50,8 +49,8 @@ def test_files_per_category_spreads_writers(spark, df):
     root = tempfile.mkdtemp(prefix="pickwise-files-")
     store = TableStore(spark, root, files_per_category=3)
     store.append("users", df([("A", i, f"a{i}") for i in range(300)] + [("B", 1, "b")], "USERS"))
-    a_files = glob.glob(f"{root}/users/v=1/category=A/*.parquet")
-    b_files = glob.glob(f"{root}/users/v=1/category=B/*.parquet")
+    a_files = glob.glob(f"{root}/users/segment=*/category=A/*.parquet")
+    b_files = glob.glob(f"{root}/users/segment=*/category=B/*.parquet")
     assert 2 <= len(a_files) <= 3 and len(b_files) == 1
     assert store.read("users").count() == 301
 
@@ -62,3 +61,68 @@ def test_scratch_lives_under_the_session_checkpoint_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert shared_dir(spark) == root
     assert scratch_path(spark, "x").startswith(root)
+
+
+def test_a_publish_that_died_leaves_nothing(spark, df, monkeypatch):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="pickwise-crash-"))
+    store.append("users", df([("A", 1, "a")], "USERS"))
+    real = spark.createDataFrame
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("died before the commit")))
+        try:
+            store.publish({"users": real([("B", 2, "b"), ("C", 3, "c")], schemas.USERS)})
+        except RuntimeError:
+            pass
+    assert rows(store.read("users"), "category") == [("A",)]
+    store.publish({"users": df([("B", 9, "z")], "USERS")})
+    assert rows(store.read("users"), "category", "user_id") == [("B", 9)]
+
+
+def test_a_missing_segment_is_an_error_not_an_empty_table(spark, df):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    root = tempfile.mkdtemp(prefix="pickwise-missing-")
+    store = TableStore(spark, root)
+    store.append("users", df([("A", 1, "a")], "USERS"))
+    lost = [(2, "x", "users", "lost", False)]
+    spark.createDataFrame(lost, "seq long, commit_id string, table string, segment string, replaces boolean").write.mode("append").parquet(f"{root}/_commits")
+    with pytest.raises(AnalysisException):
+        store.read("users").count()
+
+
+def test_a_snapshot_is_of_one_commit(spark, df):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="pickwise-snap-"))
+    store.commit({"users": df([("A", 1, "a")], "USERS"), "products": df([("A", 1, "p", "m")], "PRODUCTS")}, commit_id="one")
+    t = store.load()
+    store.publish({"users": df([], "USERS"), "products": df([], "PRODUCTS")})
+    assert t.users.count() == t.products.count() == 1
+    assert not store.commit({"users": df([("A", 2, "b")], "USERS")}, commit_id="one")
+    assert store.read("users").count() == 0
+
+
+def test_models_are_versioned_and_keep_category_names(spark):
+    from pickwise.sources import models
+
+    path = tempfile.mkdtemp(prefix="pickwise-model-")
+    def save(cats):
+        u = spark.createDataFrame([(c, 1, [1.0]) for c in cats], models.USER_FACTORS)
+        i = spark.createDataFrame([(c, 1, [2.0]) for c in cats], models.ITEM_FACTORS)
+        models.save_factors(path, u, i, spark.createDataFrame([], models.GRID))
+    save(["001", "002"])
+    assert {r["category"] for r in models.load_factors(spark, path)[0].collect()} == {"001", "002"}
+    save(["001"])
+    u, i, _ = models.load_factors(spark, path)
+    assert [r["category"] for r in u.collect()] == [r["category"] for r in i.collect()] == ["001"]
+
+
+def test_submitted_settings_survive():
+    import subprocess
+    import sys
+
+    code = ("from pickwise.session import build_session; s = build_session();"
+            "print('GOT', s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), PYSPARK_SUBMIT_ARGS=(
+        "--master local[1] --conf spark.sql.shuffle.partitions=4000 --conf spark.sql.session.timeZone=Asia/Tokyo pyspark-shell"))
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "GOT 4000 Asia/Tokyo" in out.stdout, out.stderr[-1500:]
