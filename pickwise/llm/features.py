@@ -30,8 +30,10 @@ def ngram_counts(text: bytes, bits: int, n: int = 2) -> tuple[np.ndarray, np.nda
 
 
 def word_ids(text: bytes, bits: int) -> np.ndarray:
-    """Sorted distinct hashed ids of the words, A-Z lowered."""
+    """Sorted distinct hashed ids of the words, A-Z lowered, and of their first six bytes (inflected
+    forms of one stem share them)."""
     w = set(WORD.findall(text.lower()))
+    w |= {b"^" + x[:6] for x in w if len(x) > 6}
     return np.unique(mix64(word_hashes(list(w))) >> np.uint64(64 - bits)).astype(np.int64)
 
 

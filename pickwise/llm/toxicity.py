@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import text_bytes
+from pickwise.llm.common import mix64, text_bytes
 from pickwise.llm.features import sigmoid, word_ids
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,8 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class Params:
     bits: int = 20
     folds: int = 3
-    iterations: int = 80
-    l1: float = 1.2e-2        # penalty on word weights (of columns scaled to unit mean square)
+    iterations: int = 50
+    l1: float = 2e-2          # penalty that chooses words (columns scaled to unit mean square)
+    l2: float = 1e-3          # penalty on the chosen words' weights
     min_rows: int = 8         # a word must stand in so many sample rows
     max_share: float = 0.2    # and in no larger share of them
     max_rows: int = 6_000     # labelled rows used for training
@@ -98,17 +99,29 @@ class Sample:
         share = min(0.99, max(0.01, float(y[keep].mean()))) if keep.any() else 0.5
         w = np.zeros(v + e + 1)
         w[-1] = np.log(share / (1 - share))
-        u = w
-        t, step = 1.0, 4.0 / (1.2 * size)
-        for _ in range(p.iterations):
-            new = u - step * back(sigmoid(forward(u)) - y)
-            new[:v] = np.sign(new[:v]) * np.maximum(0.0, np.abs(new[:v]) - step * p.l1)
-            t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-            if (u - new) @ (new - w) > 0:  # restart when the momentum points uphill
-                t_new, u = 1.0, new
-            else:
-                u = new + (t - 1) / t_new * (new - w)
-            w, t = new, t_new
+        free = np.ones(v, bool)
+        for l1, l2 in ((p.l1, 0.0), (0.0, p.l2)):  # choose words, then fit the chosen ones without the penalty's shrinkage
+            u, t, step = w, 1.0, 4.0 / (1.2 * size + 4 * l2)
+            for _ in range(p.iterations):
+                g = back(sigmoid(forward(u)) - y)
+                g[:v] += l2 * u[:v]
+                new = u - step * g
+                new[:v] = np.where(free, np.sign(new[:v]) * np.maximum(0.0, np.abs(new[:v]) - step * l1), 0.0)
+                t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+                if (u - new) @ (new - w) > 0:  # restart when the momentum points uphill
+                    t_new, u = 1.0, new
+                else:
+                    u = new + (t - 1) / t_new * (new - w)
+                w, t = new, t_new
+            free = w[:v] != 0
+            if not l2:  # the chosen words alone bend the loss less: longer steps
+                top = np.ones(v + e + 1)
+                for _ in range(8):
+                    top[:v] *= free
+                    top = back(forward(top))
+                    top[:v] *= free
+                    size = np.linalg.norm(top) or 1.0
+                    top /= size
         return w[:v] * scale, w[v:v + e] * unit, float(w[-1])
 
     def predict(self, w: np.ndarray, we: np.ndarray, b: float, earlier: np.ndarray) -> np.ndarray:
@@ -116,6 +129,29 @@ class Sample:
         return sigmoid(z)
 
 
+def near_copies(rows: list[np.ndarray], alike: float = 0.6, bands: int = 6, width: int = 6) -> np.ndarray:
+    """Which rows are near copies (word Jaccard of ``alike`` or more) of an earlier row, found by
+    minhash bands and checked. A text copied often, with its label, must not teach its words."""
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(1, 1 << 62, bands * width).astype(np.uint64)
+    heads: dict[tuple, list[int]] = {}
+    out = np.zeros(len(rows), bool)
+    for i, r in enumerate(rows):
+        if not len(r):
+            continue
+        low = [int(mix64(r.astype(np.uint64) ^ s).min()) for s in seeds]
+        keys = [(b, *low[b * width:(b + 1) * width]) for b in range(bands)]
+        for j in sorted({j for k in keys for j in heads.get(k, ())}):
+            both = len(np.intersect1d(r, rows[j], assume_unique=True))
+            if both >= alike * (len(r) + len(rows[j]) - both):
+                out[i] = True
+                break
+        else:
+            for k in keys:
+                heads.setdefault(k, []).append(i)
+    return out
+
+
 def train_chain(labelled: DataFrame, categories: list[str], p: Params = Params()) -> Chain:
     """Chain from rows ``(doc_id, text, <one 0/1 column a category>)``; rows with a null id or label are
     left out. Without rows every probability is one half."""
@@ -133,7 +169,8 @@ def train_chain(labelled: DataFrame, categories: list[str], p: Params = Params()
 
     # bounded by max_rows
     got = sorted(src.mapInArrow(encode, "pick long, ids binary, y array<int>").collect(), key=lambda r: (r["pick"], r["ids"]))
-    got = list({(r["ids"], tuple(r["y"])): r for r in got}.values())  # a text copied often counts once
+    copy = near_copies([np.frombuffer(r["ids"], np.int32) for r in got])
+    got = [r for r, c in zip(got, copy) if not c]
     y = np.array([r["y"] for r in got], float).reshape(len(got), len(categories))
     fold = np.array([r["pick"] // p.folds % p.folds for r in got], int)
     sample = Sample([np.frombuffer(r["ids"], np.int32) for r in got], y, fold, p)

@@ -308,3 +308,15 @@ def test_pipeline_stages_compose(spark):
     assert not any(t in left[i] for i in kept for t in items) and len(kept) > 0.8 * len(left)
     out = pipeline.run(spark, sf)
     assert {r["doc_id"] for r in out.select("doc_id").collect()} == kept
+
+
+def test_url_filter_query_equals_its_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
+    res = con.execute(queries.ORACLES["op9_url_filters"])
+    names, want = [d[0] for d in res.description], res.fetchall()
+    got = queries.QUERIES["op9_url_filters"](spark, SF).select(*names).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(got) == 250
+    assert sum(r["blocked"] for r in got) > 5
