@@ -137,6 +137,58 @@ select h.page_id, h.host, to_timestamp(h.at) at time zone 'UTC' as fetched_at, c
 from hosts h left join verdicts v using (page_id)
 """
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LINE_SQL = f"""
+with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as p from documents),
+lines as (select doc_id, unnest(p) as line, generate_subscripts(p, 1) as i from parts),
+keyed as (
+  select *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} as key from lines),
+repeated as (
+  select key, min(doc_id) as first from keyed where length(key) >= 10 group by key having count(distinct doc_id) > 1),
+judged as (select k.doc_id, k.line, k.i, r.first is not null and r.first <> k.doc_id as gone from keyed k left join repeated r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+# pairs that share an n-gram, then reachability; recursion follows links from every document
+_JACCARD_SQL = f"""
+with recursive words as (
+  select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^ \\t\\n\\v\\f\\r]+') as w from documents),
+grams as (
+  select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i + 4], ' ') end as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as o from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select x, y from shared join sizes s on s.doc_id = x join sizes t on t.doc_id = y where 100 * o >= 80 * (s.n + t.n - o)),
+edges as (select x, y from links union all select y, x from links),
+reach(doc_id, other) as (select x, x from edges union select r.doc_id, e.y from reach r join edges e on e.x = r.other)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce((select min(other) from reach r where r.doc_id = d.doc_id), d.doc_id) as component_id
+from documents d left join sizes s using (doc_id)
+"""
+
+_EMBEDDING_SQL = """
+with recursive vecs as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0),
+links as (
+  select a.vec_id as x, b.vec_id as y from vecs a join vecs b on a.label = b.label and a.vec_id < b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+edges as (select x, y from links union all select y, x from links),
+reach(vec_id, other) as (select x, x from edges union select r.vec_id, e.y from reach r join edges e on e.x = r.other),
+counts as (select x as vec_id, count(*) as n from edges group by x)
+select v.vec_id, coalesce(c.n, 0) as n_links, coalesce((select min(other) from reach r where r.vec_id = v.vec_id), v.vec_id) as component_id,
+  v.vec_id = coalesce((select min(other) from reach r where r.vec_id = v.vec_id), v.vec_id) as kept
+from embeddings v left join counts c using (vec_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_line_dedup": _LINE_SQL,
+    "op6_ngram_jaccard": _JACCARD_SQL,
     "op9_url_filters": _URL_SQL,
+    "op10_embedding_near_dedup": _EMBEDDING_SQL,
 }
