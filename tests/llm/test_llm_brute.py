@@ -241,6 +241,48 @@ def test_decontamination_finds_exact_and_reworded_passages(spark):
     assert all(want[d] in again.get(d, ()) for d in want if d % 2 == 0) and not set(again) - set(want)
 
 
+def planted(seed=9, items=200, docs=240):
+    """Benchmark and documents over one Zipf vocabulary; the passage stands beside a line that repeats, topical text,
+    random text, or is reworded among random text. ``{doc: (item, kind)}`` says where."""
+    r = np.random.default_rng(seed)
+    p = 1 / np.arange(1, 20_001)
+    draw = lambda n, of=20_000: [f"w{x}" for x in r.choice(of, n, p=p[:of] / p[:of].sum())]
+    bench = [(i, draw(int(r.integers(20, 60)))) for i in range(items)]
+    rows, want = [], {}
+    for d in range(docs):
+        i, t = bench[r.integers(items)]
+        kind = ("line", "topic", "random", "reworded")[d % 4]
+        near = draw(150)
+        if kind == "line":
+            near = [w for _, x in bench for w in x][d * 7:d * 7 + 10] * 12
+        elif kind == "topic":
+            near = [near[x] for x in r.integers(0, 12, 150)]
+        elif kind == "reworded":
+            t = list(t)
+            for k in r.choice(len(t) * 3 // 4, len(t) // 8, replace=False):
+                t[k] = draw(1)[0]
+        if d % 3:
+            k = int(r.integers(len(near)))
+            near, want[d] = near[:k] + t + near[k:], (i, kind)
+        rows.append((d, " ".join(near)))
+    return rows, [(i, " ".join(t)) for i, t in bench], want
+
+
+@pytest.mark.parametrize("fit_passages", [100_000, 40])
+def test_candidates_keep_what_all_pairs_would_find(spark, fit_passages):
+    rows, items, want = planted()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found(**p):
+        got = decontamination.find_contaminated(docs, bench, decontamination.Params(fit_passages=fit_passages, **p)).collect()
+        return {(x["doc_id"], i) for x in got for i in x["items"]}
+
+    got, every = found(), found(min_cosine=-2.0)  # every window against every passage: brute-force LCS
+    assert got <= every and len(got) >= 0.98 * len(every)
+    assert all((d, i) in got for d, (i, kind) in want.items() if kind != "reworded")
+
+
 def test_surrogates_are_consistent_distinct_and_alike():
     key = b"secret"
     text = "Mrs. Anna Petrova met Mr Hans Müller. Mrs Petrova: +1 (212) 555-0187, 4111 1111 1111 1111 or 4111111111111111, a.b@mail.org, 10.1.2.3."
