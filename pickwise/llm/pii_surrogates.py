@@ -4,9 +4,9 @@ Detected entities (mail addresses, phone numbers, card and account numbers, nati
 numbers, IP addresses, access tokens, person names) are replaced, not masked. The surrogate
 of an entity follows from a secret key and the entity's canonical form alone, so the same
 person or number gets the same surrogate in every document (coreference), on every executor,
-without a table. It keeps type and format: digits stay digits, letters keep case and script,
-separators and lengths stay, a card number that passes the Luhn check still does, names
-keep gender and script.
+without a table. It keeps type and format: digits stay digits, letters keep case and script
+(a mail address whose local part has none gets some), separators and lengths stay, a card
+number that passes the Luhn check still does, names keep gender and script.
 
 Distinctness is checked, not hoped for: the distinct entities of the corpus are drawn
 surrogates, and an entity whose surrogate another one also got (all but the smallest), or
@@ -35,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_ROWS = 100_000
 MOST_DRAWS = 64
+WIDEN = 8  # draws after which a mail's local part or a phone number gets longer, by one more each time
 
 # Given names by (script, gender), and titles by gender
 GIVEN = {
@@ -53,6 +54,15 @@ SYLLABLES = {
     "latin": "bar bel cor dal den fer gan gor har hol kel kor lan len mar mel nor pel ral ren sal sen tal ten tor val ver wel wil zan".split(),
     "cyrillic": "бар бел вар вол гор дан дол кар ков лан мар мел нов пет рад ров сал сем тар юрь".split(),
 }
+# letters by range of characters
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+LETTERS = [
+    (lo, hi, "".join(chr(c) for c in range(ord(a), ord(b) + 1) if chr(c) != "ς"))
+    for lo, hi, a, b in (
+        ("A", "z", "a", "z"), ("Ͱ", "Ͽ", "α", "ω"), ("Ѐ", "ԯ", "а", "я"), ("א", "ת", "א", "ת"), ("ء", "ۿ", "ف", "ي"), ("ऄ", "ह", "क", "ह"),
+        ("ก", "ฮ", "ก", "ฮ"), ("ぁ", "ゖ", "か", "ど"), ("ァ", "ヺ", "カ", "ド"), ("㐀", "鿿", "一", "龥"), ("가", "힣", "가", "힣"),
+    )
+]
 GENDER_OF = {name: g for (_, g), names in GIVEN.items() for name in names}
 TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 
@@ -121,19 +131,24 @@ class Draw:
         return x % n
 
     def like(self, text: str) -> str:
-        """Every ASCII digit and letter replaced by one of its kind."""
+        """Every digit and letter replaced by one of its kind and script (Latin for scripts not in ``LETTERS``)."""
         out = []
         for c in text:
-            if "0" <= c <= "9":
+            if c.isdecimal():
+                out.append(chr(ord(c) - int(c) + self.below(10)))
+            elif c.isalpha():
+                letters = next((x for lo, hi, x in LETTERS if lo <= c <= hi), LATIN)
+                new = letters[self.below(len(letters))]
+                out.append(new.upper() if c.isupper() else new)
+            elif c.isalnum():  # other numbers: superscripts, fractions
                 out.append(chr(48 + self.below(10)))
-            elif "a" <= c <= "z":
-                out.append(chr(97 + self.below(26)))
-            elif "A" <= c <= "Z":
-                out.append(chr(65 + self.below(26)))
             else:
                 out.append(c)
         return "".join(out)
 
+    def letters(self, n: int) -> str:
+        return "".join(LATIN[self.below(26)] for _ in range(n))
+
 
 def script_of(text: str) -> str:
     return "cyrillic" if re.search(r"[Ѐ-ӿ]", text) else "latin"
@@ -145,7 +160,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "mail":
         local, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
-        return f"{d.like(local)}@{d.like(host)}.{top}"
+        new = d.like(local) if any(c.isalnum() for c in local) else d.letters(len(local))
+        return f"{new}{d.letters(attempt // WIDEN)}@{d.like(host)}.{top}"
     if kind == "token":
         digits = "0123456789abcdef" if not re.search("[g-zG-Z_]", entity) else ""
         if not digits:
@@ -168,7 +184,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
             body = next(body[:-1] + c for c in "0123456789" if _luhn(body[:-1] + c) == 0)
         return body
     if kind in ("phone", "ssn"):
-        return "".join(str(1 + d.below(9)) if c != "0" else "0" if i == 0 else str(d.below(10)) for i, c in enumerate(entity))
+        new = "".join(str(1 + d.below(9)) if c != "0" else "0" if i == 0 else str(d.below(10)) for i, c in enumerate(entity))
+        return new + "".join(str(d.below(10)) for _ in range(attempt // WIDEN if kind == "phone" else 0))
     script = script_of(entity)
     if kind.startswith("given"):
         names = GIVEN[(script, kind[-1])] if kind[-1] in "fm" else GIVEN[(script, "f")] + GIVEN[(script, "m")]
@@ -184,7 +201,7 @@ def dress(kind: str, mention: str, new: str) -> str:
     """The surrogate in the written form of a mention: separators, case."""
     if kind in ("card", "ssn", "phone", "iban"):
         left = iter(new)
-        return "".join(next(left) if c.isalnum() else c for c in mention)
+        return "".join([*(next(left) if c.isalnum() else c for c in mention), *left])
     if kind == "mail":
         return new.upper() if mention.isupper() else new
     if kind in ("token", "ip"):
@@ -230,7 +247,8 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
     ``entities`` holds distinct ``(kind, entity)``. Given names share few surrogates by nature (a
     list of names per gender): they are kept apart within their gender up to the list's size and
     beyond it by a second part. Raises if a kind's format has no free surrogate left after
-    ``MOST_DRAWS`` draws (a corpus that holds nearly all numbers of one format)."""
+    ``MOST_DRAWS`` draws (a corpus that holds nearly all numbers of one format); mail addresses and
+    phone numbers get longer before that."""
 
     def draw(frames):
         for pdf in frames:

@@ -311,6 +311,29 @@ def test_surrogates_that_collide_draw_again(spark):
         assert len({r["text"].split()[5] for r in got}) == len(names)
 
 
+def test_surrogates_of_mail_addresses_in_any_script(spark):
+    mails = ["почта@пример.рф", "用户@例子.公司", "--@--.--", "_@_._", "élan.я@mail.org", "١٢٣@٤٥.org", "한글@도메인.kr"]
+    df = spark.createDataFrame([(i, f"({m}) {m.upper()}") for i, m in enumerate(mails)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii_surrogates.replace_entities(df, b"k").collect()}
+    assert len(got) == len(mails) and all(r["n_entities"] == 2 for r in got.values())
+    new = [got[i]["text"].split(") ")[0][1:] for i in range(len(mails))]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails)
+    for m, x in zip(mails, new):
+        local, at = x.split("@")[0], m.split("@")[0]
+        assert local != at and x.rpartition(".")[2] == m.rpartition(".")[2] and len(x) == len(m)
+    assert set(new[0].split("@")[0]) <= set("абвгдежзийклмнопрстуфхцчшщъыьэюя")
+
+
+def test_surrogates_of_a_full_format_get_longer(spark, monkeypatch):
+    monkeypatch.setattr(pii_surrogates, "WIDEN", 2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]  # every address of the format
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id long, text string")
+    new = [r["text"] for r in pii_surrogates.replace_entities(df, b"k").collect()]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails)
+
+
+
 def test_held_out_quality(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = queries.QUERIES["op2_quality"](spark, SF).collect()
