@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.llm import (
-    decontamination, embedding_dedup, line_dedup, ngram_join, pii_surrogates, quality, sentencepiece_codec, token_counts, toxicity, url_filters,
+    decontamination, embedding_dedup, fim_frames, line_dedup, ngram_join, pii_surrogates, quality, sentencepiece_codec, source_divergence,
+    token_counts, token_files, toxicity, url_filters,
 )
 from pickwise.llm.common import table
+from pickwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +99,25 @@ def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_captures(url_captures(spark, sf_dir), url_events(spark, sf_dir))
 
 
+END_OF_DOCUMENT = 2
+
+
+def token_file_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), path, END_OF_DOCUMENT)
+    return token_files.read_boundaries(spark, path)
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "text-frames")
+    fim_frames.store_texts(table(spark, sf_dir, "documents"), path)
+    return fim_frames.transform_digests(spark, path)
+
+
+def divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
     "op2_quality": quality_query,
@@ -108,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": sentencepiece,
     "op9_url_filters": url_filter_query,
     "op10_embedding_near_dedup": embedding_near_dedup,
+    "op11_token_files": token_file_query,
+    "op12_fill_in_middle": fill_in_middle,
+    "op13_source_divergence": divergence_query,
 }
 
 _URL_SQL = r"""
@@ -186,9 +210,64 @@ select v.vec_id, coalesce(c.n, 0) as n_links, coalesce((select min(other) from r
 from embeddings v left join counts c using (vec_id)
 """
 
+_FIM_SQL = """
+with cut as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || doc_id) as h from documents),
+drawn as (
+  select *, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2, cast('0x' || h[17:24] as bigint) as h3,
+    cast('0x' || h[25:32] as bigint) as h4 from cut),
+formed as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t
+    when 'psm' then '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    else '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) end) as output_sha256,
+  sha256(t) as restored_sha256
+from formed
+"""
+
+_DIVERGENCE_SQL = f"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents),
+found as (
+  select d, lang, source, term, count(*) as c from (select d, lang, source, unnest(terms) as term from docs) group by all),
+kept as (select lang, term from found group by lang, term having count(*) >= 10),
+sizes as (select lang, count(*)::hugeint as v from kept group by lang),
+counts as (select lang, source, term, sum(c)::hugeint as c from found join kept using (lang, term) group by all),
+groups as (
+  select g.lang, g.source, coalesce(v, 0) as v, coalesce((select sum(c) from counts k where k.lang = g.lang and k.source = g.source), 0)::hugeint as n
+  from (select distinct lang, source from docs) g left join sizes using (lang)),
+langs as (select lang, sum(n)::hugeint as n, max(v) as v from groups group by lang),
+lang_counts as (select lang, term, sum(c)::hugeint as c from counts group by all),
+probs as (
+  select g.lang, g.source, k.term, coalesce(c.c, 0) as c, 1 + (1000000000::hugeint * (coalesce(c.c, 0) + 2)) // (g.n + 2 * g.v) as p
+  from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+lang_probs as (
+  select lang, term, 1 + (1000000000::hugeint * (c + 2)) // (n + 2 * v) as q from lang_counts join langs using (lang)),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce((
+      select sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) from probs x join probs y using (lang, term)
+      where x.lang = a.lang and x.source = a.source and y.source = b.source), 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source),
+terms as (
+  select lang, source, 'term' as part, term as item, (((p - q) * (p - q)) // (p + q))::bigint as value
+  from probs join lang_probs using (lang, term) where c > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": _LINE_SQL,
     "op6_ngram_jaccard": _JACCARD_SQL,
     "op9_url_filters": _URL_SQL,
     "op10_embedding_near_dedup": _EMBEDDING_SQL,
+    "op12_fill_in_middle": _FIM_SQL,
+    "op13_source_divergence": _DIVERGENCE_SQL,
 }
