@@ -619,16 +619,16 @@ view(
                     generate_subscripts([1, 2, 3, 4, 5, 6, 7], 1) as i) g""",
 )
 ORACLES.update({
-    "als_train": compose(
+    "als_train_digest": compose(
         """select 'user' as kind, category, user_id as id, 5::bigint as rank from (select distinct category, user_id from split where split = 'train')
            union all select 'item', category, product_id, 5::bigint from (select distinct category, product_id from split where split = 'train')""",
         "split"),
-    "als_predict": compose("select *, true as scored from predictable", "predictable"),
+    "als_predict_digest": compose("select *, true as scored from predictable", "predictable"),
     "als_save_load": compose("select *, true as same from predictable", "predictable"),
-    "als_grid": compose(
+    "als_grid_digest": compose(
         """select p.category, g.grid_index, g.rank, g.reg_param, p.n as n_scored, 1::bigint as n_winners, true as winner_is_lowest
            from (select category, count(*) as n from predictable group by 1) p, grid g""", "predictable", "grid"),
-    "als_recommend": compose(
+    "als_recommend_exact": compose(
         """select * from (
              select u.category, u.user_id, i.product_id,
                     ((u.user_id % 7 - 3) * (i.product_id % 13 - 6) + (u.user_id * 3 % 5 - 2) * (i.product_id * 5 % 7 - 3)
@@ -639,12 +639,13 @@ ORACLES.update({
              from (select distinct category, user_id from ratings) u
              join (select distinct category, product_id from ratings) i on i.category = u.category)
            where rank <= 3""", "ratings"),
-    "mf_job": compose(
+    "mf_job_digest": compose(
         """select u.category, u.user_id, least(3, i.n)::bigint as n_products, least(3, i.n)::bigint as n_distinct
            from (select distinct category, user_id from split where split = 'train') u
            join (select category, count(distinct product_id) as n from split where split = 'train' group by 1) i on i.category = u.category""",
         "split"),
 })
+ORACLES["als_recommend_blocks"] = ORACLES["als_recommend_exact"]
 
 
 def oracle_sql() -> dict[str, str]:

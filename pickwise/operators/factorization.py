@@ -7,11 +7,11 @@ by its own count), so categories do not influence each other: one fit per grid p
 instead of one per grid point and category. The winner is chosen per category from
 per-category validation RMSE (strict ``<`` in grid order: rank outer, reg inner).
 
-Scoring stays inside a category and never materialises the user x product matrix as
-rows. Item factors under a byte bound are broadcast as per-category matrices and user
-rows are scored in place; beyond it, factors are packed into bounded blocks, each item
-block meets every user block of its category, only the top k per user per block pair
-leaves the task, and a final top-k merges the pairs.
+Every fitted point writes its factors; the errors of all points come from one pass over the validation
+rows, which meet the factors of all points stacked in one array per id.
+
+Scoring stays inside a category, never materialises the user x product matrix as rows, and scores only
+the products whose norm lets them into a user's list.
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from pickwise.config import Config
 from pickwise.functions.broadcast import checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
-from pickwise.session import cut_lineage, shared_dir
+from pickwise.session import cut_lineage, scratch_path, shared_dir
 
 # The scoring functions below run in Python workers, which need not have this package
 # installed: ship them by value (numpy and pandas are imported there by reference).
@@ -93,12 +95,12 @@ def index_ratings(ratings: DataFrame, cfg: Config) -> Indexed:
     mapping of factors back to (category, id) all read them."""
     users = cut_lineage(dense_index(ratings, USER, "u"))
     items = cut_lineage(dense_index(ratings, ITEM, "i"))
-    data = (
-        split_train_validate(ratings.select(*USER, "product_id", "rating"), cfg)
-        .join(users, on=USER)
-        .join(items, on=ITEM)
-    )
-    return Indexed(data, users, items)
+    return Indexed(join_index(ratings, users, items, cfg), users, items)
+
+
+def join_index(ratings: DataFrame, users: DataFrame, items: DataFrame, cfg: Config) -> DataFrame:
+    rows = split_train_validate(ratings.select(*USER, "product_id", "rating"), cfg)
+    return rows.join(users, on=USER).join(items, on=ITEM)
 
 
 # --- M1 / M2 -----------------------------------------------------------------------------
@@ -135,171 +137,245 @@ def predict(model: ALSModel, rows: DataFrame) -> DataFrame:
 class GridResult:
     grid: DataFrame                 # category, grid_index, rank, reg_param, rmse, n_scored, is_best
     winners: dict[str, int]         # category -> grid index
-    models: dict[int, ALSModel]     # only models that won some category
+    run_path: str                   # factors of every point: <run_path>/point=<grid index>/{users,items}
     index: Indexed
 
 
-def grid_search(ratings: DataFrame, cfg: Config) -> GridResult:
+def _written(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A marker of the run, or None if it was not written whole (a writer that dies leaves no row)."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+        return None if found.isEmpty() else found
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+_MARK = "n_rows long, digest long"
+_USER_INDEX, _ITEM_INDEX = "category string, user_id long, u int", "category string, product_id long, i int"
+_FACTORS = "id int, features array<float>"
+
+
+def _run_index(ratings: DataFrame, cfg: Config, run_path: str) -> Indexed:
+    """The run's id tables: those of an earlier attempt on the same ratings, else new ones. Ratings other
+    than those the run began with are refused."""
     spark = ratings.sparkSession
-    ix = index_ratings(ratings, cfg)
+    row = F.xxhash64(*USER, "product_id", "rating")
+    mark = tuple(ratings.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.shiftright(row, 16)), F.lit(0))).first())
+    kept = _written(spark, f"{run_path}/begun", _MARK)
+    if kept is None:
+        ix = index_ratings(ratings, cfg)
+        ix.users.write.mode("overwrite").parquet(f"{run_path}/index_users")
+        ix.items.write.mode("overwrite").parquet(f"{run_path}/index_items")
+        spark.createDataFrame([mark], _MARK).coalesce(1).write.mode("overwrite").parquet(f"{run_path}/begun")
+    elif tuple(kept.first()) != mark:
+        raise ValueError(f"the run under {run_path} began with other ratings")
+    users = spark.read.schema(_USER_INDEX).parquet(f"{run_path}/index_users")
+    items = spark.read.schema(_ITEM_INDEX).parquet(f"{run_path}/index_items")
+    return Indexed(join_index(ratings, users, items, cfg), users, items)
+
+
+def fit_point(train: DataFrame, point: int, rank: int, reg: float, cfg: Config, blocks: int, run_path: str) -> None:
+    """Fits one grid point and writes its factors; a point that was finished before is left as it is."""
+    spark, path = train.sparkSession, f"{run_path}/point={point}"
+    if _written(spark, f"{path}/done", "point int") is not None:
+        return
+    model = fit(train, rank, reg, cfg, blocks)
+    model.userFactors.write.mode("overwrite").parquet(f"{path}/users")
+    model.itemFactors.write.mode("overwrite").parquet(f"{path}/items")
+    spark.createDataFrame([(point,)], "point int").coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
+
+
+def stacked_factors(spark: SparkSession, run_path: str, n_points: int, side: str, key: str) -> DataFrame:
+    """(key, stack): the factors of all grid points, in grid order, in one array per id."""
+    out = None
+    for p in range(n_points):
+        f = spark.read.schema(_FACTORS).parquet(f"{run_path}/point={p}/{side}").select(F.col("id").alias(key), F.lit(p).alias("p"), "features")
+        out = f if out is None else out.unionByName(f)
+    by_point = F.array_sort(F.collect_list(F.struct("p", "features")))
+    return out.groupBy(key).agg(F.flatten(F.transform(by_point, lambda x: x["features"])).alias("stack"))
+
+
+def grid_errors(valid: DataFrame, users: DataFrame, items: DataFrame, ranks: list[int]) -> DataFrame:
+    """(category, point, sse, n) of all grid points: every validation row meets the stacked factors of its user
+    and of its product once; rows without factors drop. ``ranks``: the rank of every point."""
+    cuts = np.concatenate([[0], np.cumsum(ranks)])[:-1]
+    rows = valid.select("category", "rating", "u", "i").join(users, "u").join(items.withColumnRenamed("stack", "other"), "i")
+
+    def errors(batches):
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cats, rating = b.column(0).dictionary_encode(), b.column(1).to_numpy(zero_copy_only=False)
+            u, v = (b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) for c in (2, 3))
+            dot = np.add.reduceat(u.astype(np.float64) * v, cuts, axis=1).astype(np.float32)
+            err = (rating[:, None] - dot) ** 2
+            code = cats.indices.to_numpy(zero_copy_only=False)
+            for c, name in enumerate(cats.dictionary.to_pylist()):
+                e = err[code == c]
+                both = np.vstack([e.sum(axis=0), np.full(len(cuts), len(e), float)])
+                sums[name] = sums[name] + both if name in sums else both
+        for name, (sse, n) in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(sse)), pa.array(range(len(sse)), pa.int32()), pa.array(sse), pa.array(n.astype(np.int64))],
+                names=["category", "point", "sse", "n"])
+
+    parts = rows.select("category", "rating", "stack", "other").mapInArrow(errors, "category string, point int, sse double, n long")
+    return parts.groupBy("category", "point").agg(F.sum("sse").alias("sse"), F.sum("n").alias("n"))
+
+
+def pick_winners(errors: list[tuple[str, int, float]]) -> dict[str, int]:
+    """Grid index of the smallest error per category; the first in grid order wins, NaN never does."""
+    best: dict[str, tuple[float, int]] = {}
+    for category, point, e in sorted(errors, key=lambda x: x[1]):
+        if e is not None and not np.isnan(e) and (category not in best or e < best[category][0]):
+            best[category] = (e, point)
+    return {c: p for c, (_, p) in best.items()}
+
+
+def grid_search(ratings: DataFrame, cfg: Config, run_path: str | None = None) -> GridResult:
+    """M3: fits every grid point and takes the point of the smallest validation error per category.
+
+    Every fitted point writes its factors under ``run_path`` (a new shared folder by default): a job that died
+    goes on from there and fits only the points that are missing. Errors of all points come from one pass over
+    the validation rows."""
+    spark = ratings.sparkSession
+    run_path = run_path or scratch_path(spark, "grid")
+    grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
+    ix = _run_index(ratings, cfg, run_path)
     ix.data = ix.data.persist()  # reused by every grid point
     blocks = blocks_for(ix.data.count(), spark.sparkContext.defaultParallelism, cfg)
     train = ix.data.where(F.col("split") == TRAIN)
-    valid = ix.data.where(F.col("split") == VALIDATE)
+    with ThreadPoolExecutor(max_workers=max(1, cfg.grid_parallelism)) as pool:
+        list(pool.map(lambda p: fit_point(train, p[0], *p[1], cfg, blocks, run_path), enumerate(grid)))
 
-    summary: list[tuple] = []
-    best: dict[str, tuple[float, int]] = {}
-    models: dict[int, ALSModel] = {}
-    grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
-
-    def run(point):
-        gi, (rank, reg) = point
-        model = fit(train, rank, reg, cfg, blocks)
-        # one row per category: a small summary, safe to bring to the driver
-        return gi, rank, reg, model, rmse(predict(model, valid), digits=None).collect()
-
-    step = max(1, cfg.grid_parallelism)
-    with ThreadPoolExecutor(max_workers=step) as pool:
-        for at in range(0, len(grid), step):
-            done = list(pool.map(run, list(enumerate(grid))[at:at + step]))
-            # the winner rule is applied strictly in grid order (first wins on ties)
-            for gi, rank, reg, model, rows in done:
-                won = False
-                for r in rows:
-                    e = r["rmse"]
-                    summary.append((r["category"], gi, rank, float(reg), None if e is None else round(e, 6), int(r["n_scored"])))
-                    if e is None or np.isnan(e):
-                        continue
-                    if r["category"] not in best or e < best[r["category"]][0]:
-                        best[r["category"]] = (e, gi)
-                        won = True
-                if won:
-                    models[gi] = model
-            # only models that still win a category stay referenced; Spark's context
-            # cleaner reclaims the cached factors of the others
-            live = {g for _, g in best.values()}
-            for g in [g for g in models if g not in live]:
-                models.pop(g)
+    users = stacked_factors(spark, run_path, len(grid), "users", "u")
+    items = stacked_factors(spark, run_path, len(grid), "items", "i")
+    valid = ix.data.where(F.col("split") == VALIDATE)
+    # one row per category and grid point
+    found = {(r["category"], r["point"]): (r["sse"], r["n"]) for r in grid_errors(valid, users, items, [r for r, _ in grid]).collect()}
     ix.data.unpersist()
-    winners = {c: g for c, (_, g) in best.items()}
-    gdf = spark.createDataFrame(
-        summary,
-        "category string, grid_index int, rank int, reg_param double, rmse double, n_scored long",
-    )
-    win = spark.createDataFrame(sorted(winners.items()) or [("", -1)],
-                                "category string, best_index int")
-    gdf = gdf.join(win, on="category", how="left").withColumn(
-        "is_best", F.coalesce(F.col("grid_index") == F.col("best_index"), F.lit(False))
-    ).drop("best_index")
-    return GridResult(gdf, winners, models, ix)
+    rmses = {k: float(np.sqrt(sse / n)) for k, (sse, n) in found.items()}
+    winners = pick_winners([(c, p, e) for (c, p), e in rmses.items()])
+    rows = [
+        (c, p, grid[p][0], float(grid[p][1]), None if np.isnan(e) else round(e, 6), int(found[c, p][1]), winners.get(c) == p)
+        for (c, p), e in sorted(rmses.items())
+    ]
+    table = spark.createDataFrame(rows, "category string, grid_index int, rank int, reg_param double, rmse double, n_scored long, is_best boolean")
+    return GridResult(table, winners, run_path, ix)
 
 
 def winning_factors(res: GridResult) -> tuple[DataFrame, DataFrame]:
     """Category-scoped factor tables of the per-category winners:
     (category, user_id, features) and (category, product_id, features)."""
-    spark = res.index.data.sparkSession
-    users = items = None
-    for gi, model in sorted(res.models.items()):
-        cats = spark.createDataFrame(
-            [(c,) for c, g in sorted(res.winners.items()) if g == gi], "category string"
-        )
-        # ``cats`` is built from the driver-held winner list: at most one row per category
-        uf = model.userFactors.withColumnRenamed("id", "u").join(res.index.users, on="u").join(
-            F.broadcast(cats), on="category", how="left_semi").select(*USER, "features")
-        itf = model.itemFactors.withColumnRenamed("id", "i").join(res.index.items, on="i").join(
-            F.broadcast(cats), on="category", how="left_semi").select(*ITEM, "features")
-        users = uf if users is None else users.unionByName(uf)
-        items = itf if items is None else items.unionByName(itf)
-    if users is None:
-        users = spark.createDataFrame([], "category string, user_id long, features array<float>")
-        items = spark.createDataFrame([], "category string, product_id long, features array<float>")
+    spark = res.grid.sparkSession
+    users = spark.createDataFrame([], "category string, user_id long, features array<float>")
+    items = spark.createDataFrame([], "category string, product_id long, features array<float>")
+    for point in sorted(set(res.winners.values())):
+        # built from the driver-held winner list: at most one row per category
+        cats = F.broadcast(spark.createDataFrame([(c,) for c, p in sorted(res.winners.items()) if p == point], "category string"))
+        read = lambda side, key: spark.read.schema(_FACTORS).parquet(f"{res.run_path}/point={point}/{side}").withColumnRenamed("id", key)  # noqa: B023, E731
+        users = users.unionByName(read("users", "u").join(res.index.users, "u").join(cats, "category", "left_semi").select(*USER, "features"))
+        items = items.unionByName(read("items", "i").join(res.index.items, "i").join(cats, "category", "left_semi").select(*ITEM, "features"))
     return users, items
 
 
-# --- M5: top-k scoring in blocks -----------------------------------------------------------
-def _blocks(factors: DataFrame, id_col: str, block_rows: int, prefix: str) -> DataFrame:
-    """(category, <prefix>_blk, <prefix>_ids, <prefix>_feats): factors packed into blocks
-    of about ``block_rows`` rows; the number of blocks of a category grows with its size."""
-    sizes = checked(factors.groupBy("category").agg(F.count(F.lit(1)).alias("_n")))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows)))
-    blk = f"{prefix}_blk"
-    packed = (
-        factors.join(sizes, on="category")
-        .withColumn(blk, F.pmod(F.xxhash64(F.col(id_col)), nb))
-        .groupBy("category", blk)
-        .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "features")).alias("_blk"))
-    )
-    return packed.select(
-        "category", blk,
-        F.transform("_blk", lambda s: s["id"]).alias(f"{prefix}_ids"),
-        F.transform("_blk", lambda s: s["features"]).alias(f"{prefix}_feats"),
-    )
-
-
-TILE_USERS, TILE_ITEMS = 256, 4096
+# --- M5: pruned exact top-k ------------------------------------------------------------------
+# A score is at most the product of the two norms. Items stand in descending order of their norm, so
+# once that bound falls below a user's running k-th score, no later item can enter the user's list.
+TILE_USERS, FIRST_ITEMS, TILE_ITEMS = 256, 512, 4096
+SLACK = 1e-12  # relative; far above the rounding of a dot product of a few dozen factors
 
 
-def _scores(U, V):
-    """Dot products of a tile, summed factor by factor in one order: the same value for a pair
-    whatever the tile's shape."""
-    S = np.zeros((len(U), len(V)))
+def _exact(U, V):
+    """Row-wise dot products, summed factor by factor: one value for a pair however it was found."""
+    s = np.zeros(len(U))
     for f in range(U.shape[1]):
-        S += U[:, f, None] * V[None, :, f]
-    return S
-
-
-def _topk_rows(uids, U, iids, V, k: int):
-    """Exact top-k of every user over the items, ties to the lower item id, in tiles: a running
-    top-k is merged with one tile of scores at a time, so memory does not depend on the
-    number of users or items."""
+        s += U[:, f] * V[:, f]
+    return s
+
+
+def _norms(V):
+    return np.sqrt((V * V).sum(axis=1)) if len(V) else np.zeros(0)
+
+
+def _by_norm(iids, V):
+    """(ids, factors, norms) in descending order of norm."""
+    norms = _norms(V)
+    order = np.lexsort((iids, -norms))
+    return iids[order], V[order], norms[order]
+
+
+def _search(U, iids, V, norms, k, floor=None):
+    """(ids, scores, number of items scored) of the k best items of every user, ties to the lower id; free places
+    have the score -inf. ``floor``: a score per user below which no item matters."""
+    n, size = len(U), _norms(U)
+    best_s, best_i = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+    floor = np.full(n, -np.inf) if floor is None else floor
+    scored, at = np.zeros(n, np.int64), 0
+    while at < len(iids):
+        kth = np.maximum(best_s[:, -1], floor)
+        reach = size * norms[at]
+        act = np.flatnonzero(reach * (1 + SLACK) >= kth)
+        if not len(act):
+            break
+        tile = V[at:at + (TILE_ITEMS if at else FIRST_ITEMS)]
+        scored[act] += len(tile)
+        s = U[act] @ tile.T  # picks candidates; their scores are summed anew below
+        low = kth[act]
+        if len(tile) > k:
+            free = np.isneginf(low)
+            low[free] = np.partition(s[free], len(tile) - k, axis=1)[:, len(tile) - k]
+        row, col = np.nonzero(s >= (low - 2 * SLACK * reach[act])[:, None])
+        got, ids = _exact(U[act[row]], tile[col]), iids[at + col]
+        enters = (got > best_s[act[row], -1]) | ((got == best_s[act[row], -1]) & (ids < best_i[act[row], -1]))
+        row, got, ids = row[enters], got[enters], ids[enters]
+        row = np.concatenate([np.repeat(np.arange(len(act)), k), row])
+        got, ids = np.concatenate([best_s[act].ravel(), got]), np.concatenate([best_i[act].ravel(), ids])
+        order = np.lexsort((ids, -got, row))
+        pick = order[np.searchsorted(row[order], np.arange(len(act)))[:, None] + np.arange(k)]
+        best_s[act], best_i[act] = got[pick], ids[pick]
+        at += len(tile)
+    return best_i, best_s, scored
+
+
+def _topk_pruned(uids, U, iids, V, norms, k, floor=None):
+    """(user, item, score, rank, items scored for the user) rows, users in tiles: memory is bounded by a tile."""
     out = []
     for lo in range(0, len(uids), TILE_USERS):
-        u = U[lo:lo + TILE_USERS]
-        best_s, best_i = np.empty((len(u), 0)), np.empty((len(u), 0), np.int64)
-        for at in range(0, len(iids), TILE_ITEMS):
-            s = _scores(u, V[at:at + TILE_ITEMS])
-            i = np.broadcast_to(iids[at:at + TILE_ITEMS], s.shape)
-            if s.shape[1] > k:  # only what reaches the tile's k-th best, ties included
-                kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-                width = int((s >= kth[:, None]).sum(axis=1).max())
-                pick = np.argsort(-s, axis=1, kind="stable")[:, :width]
-                s, i = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
-            s, i = np.hstack([best_s, s]), np.hstack([best_i, i])
-            pick = np.lexsort((i, -s), axis=1)[:, :k]
-            best_s, best_i = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
-        n = best_s.shape[1]
-        out.append((np.repeat(uids[lo:lo + TILE_USERS], n), best_i.ravel(), best_s.ravel(), np.tile(np.arange(1, n + 1), len(u))))
+        part = slice(lo, lo + TILE_USERS)
+        ids, s, scored = _search(U[part], iids, V, norms, k, None if floor is None else floor[part])
+        row, place = np.nonzero(~np.isneginf(s))
+        out.append((uids[part][row], ids[row, place], s[row, place], place + 1, scored[row]))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _frame(cat, u, i, v, r) -> pd.DataFrame:
-    return pd.DataFrame({"category": np.full(len(u), cat, dtype=object), "user_id": u,
-                         "product_id": i, "score": v, "rank": r.astype(np.int64)})
+def _topk_rows(uids, U, iids, V, k: int):
+    """Exact top-k of every user over the items, ties to the lower item id."""
+    return _topk_pruned(uids, U, *_by_norm(iids, V), k)[:4]
 
 
-def _top_pairs(k: int):
-    """mapInPandas body for block pairs (category, u_ids, u_feats, i_ids, i_feats)."""
-    def score(batches):
-        for pdf in batches:
-            for cat, uids, ufe, iids, ife in zip(
-                pdf["category"], pdf["u_ids"], pdf["u_feats"], pdf["i_ids"], pdf["i_feats"]
-            ):
-                yield _frame(cat, *_topk_rows(
-                    np.asarray(uids, dtype=np.int64), np.stack(ufe).astype(np.float64),
-                    np.asarray(iids, dtype=np.int64), np.stack(ife).astype(np.float64), k))
+SCORED = "category string, user_id long, product_id long, score double, rank long, n_scored long"
 
-    return score
+
+def _frame(cat, u, i, v, r, n) -> pd.DataFrame:
+    return pd.DataFrame({"category": np.full(len(u), cat, dtype=object), "user_id": u, "product_id": i, "score": v,
+                         "rank": r.astype(np.int64), "n_scored": n})
 
 
 def _item_matrices(item_factors: DataFrame) -> dict:
-    """Item factors per category as numpy arrays, row by row from the cluster; callers check
-    the size first."""
+    """Item factors per category as numpy arrays in descending order of norm, row by row from the cluster;
+    callers check the size first."""
     ids: dict[str, list] = {}
     feats: dict[str, list] = {}
     for r in item_factors.select("category", "product_id", "features").toLocalIterator():
         ids.setdefault(r["category"], []).append(r["product_id"])
         feats.setdefault(r["category"], []).append(np.asarray(r["features"], np.float32))
-    return {c: (np.array(ids[c], np.int64), np.stack(feats[c])) for c in ids}
+    return {c: _by_norm(np.array(ids[c], np.int64), np.stack(feats[c]).astype(np.float64)) for c in ids}
 
 
 def _score_users(items, k: int):
@@ -308,45 +384,111 @@ def _score_users(items, k: int):
         mats = items.value
         for pdf in batches:
             for cat, g in pdf.groupby("category"):
-                if cat not in mats:
-                    continue
-                iids, V = mats[cat]
-                yield _frame(cat, *_topk_rows(
-                    g["user_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64),
-                    iids, V.astype(np.float64), k))
+                if cat in mats:
+                    yield _frame(cat, *_topk_pruned(
+                        g["user_id"].to_numpy(np.int64), np.stack(g["features"].to_numpy()).astype(np.float64), *mats[cat], k))
 
     return score
 
 
-SCORED = "category string, user_id long, product_id long, score double, rank long"
+def _score_blocks(k: int):
+    """mapInPandas body for block pairs: the users of a block that still reach the item block."""
+    def score(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                floor, reach = np.array([x["floor"] for x in r.users]), np.array([x["reach"] for x in r.users])
+                mine = np.flatnonzero(reach >= r.blk)
+                U = np.stack([r.users[j]["features"] for j in mine]).astype(np.float64)
+                V = np.stack([x["features"] for x in r.items]).astype(np.float64)
+                items = _by_norm(np.array([x["id"] for x in r.items], np.int64), V)
+                got = _topk_pruned(np.array([r.users[j]["id"] for j in mine], np.int64), U, *items, k, floor[mine])
+                yield _frame(r.category, *got[:4], np.zeros(len(got[0]), np.int64))
+
+    return score
 
 
-def recommend_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cfg: Config) -> DataFrame:
+def _norm_col(features: str) -> F.Column:
+    squares = F.transform(features, lambda x: x.cast("double") * x.cast("double"))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
+
+
+def _meet(user_blocks: DataFrame, item_blocks: DataFrame, k: int) -> DataFrame:
+    """Scores of block pairs that share (category, blk). User blocks of one item block are dealt over ``lane``s, so an
+    item block that all users reach is not one task."""
+    lanes = checked(user_blocks.groupBy("category", "blk").agg(F.ceil(F.count(F.lit(1)) / 16).alias("lanes")))
+    left = user_blocks.join(lanes, ["category", "blk"]).withColumn("lane", F.pmod(F.xxhash64("part"), "lanes")).drop("lanes", "part")
+    right = item_blocks.join(lanes, ["category", "blk"]).withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)))
+    pairs = left.join(right.select("category", "blk", "lane", "items"), ["category", "blk", "lane"])
+    return pairs.select("category", "blk", "users", "items").mapInPandas(_score_blocks(k), SCORED)
+
+
+def block_join_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cfg: Config) -> DataFrame:
+    """M5 for items too many to broadcast, in two rounds of block pairs.
+
+    Items are numbered per category by descending norm and cut into blocks. In the first round every user meets
+    the block of the largest norms; its k-th score there tells how many further blocks the user reaches. In the
+    second round users are packed with others of equal reach, and a user block meets the blocks it reaches, and
+    no others."""
+    size = cfg.score_block_rows
+    items = item_factors.select("category", "product_id", "features").withColumn("norm", _norm_col("features"))
+    items = dense_positions(items.withColumn("down", -F.col("norm")), ["category"], ["down", "product_id"], "pos")
+    blocks = cut_lineage(items.withColumn("blk", F.floor(F.col("pos") / size)).groupBy("category", "blk").agg(
+        F.collect_list(F.struct(F.col("product_id").alias("id"), "features")).alias("items"),
+        F.max("norm").alias("bound"), F.count(F.lit(1)).alias("n")))
+    ordered = F.array_sort(F.collect_list(F.struct("blk", "bound", "n")))  # one entry a block of thousands of items
+    bounds = checked(blocks.groupBy("category").agg(ordered.alias("of")))
+
+    user = F.struct(F.col("user_id").alias("id"), "features", "floor", "reach")
+    users = user_factors.select("category", "user_id", "features").withColumn("norm", _norm_col("features"))
+    counts = checked(users.groupBy("category").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts")))
+    first = (
+        users.join(counts, "category").withColumn("part", F.pmod(F.xxhash64("user_id"), "parts"))
+        .withColumn("floor", F.lit(float("-inf"))).withColumn("reach", F.lit(0).cast("long"))
+        .groupBy("category", "part").agg(F.collect_list(user).alias("users")).withColumn("blk", F.lit(0).cast("long"))
+    )
+    near = cut_lineage(_meet(first, blocks.where("blk = 0"), k))
+    kth = near.where(F.col("rank") == k).select(*USER, F.col("score").alias("floor"))
+    reaches = lambda b: b["bound"] * F.col("norm") * (1 + SLACK) >= F.col("floor")
+    users = users.join(bounds, "category").join(kth, USER, "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    users = users.withColumn("met", F.filter("of", lambda b: (b["blk"] == 0) | reaches(b))).select(
+        *USER, "features", "floor", (F.size("met") - 1).cast("long").alias("reach"),
+        F.aggregate("met", F.lit(0).cast("long"), lambda a, b: a + b["n"]).alias("n_scored"))
+    users = cut_lineage(users)
+
+    far = dense_positions(users.where("reach > 0"), ["category"], ["reach", "user_id"], "pos")
+    far = far.withColumn("part", F.floor(F.col("pos") / size)).groupBy("category", "part").agg(F.collect_list(user).alias("users"), F.max("reach").alias("most"))
+    far = far.withColumn("blk", F.explode(F.sequence(F.lit(1).cast("long"), "most"))).drop("most")
+    cand = near.unionByName(_meet(far, blocks.where("blk > 0"), k)).drop("rank", "n_scored")
+    best = top_k(cand, USER, [F.col("score").desc(), F.col("product_id")], k)
+    return best.join(users.select(*USER, "n_scored"), USER)
+
+
+def recommend_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int, cfg: Config, work: bool = False) -> DataFrame:
     """M5: the k best products of the user's own category for every user with factors:
-    (category, user_id, product_id, score, rank); ties go to the lower product id.
-
-    Item factors under ``score_broadcast_bytes`` (counted first) are broadcast as numpy
-    matrices and users are scored where they are, nothing shuffled. Beyond that, factors are packed into blocks and every
-    item block is paired with each user block of its category on (category, user block);
-    the top k per user per pair leaves the task and a final top-k merges the pairs. Both
-    run the same tile kernel, whose memory is bounded by a constant and whose scores do not
-    depend on the tiling.
+    (category, user_id, product_id, score, rank); ties go to the lower product id. With ``work`` also
+    ``n_scored``, the number of products that were scored for the user.
+
+    Products are met in descending order of their norm, and a user stops when the norms' product falls
+    below the running k-th score. Item factors under ``score_broadcast_bytes`` (counted first) are broadcast as numpy
+    matrices and users are scored where they are, nothing shuffled; beyond it see ``block_join_top_k``. Both run
+    one kernel, whose memory is bounded by a constant and whose scores do not depend on the tiling.
     """
     n_items, width = item_factors.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
     if (n_items or 0) * ((width or 0) * 8 + 16) <= cfg.score_broadcast_bytes:
         items = user_factors.sparkSession.sparkContext.broadcast(_item_matrices(item_factors))
-        return user_factors.select("category", "user_id", "features").mapInPandas(
-            _score_users(items, k), SCORED
-        )
-    ub = _blocks(user_factors, "user_id", cfg.score_block_rows, "u")
-    ib = _blocks(item_factors, "product_id", cfg.score_block_rows, "i")
-    ukeys = ub.select("category", "u_blk")
-    small = F.broadcast if ukeys.count() <= cfg.broadcast_rows else (lambda d: d)
-    pairs = ub.join(ib.join(small(ukeys), on="category"), on=["category", "u_blk"])
-    cand = pairs.select("category", "u_ids", "u_feats", "i_ids", "i_feats").mapInPandas(
-        _top_pairs(k), SCORED
-    ).drop("rank")
-    return top_k(cand, USER, [F.col("score").desc(), F.col("product_id")], k)
+        out = user_factors.select("category", "user_id", "features").mapInPandas(_score_users(items, k), SCORED)
+    else:
+        out = block_join_top_k(user_factors, item_factors, k, cfg)
+    return out.select(*USER, "product_id", "score", "rank", *(["n_scored"] if work else []))
+
+
+def scoring_work(scored: DataFrame, item_factors: DataFrame) -> DataFrame:
+    """(category, n_users, n_items, n_scored, share): the part of all user and product pairs that a result of
+    ``recommend_top_k(..., work=True)`` scored."""
+    users = scored.groupBy(*USER).agg(F.max("n_scored").alias("n")).groupBy("category").agg(F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_scored"))
+    items = item_factors.groupBy("category").agg(F.count(F.lit(1)).alias("n_items"))
+    return users.join(items, "category").select(
+        "category", "n_users", "n_items", "n_scored", (F.col("n_scored") / (F.col("n_users") * F.col("n_items"))).alias("share"))
 
 
 def user_recommendations(ratings: DataFrame, cfg: Config) -> tuple[DataFrame, GridResult]:

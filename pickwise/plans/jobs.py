@@ -1,6 +1,6 @@
 """Batch jobs over a ``TableStore`` (E1-E4, C8) and the plans they run.
 
-    python -m pickwise.plans.jobs <root> mf [grid_parallelism]
+    python -m pickwise.plans.jobs <root> mf [grid_parallelism] [run_id]
     python -m pickwise.plans.jobs <root> categorical|promote
     python -m pickwise.plans.jobs <root> onboard <product_requests.parquet>
     python -m pickwise.plans.jobs <root> import <folder of the original layout>
@@ -107,11 +107,14 @@ def run_categorical(store: TableStore, cfg: Config) -> DataFrame:
     return store.read("category_recommendation_data")
 
 
-def run_mf(store: TableStore, cfg: Config, model_path: str | None = None) -> DataFrame:
+def run_mf(store: TableStore, cfg: Config, model_path: str | None = None, run_id: str | None = None) -> DataFrame:
     """Grid search over all categories at once, save the model, replace
-    user_recommendation_data with the top ``n_recs - n_new`` per rater."""
+    user_recommendation_data with the top ``n_recs - n_new`` per rater.
+
+    A ``run_id`` keeps every fitted grid point under the store: a job that died and comes back with the same
+    id fits only what is missing."""
     ratings = store.read("ratings")
-    res = MF.grid_search(ratings, cfg)
+    res = MF.grid_search(ratings, cfg, f"{store.root}/_runs/{run_id}" if run_id else None)
     uf, itf = MF.winning_factors(res)
     models.save_factors(model_path or f"{store.root}/_model", uf, itf, res.grid)
     uf, itf, _ = models.load_factors(store.spark, model_path or f"{store.root}/_model")
@@ -130,7 +133,7 @@ def main(argv: list[str]) -> None:
     cfg = DEFAULT
     store = TableStore(spark, root, cfg.files_per_category)
     if job == "mf":
-        run_mf(store, cfg.with_(grid_parallelism=int(argv[2])) if len(argv) > 2 else cfg)
+        run_mf(store, cfg.with_(grid_parallelism=int(argv[2])) if len(argv) > 2 else cfg, run_id=argv[3] if len(argv) > 3 else None)
     elif job == "categorical":
         run_categorical(store, cfg)
     elif job == "promote":

@@ -441,29 +441,51 @@ def _fitted(spark, sf_dir):
     return ix, model, ix.data.where("split = 'validate'")
 
 
-@query("als_train")
-def q_als_train(spark, sf_dir):
-    """M1: every user and product of the training rows has one factor of the given rank."""
+def _trained(spark, sf_dir):
     ix, m, _ = _fitted(spark, sf_dir)
     u = m.userFactors.withColumnRenamed("id", "u").join(ix.users, on="u").select(
-        F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), F.size("features").cast("long").alias("rank"))
+        F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), "features")
     i = m.itemFactors.withColumnRenamed("id", "i").join(ix.items, on="i").select(
-        F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), F.size("features").cast("long").alias("rank"))
+        F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), "features")
     return u.unionByName(i)
 
 
+@query("als_train")
+def q_als_train(spark, sf_dir):
+    """M1: the factors of every user and product of the training rows."""
+    return _trained(spark, sf_dir)
+
+
+@query("als_train_digest")
+def q_als_train_digest(spark, sf_dir):
+    """M1: every user and product of the training rows has one factor of the given rank."""
+    return _trained(spark, sf_dir).select("kind", "category", "id", F.size("features").cast("long").alias("rank"))
+
+
 @query("als_predict")
 def q_als_predict(spark, sf_dir):
-    """Validation rows whose user and product have factors get a number."""
+    """Predictions of the validation rows whose user and product have factors."""
     _, m, valid = _fitted(spark, sf_dir)
-    return MF.predict(m, valid).select(*MF.USER, "product_id", "rating", (~F.isnan("prediction")).alias("scored"))
+    return MF.predict(m, valid).select(*MF.USER, "product_id", "rating", "prediction")
+
+
+@query("als_predict_digest")
+def q_als_predict_digest(spark, sf_dir):
+    """Which validation rows get a number."""
+    return q_als_predict(spark, sf_dir).withColumn("scored", ~F.isnan("prediction")).drop("prediction")
 
 
 @query("als_grid")
 def q_als_grid(spark, sf_dir):
+    """The error of every grid point in every category, and the winners."""
+    return MF.grid_search(_fx(spark, sf_dir).ratings, GRID).grid
+
+
+@query("als_grid_digest")
+def q_als_grid_digest(spark, sf_dir):
     """M3: every grid point scores every predictable validation row; one winner a category, and it
     has the smallest error."""
-    grid = MF.grid_search(_fx(spark, sf_dir).ratings, GRID).grid
+    grid = q_als_grid(spark, sf_dir)
     best = grid.groupBy("category").agg(F.min("rmse").alias("_low"), F.sum(F.col("is_best").cast("long")).alias("n_winners"))
     of_winner = grid.where("is_best").select("category", F.col("rmse").alias("_won"))
     return grid.join(best, "category").join(of_winner, "category").select(
@@ -471,20 +493,49 @@ def q_als_grid(spark, sf_dir):
         "n_scored", "n_winners", (F.col("_won") == F.col("_low")).alias("winner_is_lowest"))
 
 
-@query("als_recommend")
-def q_als_recommend(spark, sf_dir):
-    """Top 3 products of the user's category for every rater. The factors are small whole
-    numbers made from the ids, saved and loaded through the model store, so scores are exact."""
+def _whole_factors(spark, sf_dir):
+    """Factors of small whole numbers made from the ids of raters and rated products, through the model store."""
     ratings = _fx(spark, sf_dir).ratings
     whole = lambda c, ms: F.array(*[(F.col(c) * m % n - o).cast("float") for m, n, o in ms])
     u = ratings.select(*MF.USER).distinct().withColumn("features", whole("user_id", [(1, 7, 3), (3, 5, 2), (1, 11, 5)]))
     i = ratings.select(*MF.ITEM).distinct().withColumn("features", whole("product_id", [(1, 13, 6), (5, 7, 3), (1, 3, 1)]))
     path = scratch_path(spark, "exact_model")
     M.save_factors(path, u, i, spark.createDataFrame([], M.GRID))
-    u, i, _ = M.load_factors(spark, path)
+    return M.load_factors(spark, path)[:2]
+
+
+@query("als_recommend")
+def q_als_recommend(spark, sf_dir):
+    """M5, U4: top 3 products of the user's category for every rater, by the first grid point's factors."""
+    f = _trained(spark, sf_dir)
+    u = f.where("kind = 'user'").select("category", F.col("id").alias("user_id"), "features")
+    i = f.where("kind = 'item'").select("category", F.col("id").alias("product_id"), "features")
+    return MF.recommend_top_k(u, i, CFG.n_established, CFG)
+
+
+@query("als_recommend_exact")
+def q_als_recommend_exact(spark, sf_dir):
+    """M5, S7, U4 on whole-number factors, whose scores are exact and often equal."""
+    u, i = _whole_factors(spark, sf_dir)
     return MF.recommend_top_k(u, i, CFG.n_established, CFG)
 
 
+@query("als_recommend_blocks")
+def q_als_recommend_blocks(spark, sf_dir):
+    """M5 as it runs when the products are too many to broadcast: block pairs within the bounds."""
+    u, i = _whole_factors(spark, sf_dir)
+    return MF.recommend_top_k(u, i, CFG.n_established, CFG.with_(score_broadcast_bytes=0, score_block_rows=512))
+
+
+@query("als_scoring_work")
+def q_als_scoring_work(spark, sf_dir):
+    """M5: the share of all pairs of raters and products that were scored."""
+    f = _trained(spark, sf_dir)
+    u = f.where("kind = 'user'").select("category", F.col("id").alias("user_id"), "features")
+    i = f.where("kind = 'item'").select("category", F.col("id").alias("product_id"), "features")
+    return MF.scoring_work(MF.recommend_top_k(u, i, CFG.n_established, CFG, work=True), i)
+
+
 @query("als_save_load")
 def q_als_save_load(spark, sf_dir):
     """An ALS model saved and loaded back scores the validation rows as before."""
@@ -497,10 +548,14 @@ def q_als_save_load(spark, sf_dir):
 
 @query("mf_job")
 def q_mf_job(spark, sf_dir):
-    """The full grid, model save/load, user_recommendation_data replaced; lists per user, read back."""
-    store = _seed_store(spark, sf_dir, "mf_job")
-    recs = J.run_mf(store, GRID)
-    return recs.groupBy(*MF.USER).agg(F.count("*").alias("n_products"), F.countDistinct("product_id").alias("n_distinct"))
+    """The full grid, model save/load, user_recommendation_data replaced, read back."""
+    return J.run_mf(_seed_store(spark, sf_dir, "mf_job"), GRID)
+
+
+@query("mf_job_digest")
+def q_mf_job_digest(spark, sf_dir):
+    """Lists per user that the job stored."""
+    return q_mf_job(spark, sf_dir).groupBy(*MF.USER).agg(F.count("*").alias("n_products"), F.countDistinct("product_id").alias("n_distinct"))
 
 
 FLAGSHIP = "recommend"

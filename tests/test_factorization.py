@@ -110,19 +110,99 @@ def test_blocks_follow_ratings_and_cores():
     assert MF.blocks_for(5001, 4, cfg.with_(als_blocks=3)) == 3
 
 
-def test_winner_is_chosen_on_unrounded_errors(planted, monkeypatch):
-    """Two points whose errors differ by less than 1e-6: the smaller wins though it comes later."""
-    real, calls = MF.rmse, []
-
-    def nearly_equal(scored, by=None, label="rating", prediction="prediction", digits=6):
-        calls.append(1)
-        value = 0.5 - 1e-8 * (len(calls) - 1)
-        out = real(scored, by, label, prediction, digits)
-        return out.withColumn("rmse", F.lit(value if digits is None else round(value, digits)))
-
-    monkeypatch.setattr(MF, "rmse", nearly_equal)
-    res = MF.grid_search(planted, CFG.with_(ranks=(2,), reg_params=(0.1, 0.01), max_iter=1))
-    assert set(res.winners.values()) == {1}
+def test_winner_is_chosen_on_unrounded_errors():
+    """Errors that differ by less than 1e-6; ties go to the first point, NaN and missing errors never win."""
+    e = [("A", 0, 0.5), ("A", 1, 0.5 - 1e-8), ("B", 1, 0.25), ("B", 0, 0.25), ("C", 0, float("nan")), ("C", 1, 9.0), ("D", 0, None)]
+    assert MF.pick_winners(e) == {"A": 1, "B": 0, "C": 1}
+
+
+def test_errors_of_all_points_in_one_pass_equal_the_models(planted, spark):
+    cfg = CFG.with_(ranks=(2, 3), reg_params=(0.01, 0.3), max_iter=4)
+    res = MF.grid_search(planted, cfg)
+    got = {(r["category"], r["grid_index"]): (r["rmse"], r["n_scored"]) for r in res.grid.collect()}
+    ix = MF.index_ratings(planted, cfg)
+    train, valid = ix.data.where("split = 'train'"), ix.data.where("split = 'validate'")
+    for p, (rank, reg) in enumerate([(r, g) for r in cfg.ranks for g in cfg.reg_params]):
+        for r in MF.rmse(MF.predict(MF.fit(train, rank, reg, cfg), valid)).collect():
+            e, n = got[r["category"], p]
+            assert abs(e - r["rmse"]) < 2e-5 and n == r["n_scored"]
+    users = MF.stacked_factors(spark, res.run_path, 4, "users", "u")
+    items = MF.stacked_factors(spark, res.run_path, 4, "items", "i")
+    plan = MF.grid_errors(valid, users, items, [2, 2, 3, 3])._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[:plan.index("stack")] if "stack" in plan else plan
+    assert len(users.first()["stack"]) == 10 and below.count("MapInArrow") == 1
+
+
+def test_a_grid_that_died_fits_only_what_is_missing(planted, spark, monkeypatch):
+    cfg, path = CFG.with_(max_iter=2), tempfile.mkdtemp(prefix="pickwise-run-") + "/run"
+    real, fitted = MF.fit, []
+
+    def dies(train, rank, reg, *a):
+        if len(fitted) == 2:
+            raise RuntimeError("driver lost")
+        fitted.append((rank, reg))
+        return real(train, rank, reg, *a)
+
+    monkeypatch.setattr(MF, "fit", dies)
+    with pytest.raises(RuntimeError):
+        MF.grid_search(planted, cfg, path)
+    again = []
+    monkeypatch.setattr(MF, "fit", lambda train, rank, reg, *a: again.append((rank, reg)) or real(train, rank, reg, *a))
+    res = MF.grid_search(planted, cfg, path)
+    assert fitted + again == [(r, g) for r in cfg.ranks for g in cfg.reg_params]
+    whole = MF.grid_search(planted, cfg)
+    assert res.winners == whole.winners
+    assert MF.winning_factors(res)[0].count() == MF.winning_factors(whole)[0].count()
+    with pytest.raises(ValueError):
+        MF.grid_search(planted.limit(100), cfg, path)
+
+
+def _factors(spark, rng, n_users, n_items, decay, whole=False):
+    draw = (lambda *s: rng.integers(-2, 3, s)) if whole else (lambda *s: rng.normal(size=s))
+    u = [(c, i, [float(x) for x in draw(3)]) for c in "AB" for i in range(n_users)]
+    v = [(c, int(p), [float(x) * (1.0 if whole else decay ** j) for x in draw(3)]) for c in "AB" for j, p in enumerate(rng.permutation(n_items) * 3)]
+    shape = "features array<float>"
+    return spark.createDataFrame(u, f"category string, user_id long, {shape}"), spark.createDataFrame(v, f"category string, product_id long, {shape}")
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_pruned_top_k_equals_brute_force_with_ties(spark, whole):
+    rng = np.random.default_rng(5)
+    uf, itf = _factors(spark, rng, 70, 200, 0.97, whole)
+    items = {c: [(r["product_id"], np.asarray(r["features"])) for r in itf.collect() if r["category"] == c] for c in "AB"}
+    want = {}
+    for r in uf.collect():
+        x = np.asarray(r["features"])
+        want[r["category"], r["user_id"]] = [p for _, p in sorted((-float(sum(x[f] * v[f] for f in range(3))), p) for p, v in items[r["category"]])[:4]]
+    for cfg in (Config(), Config(score_broadcast_bytes=0, score_block_rows=16)):
+        out = MF.recommend_top_k(uf, itf, 4, cfg, work=True).cache()
+        got = {}
+        for r in sorted(out.collect(), key=lambda r: r["rank"]):
+            got.setdefault((r["category"], r["user_id"]), []).append(r["product_id"])
+        assert got == want
+        assert all(r["n_scored"] <= 70 * r["n_items"] for r in MF.scoring_work(out, itf).collect())
+
+
+def test_the_block_join_meets_only_what_the_bounds_admit(spark, monkeypatch):
+    """Norms that fall fast: most user blocks stop after the first item block."""
+    rng = np.random.default_rng(6)
+    uf, itf = _factors(spark, rng, 64, 640, 0.95)
+    cfg, met = Config(score_broadcast_bytes=0, score_block_rows=32), []
+    real = MF._meet
+    monkeypatch.setattr(MF, "_meet", lambda u, i, k: met.append(u.select("category", "blk").count()) or real(u, i, k))
+    out = MF.recommend_top_k(uf, itf, 3, cfg, work=True)
+    work = {r["category"]: r for r in MF.scoring_work(out, itf).collect()}
+    assert met[0] == 2 * 2 and met[1] < 0.5 * 2 * 2 * 19  # of 19 further item blocks a category
+    assert all(w["n_users"] == 64 and w["n_items"] == 640 and w["share"] < 0.5 for w in work.values())
+    near = MF.recommend_top_k(uf, itf, 3, Config(), work=True)
+    assert {tuple(r)[:5] for r in out.collect()} == {tuple(r)[:5] for r in near.collect()}
+
+
+def test_top_k_with_fewer_items_than_places(spark):
+    rng = np.random.default_rng(7)
+    uf, itf = _factors(spark, rng, 5, 2, 1.0)
+    for cfg in (Config(), Config(score_broadcast_bytes=0, score_block_rows=1)):
+        assert MF.recommend_top_k(uf, itf, 3, cfg).count() == 2 * 5 * 2
 
 
 def test_top_k_kernel_memory_does_not_follow_the_items():
@@ -132,8 +212,9 @@ def test_top_k_kernel_memory_does_not_follow_the_items():
     peaks = []
     for n in (20_000, 80_000):
         U, V = rng.standard_normal((600, 4)), rng.standard_normal((n, 4))
+        items = MF._by_norm(np.arange(n), V)  # once per category, outside the kernel
         tracemalloc.start()
-        MF._topk_rows(np.arange(600), U, np.arange(n), V, 3)
+        MF._topk_pruned(np.arange(600), U, *items, 3)
         peaks.append(tracemalloc.get_traced_memory()[1])
         tracemalloc.stop()
     assert peaks[1] < 1.2 * peaks[0]

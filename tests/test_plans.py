@@ -59,8 +59,12 @@ def test_small_batches_do_not_shuffle_the_whole_tables(spark, tmp_path):
     spark.range(200_000).select(F.lit("H").alias("category"), F.col("id").alias("user_id"), F.concat(F.lit("m"), "id").alias("mail_id")).write.parquet(f"{tmp_path}/users")
     spark.range(50).select(F.lit("H").alias("category"), F.concat(F.lit("m"), F.col("id") * 7).alias("mail_id")).write.parquet(f"{tmp_path}/requests")
     users, requests = spark.read.parquet(f"{tmp_path}/users"), spark.read.parquet(f"{tmp_path}/requests")
-    for df in (RG.lookup_user_id(requests, users), RG.user_exists(requests, users)):
-        plan = _executed(df)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)  # the scan's whole path, however long
+    try:
+        plans = [_executed(df) for df in (RG.lookup_user_id(requests, users), RG.user_exists(requests, users))]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for plan in plans:
         assert "LeftSemi, BuildRight" in plan
         below = plan[plan.index("LeftSemi, BuildRight"):]
         big = below[:below.index("/users")]  # from the semi-join down to the scan of the big table
