@@ -47,8 +47,6 @@ class Config:
     grid_parallelism: int = 1
     # rows per factor block in top-k scoring (user side and item side)
     score_block_rows: int = 4096
-    # files written per category partition by the sinks (0: no extra shuffle)
-    files_per_category: int = 8
     # largest per-category table (rows) broadcast to a per-user join
     broadcast_rows: int = 2_000_000
     # largest item-factor payload (bytes) broadcast to the scoring tasks

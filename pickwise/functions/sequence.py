@@ -34,8 +34,8 @@ def dense_positions(
     partitions: int | None = None,
 ) -> DataFrame:
     keys = [*group, *order]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without a number adaptive execution merges small neighbouring ranges: a small table is one task
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
     tagged = cut_lineage(ranged.withColumn("_tag", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("_part", F.shiftright("_tag", _ROW_BITS))
 

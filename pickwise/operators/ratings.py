@@ -56,6 +56,12 @@ def product_stats(ratings: DataFrame, new_product_ratings: DataFrame) -> DataFra
     )
 
 
+def merge_stats(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two summaries as one: the state of a product is merged by adding it up."""
+    both = a.unionByName(b).groupBy(*PRODUCT_KEY)
+    return both.agg(*[F.sum(c).alias(c) for c in ("sum_all", "n_all", "sum_new", "n_new")])
+
+
 def means_from_stats(stats: DataFrame) -> DataFrame:
     """A1 from the summary: mean over both tables."""
     return stats.select(
@@ -92,6 +98,7 @@ def category_top(means: DataFrame, products: DataFrame, k: int) -> DataFrame:
 def category_list(tables, cfg: Config, stats: DataFrame | None = None) -> DataFrame:
     """The stored category list: top ``n_recs`` by mean over both rating tables."""
     p = all_products(tables.products, tables.new_products)
+    stats = tables.stats if stats is None else stats
     if stats is not None:
         return category_top(means_from_stats(stats), p, cfg.n_recs)
     r = all_ratings(tables.ratings, tables.new_product_ratings)

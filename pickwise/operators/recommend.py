@@ -66,9 +66,8 @@ def final_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,
                bc: Broadcaster = checked) -> DataFrame:
     """C6 (stage 3): the user's ALS rows when the user has ratings and ALS rows;
     otherwise the category list."""
-    rated = has_ratings(users, all_ratings(tables.ratings, tables.new_product_ratings)).where(
-        "has_ratings"
-    ).select(*USER)
+    raters = tables.raters if tables.raters is not None else all_ratings(tables.ratings, tables.new_product_ratings)
+    rated = has_ratings(users, raters).where("has_ratings").select(*USER)
     als = top_k(
         tables.user_recs.join(rated, on=USER, how="left_semi"),
         USER, [F.col("score").desc(), F.col("product_id")], cfg.n_established,
@@ -87,6 +86,7 @@ def stages(tables, cfg: Config, *extra_category_sources: DataFrame,
     """C2 over the snapshot; the category dimension also covers categories with no
     ratings at all (and any request tables given)."""
     dim = categories(tables.users, tables.products, tables.new_products, *extra_category_sources)
+    stats = tables.stats if stats is None else stats
     if stats is not None:
         return category_stage(dim, None, cfg, stats)
     return category_stage(dim, all_ratings(tables.ratings, tables.new_product_ratings), cfg)
@@ -94,7 +94,10 @@ def stages(tables, cfg: Config, *extra_category_sources: DataFrame,
 
 def snapshot_stats(tables) -> DataFrame:
     """The per-product rating summary of a snapshot, written once to the shared folder
-    so that every strategy of the batch reads it instead of rescanning the ratings."""
+    so that every strategy of the batch reads it. A store's snapshot brings it along; only
+    without one is it aggregated from the ratings."""
+    if tables.stats is not None:
+        return cut_lineage(tables.stats)
     return cut_lineage(product_stats(tables.ratings, tables.new_product_ratings))
 
 
@@ -119,11 +122,18 @@ def recommend(
         category_recs = cut_lineage(category_list(tables, cfg, stats))
     staged = users.select(*USER).join(bc(stage), on="category")
     by = lambda s: staged.where(F.col("stage") == s).select(*USER)
-    out = (
-        initial_recs(by(1), tables, cfg, bc).withColumn("stage", F.lit(1))
-        .unionByName(mid_recs(by(2), tables, category_recs, cfg, stats, bc)
-                     .withColumn("stage", F.lit(2)))
-        .unionByName(final_recs(by(3), tables, category_recs, cfg, bc)
-                     .withColumn("stage", F.lit(3)))
-    )
-    return out.withColumn("stage", F.col("stage").cast("long"))
+    # a stage that no category is in needs no plan
+    present = {r["stage"] for r in stage.select("stage").distinct().collect()}  # at most three values
+    strategies = {
+        1: lambda u: initial_recs(u, tables, cfg, bc),
+        2: lambda u: mid_recs(u, tables, category_recs, cfg, stats, bc),
+        3: lambda u: final_recs(u, tables, category_recs, cfg, bc),
+    }
+    out = None
+    for s, recs in strategies.items():
+        if s in present:
+            part = recs(by(s)).withColumn("stage", F.lit(s).cast("long"))
+            out = part if out is None else out.unionByName(part)
+    if out is None:  # no category at all
+        out = final_recs(by(3), tables, category_recs, cfg, bc).withColumn("stage", F.lit(3).cast("long"))
+    return out

@@ -23,7 +23,7 @@ from pickwise.operators import factorization as MF
 from pickwise.operators import feedback as FB
 from pickwise.operators import newproducts as NP
 from pickwise.operators import registry as RG
-from pickwise.operators.ratings import category_list
+from pickwise.operators.ratings import category_list, merge_stats, product_stats
 from pickwise.operators.recommend import recommend
 from pickwise.sources import models
 from pickwise.session import cut_lineage
@@ -52,12 +52,16 @@ def recommend_plan(requests: DataFrame, feedback: DataFrame, tables: Tables, cfg
     routed = cut_lineage(FB.route_feedback(
         FB.feedback_batch(feedback), tables.products, tables.new_products, tables.users
     ))
+    rated, rated_new = FB.routed_rows(routed, FB.TARGET_ESTABLISHED), FB.routed_rows(routed, FB.TARGET_NEW)
+    if tables.stats is not None:  # the snapshot's summaries move on with the batch
+        tables = tables.with_(
+            stats=merge_stats(tables.stats, product_stats(rated, rated_new)),
+            raters=tables.raters.unionByName(rated.unionByName(rated_new).select("category", "user_id")),
+        )
     snap = tables.with_(
         users=tables.users.unionByName(new_users.select(*tables.users.columns)),
-        ratings=tables.ratings.unionByName(FB.routed_rows(routed, FB.TARGET_ESTABLISHED)),
-        new_product_ratings=tables.new_product_ratings.unionByName(
-            FB.routed_rows(routed, FB.TARGET_NEW)
-        ),
+        ratings=tables.ratings.unionByName(rated),
+        new_product_ratings=tables.new_product_ratings.unionByName(rated_new),
     )
     recs = recommend(req_users.select("category", "user_id"), snap, cfg)
     out = recs.join(req_users, on=["category", "user_id"]).select(
@@ -131,7 +135,7 @@ def main(argv: list[str]) -> None:
     root, job = argv[0], argv[1]
     spark: SparkSession = build_session()
     cfg = DEFAULT
-    store = TableStore(spark, root, cfg.files_per_category)
+    store = TableStore(spark, root)
     if job == "mf":
         run_mf(store, cfg.with_(grid_parallelism=int(argv[2])) if len(argv) > 2 else cfg, run_id=argv[3] if len(argv) > 3 else None)
     elif job == "categorical":

@@ -17,6 +17,10 @@ NEW_PRODUCTS = PRODUCTS
 RATINGS = _schema(("category", S), ("user_id", L), ("product_id", L), ("rating", D))
 NEW_PRODUCT_RATINGS = RATINGS
 SHOWN = _schema(("category", S), ("product_name", S))
+# maintained with every commit that touches a rating table: one mergeable state per product of a segment, and
+# the segment's raters
+RATING_STATE = _schema(("category", S), ("product_id", L), ("sum", D), ("n", L))
+RATERS = _schema(("category", S), ("user_id", L))
 CATEGORY_RECS = _schema(
     ("category", S), ("rank", L), ("product_id", L), ("product_name", S), ("mean_rating", D)
 )
@@ -35,6 +39,7 @@ FEEDBACK_REJECTS = _schema(
     ("category", S), ("user_id", L), ("product_name", S), ("product_id", L), ("rating", D), ("seq", L),
     ("target", S), ("reason", S), ("batch_id", L),
 )
+IMPORT_REJECTS = _schema(("category", S), ("dataset", S), ("line", S), ("reason", S))
 BATCH_RECS = _schema(
     ("category", S), ("mail_id", S), ("user_id", L), ("slot", L), ("product_id", L), ("product_name", S),
     ("source", S), ("stage", L), ("batch_id", L),
@@ -46,12 +51,17 @@ TABLES = {
     "new_products": NEW_PRODUCTS,
     "ratings": RATINGS,
     "new_product_ratings": NEW_PRODUCT_RATINGS,
+    "ratings_state": RATING_STATE,
+    "ratings_raters": RATERS,
+    "new_product_ratings_state": RATING_STATE,
+    "new_product_ratings_raters": RATERS,
     "new_product_shown_list": SHOWN,
     "category_recommendation_data": CATEGORY_RECS,
     "user_recommendation_data": USER_RECS,
     "previous_user_recommendations": HISTORY,
     "feedback_rejects": FEEDBACK_REJECTS,
     "batch_recommendations": BATCH_RECS,
+    "import_rejects": IMPORT_REJECTS,
 }
 
 # recommendation rows produced by every strategy

@@ -11,11 +11,16 @@ written before their commit, so readers never see half of a batch or of a promot
 writer that died leaves nothing behind that counts, and a plan never overwrites the files it
 reads. A commit id given by the caller (a batch) is accepted once. One writer at a time
 (as in the original).
+
+Every segment of a rating table comes with two derived segments of the same name, in the same commit:
+the sum and count of its ratings per product, and its raters. A snapshot reads its rating summary
+from them, so no reader of means, counts or raters scans the ratings themselves.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +44,9 @@ class Tables:
     category_recs: DataFrame | None = None
     user_recs: DataFrame | None = None
     history: DataFrame | None = None
+    # maintained summaries of the two rating tables; None: derive them from the rows
+    stats: DataFrame | None = None      # as ``operators.ratings.product_stats``
+    raters: DataFrame | None = None     # category, user_id of everyone with a rating
 
     def with_(self, **kw) -> "Tables":
         return replace(self, **kw)
@@ -62,18 +70,20 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str, files_per_category: int = 0) -> None:
+# rating table -> its derived tables
+STATE_OF = {t: f"{t}_state" for t in ("ratings", "new_product_ratings")}
+RATERS_OF = {t: f"{t}_raters" for t in STATE_OF}
+
+
+def write_partitioned(df: DataFrame, path: str, mode: str, rebalance: bool = True) -> None:
     """Partitioned Parquet write (S3 append / S4 overwrite, S5 file count).
 
-    With ``files_per_category`` > 0 rows are first hash-spread over that many writers per
-    category, so a hot category is written by several tasks, not one. Overwrite is
-    dynamic: only categories present in ``df`` are replaced.
+    Rows are rebalanced on the partition column: adaptive execution gives a category as many writers as its
+    bytes need (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each) and a small one a single file.
+    Overwrite is dynamic: only categories present in ``df`` are replaced.
     """
-    if files_per_category > 0:
-        # an explicit partition count: adaptive execution must not merge the writers back
-        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_category)
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_category))
-        df = df.repartition(n, F.col("category"), salt)
+    if rebalance:
+        df = df.hint("rebalance", F.col("category"))
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -82,14 +92,23 @@ def write_partitioned(df: DataFrame, path: str, mode: str, files_per_category: i
     )
 
 
+def merged_stats(ratings_state: DataFrame, new_ratings_state: DataFrame) -> DataFrame:
+    """The summary ``operators.ratings.product_stats`` from the states of any number of segments."""
+    both = ratings_state.withColumn("_new", F.lit(False)).unionByName(new_ratings_state.withColumn("_new", F.lit(True)))
+    return both.groupBy("category", "product_id").agg(
+        F.sum("sum").alias("sum_all"), F.sum("n").alias("n_all"),
+        F.sum(F.when(F.col("_new"), F.col("sum"))).alias("sum_new"), F.coalesce(F.sum(F.when(F.col("_new"), F.col("n"))), F.lit(0)).alias("n_new"),
+    )
+
+
 _COMMITS = "seq long, commit_id string, table string, segment string, replaces boolean"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, files_per_category: int = 0):
+    def __init__(self, spark: SparkSession, root: str, rebalance: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.files_per_category = files_per_category
+        self.rebalance = rebalance
 
     # -- commits ------------------------------------------------------------------------
     def _commits(self) -> DataFrame:
@@ -121,12 +140,27 @@ class TableStore:
         if commit_id and self.committed(commit_id):
             return False
         seq = (self._commits().agg(F.max("seq")).first()[0] or 0) + 1
-        rows = []
-        for dfs, replacing in ((appends, False), (replaces or {}, True)):
-            for t, df in dfs.items():
-                segment = f"{seq:08d}-{uuid.uuid4().hex}"
-                write_partitioned(df.select(*schemas.TABLES[t].fieldNames()), f"{self.root}/{t}/segment={segment}", "error", self.files_per_category)
-                rows.append((seq, commit_id or uuid.uuid4().hex, t, segment, replacing))
+        name = commit_id or uuid.uuid4().hex
+
+        def write(t, df, segment):
+            write_partitioned(df.select(*schemas.TABLES[t].fieldNames()), f"{self.root}/{t}/segment={segment}", "error", self.rebalance)
+
+        def add(task):
+            t, df, replacing = task
+            segment = f"{seq:08d}-{uuid.uuid4().hex}"
+            write(t, df, segment)
+            written = [t]
+            if t in STATE_OF:
+                held = self.read(t, {t: [segment]})
+                write(STATE_OF[t], held.groupBy("category", "product_id").agg(F.sum("rating").alias("sum"), F.count(F.lit(1)).alias("n")), segment)
+                write(RATERS_OF[t], held.select("category", "user_id").distinct(), segment)
+                written += [STATE_OF[t], RATERS_OF[t]]
+            return [(seq, name, x, segment, replacing) for x in written]
+
+        # the tables' writes do not depend on each other: they share the cluster
+        tasks = [(t, df, replacing) for dfs, replacing in ((appends, False), (replaces or {}, True)) for t, df in dfs.items()]
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            rows = [r for part in pool.map(add, tasks) for r in part]
         self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
         return True
 
@@ -144,9 +178,15 @@ class TableStore:
         return self.read(table).where(F.col("category") == F.lit(category))
 
     def load(self) -> Tables:
-        """Every table, all as of the same commit."""
+        """Every table, all as of the same commit, with the rating summaries if every rating segment has its own
+        (segments written before they were kept have none)."""
         now = self.segments()
-        return Tables(**{attr: self.read(name, now) for attr, name in STORED.items()})
+        tables = Tables(**{attr: self.read(name, now) for attr, name in STORED.items()})
+        if any(now.get(t, []) != now.get(of[t], []) for of in (STATE_OF, RATERS_OF) for t in STATE_OF):
+            return tables
+        old, new = (self.read(STATE_OF[t], now) for t in STATE_OF)
+        raters = [self.read(RATERS_OF[t], now) for t in RATERS_OF]
+        return tables.with_(stats=merged_stats(old, new), raters=raters[0].unionByName(raters[1]).distinct())
 
     # -- write (S3, S4, S6) -------------------------------------------------------------
     def append(self, table: str, df: DataFrame) -> None:

@@ -3,9 +3,11 @@
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.operators.ratings import all_ratings, product_stats
 from pickwise.plans import jobs as J
 from pickwise.sources.tables import TableStore
 
@@ -90,6 +92,48 @@ def test_lists_come_from_the_snapshot_not_from_a_stored_list(spark, df):
     assert store.read("previous_user_recommendations").count() == 1
 
 
+def _stats(df_):
+    cols = ["category", "product_id", "sum_all", "n_all", "sum_new", "n_new"]
+    return sorted(tuple(r[c] for c in cols) for r in df_.collect())
+
+
+def _check_summaries(store):
+    t = store.load()
+    assert _stats(t.stats) == _stats(product_stats(t.ratings, t.new_product_ratings))
+    assert sorted(map(tuple, t.raters.collect())) == sorted(map(tuple, all_ratings(t.ratings, t.new_product_ratings).select("category", "user_id").distinct().collect()))
+
+
+def test_maintained_summaries_equal_recomputation(spark, df):
+    """After appends, batches, a batch that came twice, a promotion and a category overwrite."""
+    store = _seed(spark, df)
+    _check_summaries(store)
+    req = df([("A", "A1@x"), ("B", "newB@x")], "USER_REQUESTS")
+    fb = df([("A", 1, "A-p2", 5.0, 1), ("A", 2, "A-n18", 4.0, 1), ("B", 3, "B-p1", 2.0, 1), ("B", 3, "B-n17", 9.0, 1)], "FEEDBACK")
+    for batch in (1, 1, 2):
+        J.run_recommend(store, req, fb, CFG, batch)
+        _check_summaries(store)
+    J.run_promote(store, CFG)
+    _check_summaries(store)
+    store.overwrite_categories("ratings", df([("A", 1, 1, 3.0), ("A", 1, 1, 4.0)], "RATINGS"))
+    _check_summaries(store)
+    assert store.load().stats.where("category = 'A' and product_id = 1").first()["n_all"] == 2
+
+
+def test_a_batch_scans_no_ratings(spark, df):
+    """Stages, lists, pools and the rated-before test come from the summaries: rating rows that fail when read are not."""
+    store = _seed(spark, df)
+    fails = lambda d: d.where(F.raise_error(F.concat(F.lit("ratings were read "), F.col("category"))).isNull())
+    t = store.load()
+    req = df([("A", "A1@x"), ("A", "newA@x"), ("B", "newB@x")], "USER_REQUESTS")
+    fb = df([("A", 1, "A-p2", 5.0, 1), ("A", 2, "A-n18", 4.0, 1)], "FEEDBACK")
+    want = sorted(map(tuple, J.recommend_plan(req, fb, t.with_(stats=None, raters=None), CFG, 1).recs.collect()))
+    broken = t.with_(ratings=fails(t.ratings), new_product_ratings=fails(t.new_product_ratings))
+    got = J.recommend_plan(req, fb, broken, CFG, 1)
+    assert sorted(map(tuple, got.recs.collect())) == want and want
+    with pytest.raises(Exception, match="ratings were read"):
+        J.recommend_plan(req, fb, broken.with_(stats=None, raters=None), CFG, 1).recs.collect()
+
+
 def test_cli_runs_a_job(spark, df):
     import os
     import subprocess

@@ -43,17 +43,31 @@ def test_store_append_overwrite_publish_and_pruning(spark, df):
     assert rows(store.read("users"), "category") == [("C",)]
 
 
-def test_files_per_category_spreads_writers(spark, df):
+def test_writers_follow_the_bytes_of_a_category(spark):
+    """A category with most of the rows is written by as many tasks as its bytes need, a small one by one (unless its
+    hash puts it into the large one's range)."""
     import glob
 
-    root = tempfile.mkdtemp(prefix="pickwise-files-")
-    store = TableStore(spark, root, files_per_category=3)
-    store.append("users", df([("A", i, f"a{i}") for i in range(300)] + [("B", 1, "b")], "USERS"))
-    a_files = glob.glob(f"{root}/users/segment=*/category=A/*.parquet")
-    b_files = glob.glob(f"{root}/users/segment=*/category=B/*.parquet")
-    assert 2 <= len(a_files) <= 3 and len(b_files) == 1
-    assert store.read("users").count() == 301
-
+    from pyspark.sql import functions as F
+
+    n, advisory = 400_000, "200k"
+    users = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 100 == 0, F.concat(F.lit("S"), (F.col("id") % 5000 / 100).cast("int"))).otherwise("H").alias("category"),
+        F.col("id").alias("user_id"), F.sha2(F.col("id").cast("string"), 256).alias("mail_id"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+    try:
+        root = tempfile.mkdtemp(prefix="pickwise-files-")
+        store = TableStore(spark, root)
+        store.append("users", users)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {c: len(glob.glob(f"{root}/users/segment=*/category={c}/*.parquet")) for c in ("H", *(f"S{k}" for k in range(50)))}
+    assert files["H"] >= 6 and sum(files[f"S{k}"] == 1 for k in range(50)) >= 40
+    assert store.read("users").count() == n
+    small = tempfile.mkdtemp(prefix="pickwise-files-")
+    TableStore(spark, small).append("users", users.where("user_id < 1000"))
+    assert all(len(glob.glob(f"{small}/users/segment=*/category={c}/*.parquet")) == 1 for c in ("H", "S0", "S1"))
 
 def test_scratch_lives_under_the_session_checkpoint_dir(spark):
     from pickwise.session import scratch_path, shared_dir
