@@ -20,6 +20,7 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 MAX_CELLS = 250_000        # counts in a task's hash before it is spilled
 SOURCE_BLOCK = 256         # sources in a block
-TASK_CELLS = 400_000       # counts of one task of the last step, about
+TASK_CELLS = 50_000        # counts of one task of the last step, about
 
 STRIPES = "lang string, term string, df long, sources array<string>, counts array<long>"
 _STRIPES = pa.schema([
@@ -58,25 +59,42 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 # --- fold ------------------------------------------------------------------------------------
+def _lists(lengths: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def _rows(lang: pa.Array, term: pa.Array, df, lengths: np.ndarray, codes, names: list[str], counts) -> pa.RecordBatch:
+    """Stripes from flat arrays: ``lengths`` sources of each, as numbers into ``names``, and their counts."""
+    sources = pa.DictionaryArray.from_arrays(pa.array(codes, pa.int32()), pa.array(names, pa.string())).dictionary_decode()
+    return batch(_STRIPES, lang, term, df, _lists(lengths, sources), _lists(lengths, pa.array(counts, pa.int64())))
+
+
 def _fold(max_cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stripes: dict[str, dict[bytes, dict]] = {}
+        number: dict[str, int] = {}  # sources of this spill
         cells = 0
 
         def spill():
+            names = list(number)
             for lang, found in stripes.items():
                 terms = list(found)
                 for at in range(0, len(terms), 1 << 15):
                     part = terms[at:at + (1 << 15)]
                     rows = [found[t] for t in part]
                     df = [r.pop(_DF) for r in rows]
-                    yield batch(_STRIPES, [lang] * len(part), part, df, [list(r) for r in rows], [list(r.values()) for r in rows])
+                    yield _rows(
+                        pa.repeat(lang, len(part)), pa.array(part, pa.string()), df, np.fromiter(map(len, rows), np.int64, len(rows)),
+                        list(chain.from_iterable(rows)), names, list(chain.from_iterable(map(dict.values, rows))),
+                    )
             stripes.clear()
+            number.clear()
 
         for b in batches:
             langs, sources = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lang, source, text in zip(langs, sources, b.column(2)):
+            for lang, name, text in zip(langs, sources, b.column(2)):
                 found = stripes.setdefault(lang, {})
+                source = number.setdefault(name, len(number))
                 for term, n in Counter(terms_of(text.as_py())).items():
                     stripe = found.get(term)
                     if stripe is None:
@@ -104,15 +122,10 @@ def _merge(min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # [lang, term, df, {source: count}] of the last term read, which may go on
 
-        def add(stripe, b, lo, hi):
-            for sources, counts in zip(b.column(3).slice(lo, hi - lo).to_pylist(), b.column(4).slice(lo, hi - lo).to_pylist()):
-                for s, n in zip(sources, counts):
-                    stripe[3][s] = stripe[3].get(s, 0) + n
-
-        def rows(stripes):
-            return batch(
-                _STRIPES, [s[0] for s in stripes], [s[1] for s in stripes], [s[2] for s in stripes],
-                [list(s[3]) for s in stripes], [list(s[3].values()) for s in stripes],
+        def one(stripe):
+            return _rows(
+                pa.array([stripe[0]]), pa.array([stripe[1]]), [stripe[2]], np.array([len(stripe[3])]), range(len(stripe[3])), list(stripe[3]),
+                list(stripe[3].values()),
             )
 
         for b in batches:
@@ -125,30 +138,46 @@ def _merge(min_docs: int):
                 same = pc.and_(pc.equal(lang.slice(1), lang.slice(0, n - 1)), pc.equal(term.slice(1), term.slice(0, n - 1)))
                 new[1:] = ~same.to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(new)
-            stops = np.append(starts[1:], n)
             sums = np.add.reduceat(df, starts)
-            done = []
-            for k in np.flatnonzero((sums >= min_docs) | (starts == 0) | (stops == n)).tolist():
-                lo, hi = int(starts[k]), int(stops[k])
-                key = lang[lo].as_py(), term[lo].as_py()
-                if held is not None and (held[0], held[1]) == key:
-                    stripe, held = held, None
-                else:
-                    if held is not None:
-                        done.append(held)
-                        held = None
-                    stripe = [*key, 0, {}]
-                stripe[2] += int(sums[k])
-                add(stripe, b, lo, hi)
-                if hi == n:
-                    held = stripe
-                else:
-                    done.append(stripe)
-            done = [s for s in done if s[2] >= min_docs]
-            if done:
-                yield rows(done)
+            keep = sums >= min_docs
+            keep[[0, -1]] = True  # the first term may continue the one held, the last may go on
+            # counts per (kept term, source): cells of equal key are added up
+            run_of_row = np.cumsum(new) - 1
+            sizes = b.column(3).value_lengths().to_numpy()
+            cell_run = np.repeat(run_of_row, sizes)
+            wanted = keep[cell_run]
+            names = b.column(3).flatten().filter(pa.array(wanted)).dictionary_encode()
+            s = max(len(names.dictionary), 1)
+            key = cell_run[wanted] * s + names.indices.to_numpy()
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+            counts = np.add.reduceat(b.column(4).flatten().to_numpy()[wanted][order], first) if len(key) else np.empty(0, np.int64)
+            owner, code = key[first] // s, key[first] % s
+            words = names.dictionary.to_pylist()
+
+            def stripe_of(k):
+                i, j = np.searchsorted(owner, [k, k + 1])
+                return [lang[int(starts[k])].as_py(), term[int(starts[k])].as_py(), int(sums[k]), {words[c]: x for c, x in zip(code[i:j].tolist(), counts[i:j].tolist())}]
+
+            ends = [stripe_of(0)] + ([stripe_of(len(starts) - 1)] if len(starts) > 1 else [])
+            if held is not None:
+                if held[:2] == ends[0][:2]:
+                    for name, x in held[3].items():
+                        ends[0][3][name] = ends[0][3].get(name, 0) + x
+                    ends[0][2] += held[2]
+                elif held[2] >= min_docs:
+                    yield one(held)
+            held = ends[-1]
+            if len(ends) > 1 and ends[0][2] >= min_docs:
+                yield one(ends[0])
+            keep[[0, -1]] = False
+            if keep.any():
+                at, cells = pa.array(starts[keep]), keep[owner]
+                lengths = np.bincount(owner[cells], minlength=len(starts))[keep]
+                yield _rows(lang.take(at), term.take(at), sums[keep], lengths, code[cells], words, counts[cells])
         if held is not None and held[2] >= min_docs:
-            yield rows([held])
+            yield one(held)
 
     return run
 
