@@ -66,3 +66,27 @@ def shingle_set(text: bytes, n: int) -> np.ndarray:
     for i in range(1, n):
         h = h * np.uint64(0x9E3779B97F4A7C15) + w[i:m + i]
     return np.unique(mix64(h))
+
+
+class TwoGenerations(dict):
+    """A cache of ``make``'s results that takes at most about ``limit`` bytes: when the young generation
+    holds half of them it becomes the old one, and what is still used comes back from there, so nothing
+    is lost at once. Keys of more than ``longest`` characters are not kept."""
+
+    ENTRY = 100  # bytes of a slot in a dictionary that may be part empty
+
+    def __init__(self, make, limit: int, longest: int):
+        self.make, self.limit, self.longest = make, limit // 2, longest
+        self.used, self.old = 0, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= self.longest:
+            if self.used >= self.limit:
+                self.old, self.used = dict(self), 0
+                self.clear()
+            self.used += self.ENTRY + sys.getsizeof(key) + sys.getsizeof(got)
+            self[key] = got
+        return got

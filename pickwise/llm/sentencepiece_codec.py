@@ -9,13 +9,14 @@ Instead of running the merge queue, a piece sequence is searched from left to ri
 3. a position from which no piece fits is recorded in a bitfield of failed positions, the
    last piece is taken back, and no later attempt ends at that position again.
 
-A text is cut where no piece can span: before a word mark that follows another character,
-and at characters that occur in no piece. Chunk results are cached per worker (bounded).
+A text is cut where no piece can span: before a word mark that follows another character, at
+characters that occur in no piece, and between punctuation and other characters as far as no
+piece joins them. Results of chunks are cached per worker, as are transitions of the automaton and
+compatible pairs: ``CACHE_BYTES``, ``MAX_JUMPS`` and ``MAX_PAIRS`` bound them to about 180 MB together. Chunks carry blanks for marks, so that most take a byte a character.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 import struct
@@ -28,11 +29,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import batch, text_bytes
+from pickwise.llm.common import TwoGenerations, batch, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MARK = "▁"
+CACHE_BYTES = 128 << 20
+MAX_JUMPS = 250_000    # about 100 bytes each
+MAX_PAIRS = 150_000    # about 160 bytes each
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # fixed values of the public model file format: piece types
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -90,7 +95,7 @@ def parse_model(raw: bytes) -> dict:
 class Codec:
     """Encoder and decoder of one parsed model."""
 
-    def __init__(self, model: dict, cache_limit: int = 500_000, cache_chars: int = 48):
+    def __init__(self, model: dict, cache_bytes: int = CACHE_BYTES, cache_chars: int = 48):
         self.pieces = [p[0] for p in model["pieces"]]
         self.number = [str(i) for i in range(len(self.pieces))]
         self.kinds = [p[2] for p in model["pieces"]]
@@ -100,8 +105,7 @@ class Codec:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(model["pieces"]) if t == BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.dummy_prefix, self.fallback = model["dummy_prefix"], model["byte_fallback"]
-        self.compatible_pairs: dict[tuple[str, str], bool] = {}  # bounded by cache_limit
-        self.cache_limit, self.cache_chars = cache_limit, cache_chars
+        self.compatible_pairs: dict[tuple[str, str], bool] = {}  # at most MAX_PAIRS
         # the piece must come out of its own merge, or it can never be produced
         self.usable = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}
         self.shorter = {p: self._shorter(p) for p in self.usable if len(p) > 1}
@@ -113,8 +117,18 @@ class Codec:
         # characters that stand apart: white space other than the mark, if in no piece
         apart = "".join(re.escape(c) for c in "\n\t\r" if c not in alphabet)
         cut = f"[{apart}]|" if apart else ""
-        self.chunk = re.compile(rf"{cut}.+", re.S) if inner_mark else re.compile(rf"{cut}{MARK}*[^{MARK}{apart}]+|{MARK}+")
-        self.cache = _ChunkCache(self)
+        word = rf" *[^ {apart}]+"
+        letters, signs = self._apart_from_signs(alphabet)
+        if letters and signs:
+            word = rf" *[{letters}]+(?=[{signs} {apart}]|\Z)|[{signs}]+(?=[{letters} {apart}]|\Z)|{word}"
+        self.chunk = re.compile(rf"{cut}.+", re.S) if inner_mark else re.compile(rf"{cut}{word}| +")
+        self.cache = TwoGenerations(self._chunk_result, cache_bytes, cache_chars)
+
+    def _apart_from_signs(self, alphabet: set[str]) -> tuple[str, str]:
+        """Latin letters of the model, and the punctuation that no piece joins with any of them."""
+        letters = {c for c in alphabet if c.isalpha() and c < "\u0250"}
+        joined = {b if a in letters else a for a, b in self.bigrams if a in letters or b in letters}
+        return "".join(sorted(letters)), "".join(re.escape(c) for c in PUNCTUATION if c not in joined)
 
     # --- merging --------------------------------------------------------------------
     def merge(self, text: str) -> list[str]:
@@ -135,9 +149,9 @@ class Codec:
         key = (left, right)
         ok = self.compatible_pairs.get(key)
         if ok is None:
-            if len(self.compatible_pairs) >= self.cache_limit:
-                self.compatible_pairs.clear()
-            ok = self.compatible_pairs[key] = self.merge(left + right) == [left, right]
+            ok = self.merge(left + right) == [left, right]
+            if len(self.compatible_pairs) < MAX_PAIRS:
+                self.compatible_pairs[key] = ok
         return ok
 
     # --- longest matches ------------------------------------------------------------
@@ -174,7 +188,7 @@ class Codec:
                 fail[nxt] = step[f].get(c, 0)
                 todo.append(nxt)
         self.step, self.fail, self.longest = step, fail, longest
-        self.jump, self.jumps, self.jump_limit = [dict(d) for d in step], 0, 4_000_000
+        self.jump, self.jumps = [dict(d) for d in step], 0
 
     def longest_at(self, s: str) -> list[int]:
         """Length of the longest piece starting at each position (1 if only the character).
@@ -195,7 +209,7 @@ class Codec:
         while at and c not in step[at]:
             at = self.fail[at]
         at = step[at].get(c, 0)
-        if self.jumps < self.jump_limit:
+        if self.jumps < MAX_JUMPS:
             self.jump[node][c] = at
             self.jumps += 1
         return at
@@ -247,13 +261,14 @@ class Codec:
         return [self.unknown]
 
     def chunks(self, text: str) -> list[str]:
+        """Chunks of a text, with blanks for marks."""
         if not text:
             return []
-        s = text.replace(" ", MARK)
-        return self.chunk.findall(MARK + s if self.dummy_prefix else s)
+        s = text.replace(MARK, " ")
+        return self.chunk.findall(" " + s if self.dummy_prefix else s)
 
     def encode(self, text: str) -> list[int]:
-        return [i for c in self.chunks(text) for x in self.spans(c) for p in self.split(x) for i in self.piece_ids(p)]
+        return [i for c in self.chunks(text) for x in self.spans(c.replace(" ", MARK)) for p in self.split(x) for i in self.piece_ids(p)]
 
     # --- decoding -------------------------------------------------------------------
     def decode_raw(self, ids: list[int]) -> str:
@@ -283,17 +298,32 @@ class Codec:
             return s[1:]
         return s
 
+    def _chunk_result(self, chunk: str) -> str | tuple[str, str]:
+        """The chunk's ids joined by commas, and what they decode to unless that is the chunk."""
+        spans = self.spans(chunk.replace(" ", MARK))
+        if len(spans) > 1 and len(chunk) <= 4 * self.cache.longest:
+            found = [self.cache[x.replace(MARK, " ")] for x in spans]
+            if all(isinstance(x, str) for x in found):
+                return ",".join(found)
+        ids = [i for x in spans for p in self.split(x) for i in self.piece_ids(p)]
+        joined, text = ",".join([self.number[i] for i in ids]), self.decode_raw(ids)
+        return joined if text == chunk else (joined, text)
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids joined by commas, decoded text) through the chunk cache."""
         chunks = self.chunks(text)
         if not chunks:
             return 0, "", ""
-        n, ids, parts = zip(*map(self.cache.__getitem__, chunks))
-        s = "".join(parts)
-        lead = int(ids[0].partition(",")[0])
+        found = list(map(self.cache.__getitem__, chunks))
+        try:
+            ids, s = ",".join(found), "".join(chunks)
+        except TypeError:  # some chunk decodes to something else
+            pairs = [(x, c) if isinstance(x, str) else x for x, c in zip(found, chunks)]
+            ids, s = ",".join([x for x, _ in pairs]), "".join([t for _, t in pairs])
+        lead = int(ids[:8].partition(",")[0])
         if self.dummy_prefix and self.kinds[lead] == NORMAL and s.startswith(" "):
             s = s[1:]
-        return sum(n), ",".join(ids), s
+        return ids.count(",") + 1, ids, s
 
 
 def _utf8(b: bytes) -> str:
@@ -316,31 +346,6 @@ def _utf8(b: bytes) -> str:
         return "".join(out)
 
 
-class _ChunkCache(dict):
-    def __init__(self, codec: Codec):
-        self.codec = codec
-
-    def __missing__(self, chunk: str) -> tuple[int, str, str]:
-        c = self.codec
-        spans = c.spans(chunk)
-        if len(spans) > 1:
-            n, ids, parts = zip(*map(self.__getitem__, spans))
-            got = (sum(n), ",".join(ids), "".join(parts))
-        else:
-            ids = [c.ids.get(p, -1) for p in c.split(chunk)]
-            if -1 in ids:
-                ids = [i for p in c.split(chunk) for i in c.piece_ids(p)]
-                text = c.decode_raw(ids)
-            else:
-                text = "".join([c.pieces[i] for i in ids]).replace(MARK, " ")
-            got = (len(ids), ",".join([c.number[i] for i in ids]), text)
-        if len(chunk) <= c.cache_chars:
-            if len(self) >= c.cache_limit:
-                self.clear()
-            self[chunk] = got
-        return got
-
-
 _codecs: dict[str, Codec] = {}
 
 
@@ -383,16 +388,11 @@ def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", tex
 
     def run(batches):
         codec = codec_of(raw.value)
-        gc.disable()  # the caches hold millions of plain objects and no cycles: scanning them is a fifth of the time
-        try:
-            for b in batches:
-                rows = [codec.digest(t.decode(errors="replace")) for t in b.column(1).to_pylist()]
-                yield batch(
-                    DIGESTS, b.column(0), [r[0] for r in rows],
-                    [hashlib.sha256(r[1].encode()).hexdigest() for r in rows],
-                    [hashlib.sha256(r[2].encode()).hexdigest() for r in rows],
-                )
-        finally:
-            gc.enable()
+        for b in batches:
+            rows = []
+            for t in b.column(1):
+                n, ids, text = codec.digest(t.as_py().decode(errors="replace"))
+                rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+            yield batch(DIGESTS, b.column(0), *(map(list, zip(*rows)) if rows else ([], [], [])))
 
     return src.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
