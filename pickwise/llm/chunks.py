@@ -18,6 +18,8 @@ from array import array
 import numpy as np
 from pyspark import cloudpickle
 
+from pickwise.llm.common import TwoGenerations
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # a cut is certain only between characters that no reading of \s counts as white space
@@ -25,25 +27,6 @@ _SPACE = re.compile(r"(?<=\S) (?=\S)")
 _BREAK = re.compile(r"(?<=\S)(\n)(?=\S)")
 
 
-class TwoGenerations(dict):
-    """A cache of at most two times ``limit`` entries: when the young one is full it becomes the old
-    one, and what is still used comes back from there. Nothing is lost at once."""
-
-    def __init__(self, make, limit: int, longest: int):
-        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
-
-    def __missing__(self, key):
-        got = self.old.get(key)
-        if got is None:
-            got = self.make(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.limit:
-                self.old = dict(self)
-                self.clear()
-            self[key] = got
-        return got
-
-
 class _Unsafe(Exception):
     pass
 
@@ -53,7 +36,7 @@ class _Unsafe(Exception):
 # characters are ASCII or common punctuation.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 _WORDS = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \t-\r0-9{_LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+    rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[^ \t-\r0-9{_LETTERS}]+| ?[0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 _OTHER = re.compile(rf"[^\x00-\x7f{_LETTERS}¡¿«»–—‘’“”…]")
 # byte-level BPE's printable stand-ins for bytes: printable Latin-1 stands for itself, the rest follows from 256 on
 _SELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -62,11 +45,11 @@ _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SE
 
 class ChunkEncoder:
     """Ids of whole texts by the tokenizers library (no special tokens are added, and their strings in
-    a text are ordinary text). The caches take at most about 100 MB."""
+    a text are ordinary text). The caches take at most ``cache_bytes``, estimated."""
 
     _made: dict[int, "ChunkEncoder"] = {}
 
-    def __init__(self, tokenizer_json: str, limit: int = 200_000, longest: int = 40):
+    def __init__(self, tokenizer_json: str, cache_bytes: int = 160 << 20, longest: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -74,9 +57,9 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.dtype is np.uint16 else "I"
-        self.words = TwoGenerations(self._word, limit, longest)
-        self.spaced = TwoGenerations(self._spaced, limit // 8, longest)
-        self.bare = TwoGenerations(self._bare, limit // 8, longest)
+        self.words = TwoGenerations(self._word, cache_bytes * 8 // 10, longest)
+        self.spaced = TwoGenerations(self._spaced, cache_bytes // 10, longest)
+        self.bare = TwoGenerations(self._bare, cache_bytes // 10, longest)
         self.newline = self.library("\n")
 
     @classmethod
