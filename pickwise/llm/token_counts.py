@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import batch, text_bytes
+from pickwise.llm.common import TwoGenerations, batch, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -73,7 +73,7 @@ class PieceCounter:
         """Pieces of one word; 1 (the unknown piece) if it can't be cut whole or is too long."""
         if not word:
             return 0
-        if len(word) > self.max_chars:
+        if self.max_chars is not None and len(word) > self.max_chars:
             return 1
         step, fail, pops = self.step, self.fail, self.pops
         at, total = 0, 0
@@ -94,19 +94,6 @@ class PieceCounter:
         return total
 
 
-class _Counts(dict):
-    def __init__(self, counter: PieceCounter, limit: int = 500_000):
-        self.counter, self.limit = counter, limit
-
-    def __missing__(self, word: bytes) -> int:
-        n = self.counter.count(word.decode(errors="replace"))
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = n
-        return n
-
-
 def split_vocabulary(pieces: Iterable[str], mark: str = "▁") -> tuple[list[str], list[str]]:
     """(initial, continuation) pieces of a vocabulary that marks word starts with ``mark``."""
     first, rest = [], []
@@ -115,23 +102,25 @@ def split_vocabulary(pieces: Iterable[str], mark: str = "▁") -> tuple[list[str
     return [p for p in first if p], [p for p in rest if p]
 
 
+CACHE_BYTES = 64 << 20
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def count_tokens(
-    docs: DataFrame, initial: list[str], continuation: list[str], max_chars: int = 200,
+    docs: DataFrame, initial: list[str], continuation: list[str], max_chars: int | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, n_words, n_tokens)`` for every row. Words are runs without ``[\\x20\\x09-\\x0D]``.
 
     Null and empty texts have no words. A word that the vocabulary can't cut whole, or of over
-    ``max_chars`` characters, is one unknown token. Repeated rows are counted each; other columns
+    ``max_chars`` characters if that is set, is one unknown token. Repeated rows are counted each; other columns
     are ignored. The vocabulary is broadcast; its size does not depend on the data."""
     pieces = docs.sparkSession.sparkContext.broadcast((tuple(initial), tuple(continuation), max_chars))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("t"))
 
     def run(batches):
-        counts = _Counts(PieceCounter(*pieces.value))
+        counter = PieceCounter(*pieces.value)
+        counts = TwoGenerations(lambda word: counter.count(word.decode(errors="replace")), CACHE_BYTES, 64)
         for b in batches:
             words = [t.split() for t in b.column(1).to_pylist()]
             yield batch(OUT, b.column(0), [len(w) for w in words], [sum(map(counts.__getitem__, w)) for w in words])
