@@ -63,7 +63,7 @@ def test_elias_fano_values_and_select():
 
 
 def test_chunked_encoding_equals_the_library():
-    t, e = library(), chunks.ChunkEncoder(open(tokenizer_file("byte_bpe_50k.json")).read(), limit=50)
+    t, e = library(), chunks.ChunkEncoder(open(tokenizer_file("byte_bpe_50k.json")).read(), cache_bytes=20_000)
     alphabet = [
         "a", "b", "Z", " ", "  ", "\n", "\n\n", "\t", "é", "世", "'", "s", "'t", "1", "²", "一", "\x1c", "\x85", "\xa0", " ", ".", "-", "́",
         "<|endoftext|>", "\r\n", "​", "'ll ", "🎉", "ß", "ſ", "«", "’", "×", "ª", "½", "—", "\x00",
