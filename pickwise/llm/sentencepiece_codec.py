@@ -21,7 +21,7 @@ import hashlib
 import re
 import struct
 import sys
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +37,9 @@ MARK = "▁"
 CACHE_BYTES = 128 << 20
 MAX_JUMPS = 250_000    # about 100 bytes each
 MAX_PAIRS = 150_000    # about 160 bytes each
+NEVER = float("-inf")   # the score of no merge
+REACH, FAIL = "", "fail"
+NONE: dict = {}
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # fixed values of the public model file format: piece types
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -105,7 +108,10 @@ class Codec:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(model["pieces"]) if t == BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.dummy_prefix, self.fallback = model["dummy_prefix"], model["byte_fallback"]
-        self.compatible_pairs: dict[tuple[str, str], bool] = {}  # at most MAX_PAIRS
+        # per left piece its verdicts by right piece, at most MAX_PAIRS of them; the pieces' own merges
+        self.verdicts: defaultdict[str, dict[str, bool]] = defaultdict(dict)
+        self.n_verdicts, self.merges = 0, {}
+        self.number_of = {p: self.number[i] for p, i in self.ids.items()}
         # the piece must come out of its own merge, or it can never be produced
         self.usable = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}
         self.shorter = {p: self._shorter(p) for p in self.usable if len(p) > 1}
@@ -145,13 +151,56 @@ class Codec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _merges(self, piece: str) -> tuple[tuple, tuple, tuple]:
+        """The merges that make a usable piece: their scores in order, and before each of them (and after the
+        last) the piece's first and last part. Kept per piece of the vocabulary."""
+        known = self.merges.get(piece)
+        if known is not None:
+            return known
+        parts, score = list(piece), self.score
+        scores, heads, tails = [], [parts[0]], [parts[-1]]
+        while len(parts) > 1:
+            found = [score.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            best = max(found)
+            at = found.index(best)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            scores.append(best)
+            heads.append(sys.intern(parts[0]))
+            tails.append(sys.intern(parts[-1]))
+        known = (*scores, NEVER), tuple(heads), tuple(tails)
+        if len(piece) > 1:
+            self.merges[piece] = known
+        return known
+
     def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        ok = self.compatible_pairs.get(key)
-        if ok is None:
-            ok = self.merge(left + right) == [left, right]
-            if len(self.compatible_pairs) < MAX_PAIRS:
-                self.compatible_pairs[key] = ok
+        """Whether merging the two pieces' characters together gives these two pieces.
+
+        Until a merge crosses their border, the two merge as they do alone, in turns by score (then leftmost),
+        so only the parts at the border are looked at."""
+        (mine, _, tails), (other, heads, _) = self._merges(left), self._merges(right)
+        score, i, j = self.score, 0, 0
+        cross = score.get(tails[0] + heads[0], NEVER)
+        while True:
+            a, b = mine[i], other[j]
+            if cross > a and cross >= b:
+                return False
+            if a >= b:
+                if a == NEVER:
+                    return True
+                i += 1
+                moved = tails[i] is not tails[i - 1]
+            else:
+                j += 1
+                moved = heads[j] is not heads[j - 1]
+            if moved:
+                cross = score.get(tails[i] + heads[j], NEVER)
+
+    def verdict(self, left: str, right: str) -> bool:
+        """``compatible``, kept for the first ``MAX_PAIRS`` pairs."""
+        ok = self.compatible(left, right)
+        if self.n_verdicts < MAX_PAIRS:
+            self.verdicts[left][right] = ok
+            self.n_verdicts += 1
         return ok
 
     # --- longest matches ------------------------------------------------------------
@@ -162,57 +211,52 @@ class Codec:
         return piece[0]
 
     def _automaton(self) -> None:
-        step: list[dict[str, int]] = [{}]
-        longest = [0]
+        """States are dictionaries from a character to the next state; under ``REACH`` and ``FAIL`` (never
+        a character) they hold the length of their longest piece and the state of the next shorter match."""
+        self.root = root = {REACH: 1}
         for p in self.usable:
             if len(p) == 1:
                 continue
-            at = 0
+            at = root
             for c in reversed(p):
-                nxt = step[at].get(c)
-                if nxt is None:
-                    nxt = step[at][c] = len(step)
-                    step.append({})
-                    longest.append(0)
-                at = nxt
-            longest[at] = len(p)
-        fail = [0] * len(step)
-        todo = deque(step[0].values())
+                at = at.setdefault(c, {REACH: 1})
+            at[REACH] = len(p)
+        root[FAIL] = root
+        todo = deque((root, c, s) for c, s in root.items() if len(c) == 1)
         while todo:
-            at = todo.popleft()
-            longest[at] = max(longest[at], longest[fail[at]])
-            for c, nxt in step[at].items():
-                f = fail[at]
-                while f and c not in step[f]:
-                    f = fail[f]
-                fail[nxt] = step[f].get(c, 0)
-                todo.append(nxt)
-        self.step, self.fail, self.longest = step, fail, longest
-        self.jump, self.jumps = [dict(d) for d in step], 0
+            parent, c, state = todo.popleft()
+            todo.extend((state, d, s) for d, s in state.items() if len(d) == 1)
+            f = parent[FAIL]
+            while f is not root and c not in f:
+                f = f[FAIL]
+            state[FAIL] = root if parent is root else f.get(c, root)
+            state[REACH] = max(state[REACH], state[FAIL][REACH])
+        self.jumps = 0
 
     def longest_at(self, s: str) -> list[int]:
         """Length of the longest piece starting at each position (1 if only the character).
 
-        A transition found by following failure links is kept in ``jump``, so that a character
-        usually costs one look-up; the table is bounded."""
-        jump, longest = self.jump, self.longest
-        out, at = [], 0
+        A transition found by following failure links is added to its state, so that a character
+        usually costs one look-up; the number of those added is bounded."""
+        out, at = [], self.root
         for c in reversed(s):
-            nxt = jump[at].get(c)
-            at = self._follow(at, c) if nxt is None else nxt
-            out.append(longest[at] or 1)
+            try:
+                at = at[c]
+            except KeyError:
+                at = self._follow(at, c)
+            out.append(at[REACH])
         out.reverse()
         return out
 
-    def _follow(self, node: int, c: str) -> int:
-        step, at = self.step, node
-        while at and c not in step[at]:
-            at = self.fail[at]
-        at = step[at].get(c, 0)
+    def _follow(self, state: dict, c: str) -> dict:
+        root, f = self.root, state[FAIL]
+        while f is not root and c not in f:
+            f = f[FAIL]
+        to = f.get(c, root)
         if self.jumps < MAX_JUMPS:
-            self.jump[node][c] = at
+            state[c] = to
             self.jumps += 1
-        return at
+        return to
 
     # --- encoding -------------------------------------------------------------------
     def spans(self, s: str) -> list[str]:
@@ -228,18 +272,20 @@ class Codec:
         n = len(s)
         if n < 2 or s in self.usable:
             return [s] if s else []
-        reach, shorter, known = self.longest_at(s), self.shorter, self.compatible_pairs
-        failed, out, pos, last = 0, [], 0, None
+        reach, shorter, verdicts, verdict = self.longest_at(s), self.shorter, self.verdicts, self.verdict
+        failed, out, pos, last, after = 0, [], 0, None, NONE
         piece = s[:reach[0]]
-        while pos < n:
+        while True:
             end = pos + len(piece)
             if not (failed and (failed >> end) & 1):
-                ok = last is None or known.get((last, piece))
-                if ok or ok is None and self.compatible(last, piece):
+                ok = last is None or after.get(piece)
+                if ok or ok is None and verdict(last, piece):
                     out.append(piece)
+                    if end == n:
+                        return out
                     pos, last = end, piece
-                    if pos < n:
-                        piece = s[pos:pos + reach[pos]]
+                    after = verdicts.get(piece, NONE)
+                    piece = s[pos:pos + reach[pos]]
                     continue
             if end - pos > 1:
                 piece = shorter[piece]
@@ -250,7 +296,7 @@ class Codec:
             piece = out.pop()
             pos -= len(piece)
             last = out[-1] if out else None
-        return out
+            after = verdicts.get(last, NONE)
 
     def piece_ids(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
@@ -300,7 +346,17 @@ class Codec:
 
     def _chunk_result(self, chunk: str) -> str | tuple[str, str]:
         """The chunk's ids joined by commas, and what they decode to unless that is the chunk."""
-        spans = self.spans(chunk.replace(" ", MARK))
+        marked = chunk.replace(" ", MARK)
+        if len(chunk) <= self.cache.longest:
+            pieces = self.split(marked)
+            try:
+                joined = ",".join([self.number_of[p] for p in pieces])
+            except KeyError:  # some character is in no piece
+                pass
+            else:  # normal pieces decode to their own text
+                text = "".join(pieces).replace(MARK, " ")
+                return joined if text == chunk else (joined, text)
+        spans = self.spans(marked)
         if len(spans) > 1 and len(chunk) <= 4 * self.cache.longest:
             found = [self.cache[x.replace(MARK, " ")] for x in spans]
             if all(isinstance(x, str) for x in found):
