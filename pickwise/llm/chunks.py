@@ -49,7 +49,7 @@ class ChunkEncoder:
 
     _made: dict[int, "ChunkEncoder"] = {}
 
-    def __init__(self, tokenizer_json: str, cache_bytes: int = 160 << 20, longest: int = 40):
+    def __init__(self, tokenizer_json: str, cache_bytes: int = 256 << 20, longest: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
