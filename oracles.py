@@ -437,6 +437,7 @@ ORACLES: dict[str, str] = {
     "top_rated_new": compose("select * from top_rated_new", "top_rated_new"),
     "least_shown_unrated": compose("select * from least_shown_unrated", "least_shown_unrated"),
     "sample_new": compose("select * from initial", "initial"),
+    "sample_new_stored": compose("select * from initial", "initial"),
     "new_product_recs": compose("select * from new_recs", "new_recs"),
     "initial_recs": compose("select * from initial", "initial"),
     "mid_recs": compose("select * from mid", "mid"),

@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickwise.config import Config
+from pickwise.config import DEFAULT, Config
 from pickwise.functions.broadcast import Broadcaster, checked
 from pickwise.functions.hashing import seeded
-from pickwise.functions.sequence import dense_positions, group_sizes
+from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
 from pickwise.operators.ratings import (
     PRODUCT_KEY, mean_ratings, new_means_from_stats, with_names,
@@ -141,28 +141,33 @@ def exposures(recs: DataFrame) -> DataFrame:
 
 
 # --- sampling -------------------------------------------------------------------------
+def hash_order(new_products: DataFrame, seed: int) -> DataFrame:
+    """New products with their ``position`` 0..n-1 in the hash order of their category (distributed numbering)."""
+    keyed = new_products.select(*PRODUCT_KEY, "product_name").withColumn(
+        "_h", seeded(seed, F.col("category"), F.col("product_id"))
+    )
+    return dense_positions(keyed, ["category"], ["_h", "product_id"], "position").drop("_h")
+
+
 def sample_new(users: DataFrame, new_products: DataFrame, cfg: Config,
-               bc: Broadcaster = checked) -> DataFrame:
+               bc: Broadcaster = checked, order: DataFrame | None = None) -> DataFrame:
     """T5: ``n_recs`` distinct new products per user, without replacement.
 
-    New products are placed in hash order per category (position 0..n-1, distributed
-    numbering); a user takes n_recs consecutive positions from a hash-chosen start,
-    wrapping around. Cost is users x n_recs rows, not users x products.
+    New products are placed in hash order per category; a user takes n_recs consecutive
+    positions from a hash-chosen start, wrapping around. Cost is users x n_recs rows, not
+    users x products. ``order`` is the stored ``hash_order`` under the default seed; without
+    it, or under another seed, the order is made from ``new_products``.
     """
     k = cfg.n_recs
-    placed = dense_positions(
-        new_products.select(*PRODUCT_KEY, "product_name").withColumn(
-            "_h", seeded(cfg.sample_seed, F.col("category"), F.col("product_id"))
-        ),
-        ["category"], ["_h", "product_id"], "_pos",
-    )
-    sizes = group_sizes(new_products, ["category"], "_size")
+    if order is None or cfg.sample_seed != DEFAULT.sample_seed:
+        order = hash_order(new_products, cfg.sample_seed)
+    sizes = order.groupBy("category").agg((F.max("position") + 1).alias("_size"))
     start = F.pmod(seeded(cfg.sample_seed, F.col("category"), F.col("user_id")), F.col("_size"))
     walk = users.select(*USER).join(bc(sizes), on="category", how="inner").select(
         *USER, "_size", start.alias("_start"),
         F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("_size")) - 1)).alias("slot"),
-    ).withColumn("_pos", F.pmod(F.col("_start") + F.col("slot"), F.col("_size")))
-    return walk.join(placed.drop("_h"), on=["category", "_pos"], how="inner").select(
+    ).withColumn("position", F.pmod(F.col("_start") + F.col("slot"), F.col("_size")))
+    return walk.join(order, on=["category", "position"], how="inner").select(
         *USER, F.col("slot").cast("long").alias("slot"), "product_id", "product_name",
         F.lit("sample").alias("source"),
     )

@@ -37,7 +37,7 @@ def _list_for_users(users: DataFrame, lst: DataFrame, source: str,
 
 def initial_recs(users: DataFrame, tables, cfg: Config, bc: Broadcaster = checked) -> DataFrame:
     """C4 (stage 1): a hash-order sample of new products."""
-    return NP.sample_new(users, tables.new_products, cfg, bc)
+    return NP.sample_new(users, tables.new_products, cfg, bc, tables.new_order)
 
 
 def mid_recs(users: DataFrame, tables, category_recs: DataFrame, cfg: Config,

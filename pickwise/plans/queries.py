@@ -246,6 +246,18 @@ def q_sample_new(spark, sf_dir):
     return NP.sample_new(fx.users, fx.new_products, CFG)
 
 
+@query("sample_new_stored")
+def q_sample_new_stored(spark, sf_dir):
+    """T5 from the order that the store keeps: half of the new products committed, the others onboarded after them."""
+    fx = _fx(spark, sf_dir)
+    store = _store(spark, "sample_new_stored")
+    late = F.pmod(F.col("product_id"), F.lit(2)) == 1
+    store.append("new_products", fx.new_products.where(~late))
+    store.append("new_products", fx.new_products.where(late))
+    t = store.load()
+    return NP.sample_new(fx.users, t.new_products, CFG, order=t.new_order)
+
+
 @query("new_product_recs")
 def q_new_product_recs(spark, sf_dir):
     fx = _fx(spark, sf_dir)

@@ -21,6 +21,8 @@ SHOWN = _schema(("category", S), ("product_name", S))
 # the segment's raters
 RATING_STATE = _schema(("category", S), ("product_id", L), ("sum", D), ("n", L))
 RATERS = _schema(("category", S), ("user_id", L))
+# the hash order of new products, replaced with every commit that touches them
+NEW_PRODUCT_ORDER = _schema(("category", S), ("position", L), ("product_id", L), ("product_name", S))
 CATEGORY_RECS = _schema(
     ("category", S), ("rank", L), ("product_id", L), ("product_name", S), ("mean_rating", D)
 )
@@ -55,6 +57,7 @@ TABLES = {
     "ratings_raters": RATERS,
     "new_product_ratings_state": RATING_STATE,
     "new_product_ratings_raters": RATERS,
+    "new_product_order": NEW_PRODUCT_ORDER,
     "new_product_shown_list": SHOWN,
     "category_recommendation_data": CATEGORY_RECS,
     "user_recommendation_data": USER_RECS,

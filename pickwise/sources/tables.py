@@ -15,6 +15,9 @@ reads. A commit id given by the caller (a batch) is accepted once. One writer at
 Every segment of a rating table comes with two derived segments of the same name, in the same commit:
 the sum and count of its ratings per product, and its raters. A snapshot reads its rating summary
 from them, so no reader of means, counts or raters scans the ratings themselves.
+
+A commit that touches the new products replaces their hash order (``operators.newproducts.hash_order``,
+under the default seed) too: onboarding and promotion sort them, a recommendation batch looks positions up.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from pickwise import schemas
+from pickwise.config import DEFAULT
+from pickwise.operators.newproducts import hash_order
 from pickwise.session import cut_lineage
 
 
@@ -47,6 +52,7 @@ class Tables:
     # maintained summaries of the two rating tables; None: derive them from the rows
     stats: DataFrame | None = None      # as ``operators.ratings.product_stats``
     raters: DataFrame | None = None     # category, user_id of everyone with a rating
+    new_order: DataFrame | None = None  # the stored hash order of new products; None: derive it
 
     def with_(self, **kw) -> "Tables":
         return replace(self, **kw)
@@ -73,6 +79,7 @@ def empty(spark: SparkSession, schema) -> DataFrame:
 # rating table -> its derived tables
 STATE_OF = {t: f"{t}_state" for t in ("ratings", "new_product_ratings")}
 RATERS_OF = {t: f"{t}_raters" for t in STATE_OF}
+ORDERED, ORDER = "new_products", "new_product_order"
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str, rebalance: bool = True) -> None:
@@ -141,6 +148,7 @@ class TableStore:
             return False
         seq = (self._commits().agg(F.max("seq")).first()[0] or 0) + 1
         name = commit_id or uuid.uuid4().hex
+        before = self.segments().get(ORDERED, []) if ORDERED in appends else []
 
         def write(t, df, segment):
             write_partitioned(df.select(*schemas.TABLES[t].fieldNames()), f"{self.root}/{t}/segment={segment}", "error", self.rebalance)
@@ -150,12 +158,16 @@ class TableStore:
             segment = f"{seq:08d}-{uuid.uuid4().hex}"
             write(t, df, segment)
             written = [t]
+            if t == ORDERED:
+                held = self.read(t, {t: [segment] if replacing else [*before, segment]})
+                write(ORDER, hash_order(held, DEFAULT.sample_seed), segment)
             if t in STATE_OF:
                 held = self.read(t, {t: [segment]})
                 write(STATE_OF[t], held.groupBy("category", "product_id").agg(F.sum("rating").alias("sum"), F.count(F.lit(1)).alias("n")), segment)
                 write(RATERS_OF[t], held.select("category", "user_id").distinct(), segment)
                 written += [STATE_OF[t], RATERS_OF[t]]
-            return [(seq, name, x, segment, replacing) for x in written]
+            rows = [(seq, name, x, segment, replacing) for x in written]
+            return rows + [(seq, name, ORDER, segment, True)] if t == ORDERED else rows
 
         # the tables' writes do not depend on each other: they share the cluster
         tasks = [(t, df, replacing) for dfs, replacing in ((appends, False), (replaces or {}, True)) for t, df in dfs.items()]
@@ -178,10 +190,12 @@ class TableStore:
         return self.read(table).where(F.col("category") == F.lit(category))
 
     def load(self) -> Tables:
-        """Every table, all as of the same commit, with the rating summaries if every rating segment has its own
-        (segments written before they were kept have none)."""
+        """Every table, all as of the same commit, with the rating summaries if every rating segment has its own and
+        the order of new products if it is of their last segment (segments written before these were kept have none)."""
         now = self.segments()
         tables = Tables(**{attr: self.read(name, now) for attr, name in STORED.items()})
+        if now.get(ORDERED) and now[ORDERED][-1:] == now.get(ORDER):
+            tables = tables.with_(new_order=self.read(ORDER, now))
         if any(now.get(t, []) != now.get(of[t], []) for of in (STATE_OF, RATERS_OF) for t in STATE_OF):
             return tables
         old, new = (self.read(STATE_OF[t], now) for t in STATE_OF)

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.operators.newproducts import hash_order
 from pickwise.operators.ratings import all_ratings, product_stats
+from pickwise.operators.recommend import initial_recs
 from pickwise.plans import jobs as J
 from pickwise.sources.tables import TableStore
 
@@ -134,6 +136,46 @@ def test_a_batch_scans_no_ratings(spark, df):
         J.recommend_plan(req, fb, broken.with_(stats=None, raters=None), CFG, 1).recs.collect()
 
 
+def _check_order(store):
+    t = store.load()
+    assert t.new_order is not None
+    order = lambda d: sorted((r["category"], r["position"], r["product_id"], r["product_name"]) for r in d.collect())
+    assert order(t.new_order) == order(hash_order(t.new_products, CFG.sample_seed))
+
+
+def test_stored_order_of_new_products(spark, df):
+    """After appends, onboarding and a promotion it is the order of what is there; a batch's sample looks it up and
+    reads no new product, and another seed makes its own order."""
+    store = _seed(spark, df)
+    _check_order(store)
+    J.run_onboard(store, df([("A", "A-fresh", "mk"), ("C", "C-first", "mk")], "PRODUCT_REQUESTS"))
+    _check_order(store)
+    J.run_promote(store, CFG)
+    _check_order(store)
+    t = store.load()
+    assert t.new_order.where("product_name = 'A-n16'").isEmpty()
+    users = df([(c, u) for c in "ABC" for u in range(1, 40)], "category string, user_id long")
+    sample = lambda tables, cfg: sorted(map(tuple, initial_recs(users, tables, cfg).collect()))
+    want = sample(t.with_(new_order=None), CFG)
+    broken = t.with_(new_products=t.new_products.where(F.raise_error(F.col("product_name")).isNull()))
+    assert sample(broken, CFG) == want and len(want) == 39 * 5 * 2 + 39
+    other = CFG.with_(sample_seed=CFG.sample_seed + 1)
+    assert sample(t, other) == sample(t.with_(new_order=None), other) != want
+
+
+def test_order_of_an_older_store_is_derived(spark, df):
+    """Without an order of the last segment the snapshot has none, and without new products neither."""
+    store = TableStore(spark, tempfile.mkdtemp(prefix="pickwise-jobs-"))
+    assert store.load().new_order is None
+    store.append("new_products", df([("A", 1, "x", "m")], "PRODUCTS"))
+    assert store.load().new_order.count() == 1
+    segs = store.segments()
+    spark.createDataFrame([(99, "older", "new_products", segs["new_products"][0], False)], "seq long, commit_id string, table string, segment string, replaces boolean").write.mode("append").parquet(f"{store.root}/_commits")
+    assert store.load().new_order is not None  # the same segment again
+    spark.createDataFrame([(100, "older", "new_product_order", "", True)], "seq long, commit_id string, table string, segment string, replaces boolean").write.mode("append").parquet(f"{store.root}/_commits")
+    assert store.load().new_order is None
+
+
 def test_cli_runs_a_job(spark, df):
     import os
     import subprocess
