@@ -95,3 +95,23 @@ def test_long_words_are_counted_piece_by_piece(spark):
     count = lambda **k: {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, ["ab", "a", "世"], ["ab", "b", "世世", "世"], **k).collect()}
     assert count() == {1: 5000, 2: 2501, 3: 2}
     assert count(max_chars=200) == {1: 1, 2: 1, 3: 2}
+
+
+def test_border_check_equals_merging_again():
+    """Pairs of neighbouring and of random pieces, and characters that are in no piece."""
+    import random
+
+    from pickwise.llm.queries import tokenizer_file
+    from pickwise.llm.sentencepiece_codec import Codec, parse_model
+
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        codec = Codec(parse_model(f.read()))
+    rnd = random.Random(5)
+    pieces = sorted(codec.usable)
+    pairs = [(rnd.choice(pieces), rnd.choice(pieces)) for _ in range(5000)]
+    # every cut of a piece into two usable ones: these merge across the border, or come out of another merge
+    pairs += [(p[:i], p[i:]) for p in rnd.sample(pieces, 5000) for i in range(1, len(p)) if p[:i] in codec.usable and p[i:] in codec.usable]
+    pairs += [("\x00", rnd.choice(pieces)) for _ in range(20)] + [(rnd.choice(pieces), "\U0001f9ff") for _ in range(20)]
+    verdicts = [codec.compatible(a, b) for a, b in pairs]
+    assert verdicts == [codec.merge(a + b) == [a, b] for a, b in pairs]
+    assert {True, False} == set(verdicts)
