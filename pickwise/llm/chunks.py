@@ -55,6 +55,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.dtype is np.uint16 else "I"
         self.words = TwoGenerations(self._word, cache_bytes * 8 // 10, longest)
@@ -77,7 +78,7 @@ class ChunkEncoder:
         """One word of the pattern: the library's merges alone."""
         plain = word.isascii() and word.isprintable()
         stand_in = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(_BYTES)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(stand_in)]).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(stand_in)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         return self.library(piece) if _OTHER.search(piece) else b"".join(map(self.words.__getitem__, _WORDS.findall(piece)))
