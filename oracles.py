@@ -647,6 +647,8 @@ ORACLES.update({
         "split"),
 })
 ORACLES["als_recommend_blocks"] = ORACLES["als_recommend_exact"]
+ORACLES["als_groups_digest"] = ORACLES["als_train_digest"]
+ORACLES["last_recommendations_stored"] = ORACLES["last_recommendations"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,6 +42,7 @@ class Config:
     als_blocks: int = 0  # 0: from the number of ratings and the default parallelism
     als_block_ratings: int = 1_000_000  # ratings per block when blocks are derived
     als_checkpoint_interval: int = 10
+    fit_ratings: int = 2_000_000_000  # ratings of one fit of several categories (below 2^31, the ids of ALS)
     # grid points fitted at once (threads submitting Spark jobs), as in pyspark.ml.tuning;
     # 1 when a single fit fills the cluster
     grid_parallelism: int = 1

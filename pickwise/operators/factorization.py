@@ -138,7 +138,8 @@ class GridResult:
     grid: DataFrame                 # category, grid_index, rank, reg_param, rmse, n_scored, is_best
     winners: dict[str, int]         # category -> grid index
     run_path: str                   # factors of every point: <run_path>/point=<grid index>/{users,items}
-    index: Indexed
+    index: Indexed | None           # None where the categories were fitted in groups
+    parts: tuple["GridResult", ...] = ()  # the groups, each with a run path and an index of its own
 
 
 def _written(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -235,14 +236,43 @@ def pick_winners(errors: list[tuple[str, int, float]]) -> dict[str, int]:
     return {c: p for c, (_, p) in best.items()}
 
 
+def category_groups(ratings: DataFrame, cfg: Config) -> list[list[str]]:
+    """Categories of one fit each, packed in descending order of their ratings. A group of several categories has
+    at most ``fit_ratings`` ratings, so it has no more users or products than ALS has ids; a category beyond that
+    is a group of its own."""
+    sizes = ratings.where("category is not null").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    groups: list[list[str]] = []
+    held = 0
+    for r in sizes.orderBy(F.desc("n"), "category").collect():  # one row per category
+        if not groups or held + r["n"] > min(cfg.fit_ratings, INT_MAX):
+            groups.append([])
+            held = 0
+        groups[-1].append(r["category"])
+        held += r["n"]
+    return groups
+
+
 def grid_search(ratings: DataFrame, cfg: Config, run_path: str | None = None) -> GridResult:
     """M3: fits every grid point and takes the point of the smallest validation error per category.
 
     Every fitted point writes its factors under ``run_path`` (a new shared folder by default): a job that died
     goes on from there and fits only the points that are missing. Errors of all points come from one pass over
-    the validation rows."""
+    the validation rows. Categories whose ratings do not fit one fit are fitted in groups, one after the other;
+    a group's result is that of a search over its categories alone."""
+    run_path = run_path or scratch_path(ratings.sparkSession, "grid")
+    groups = category_groups(ratings, cfg)
+    if len(groups) < 2:
+        return _search_group(ratings, cfg, run_path)
+    parts = tuple(_search_group(ratings.where(F.col("category").isin(cats)), cfg, f"{run_path}/group={k}") for k, cats in enumerate(groups))
+    grid = parts[0].grid
+    for p in parts[1:]:
+        grid = grid.unionByName(p.grid)
+    return GridResult(grid, {c: point for p in parts for c, point in p.winners.items()}, run_path, None, parts)
+
+
+def _search_group(ratings: DataFrame, cfg: Config, run_path: str) -> GridResult:
+    """The grid search of one group of categories."""
     spark = ratings.sparkSession
-    run_path = run_path or scratch_path(spark, "grid")
     grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
     ix = _run_index(ratings, cfg, run_path)
     ix.data = ix.data.persist()  # reused by every grid point
@@ -270,6 +300,11 @@ def grid_search(ratings: DataFrame, cfg: Config, run_path: str | None = None) ->
 def winning_factors(res: GridResult) -> tuple[DataFrame, DataFrame]:
     """Category-scoped factor tables of the per-category winners:
     (category, user_id, features) and (category, product_id, features)."""
+    if res.parts:
+        users, items = winning_factors(res.parts[0])
+        for u, i in map(winning_factors, res.parts[1:]):
+            users, items = users.unionByName(u), items.unionByName(i)
+        return users, items
     spark = res.grid.sparkSession
     users = spark.createDataFrame([], "category string, user_id long, features array<float>")
     items = spark.createDataFrame([], "category string, product_id long, features array<float>")

@@ -76,14 +76,17 @@ def routed_rows(routed: DataFrame, target: str) -> DataFrame:
     )
 
 
-def last_recommendations(history: DataFrame) -> DataFrame:
-    """C11 / F2: items of each user's latest list (highest batch_id), one row per slot."""
+def latest_lists(history: DataFrame) -> DataFrame:
+    """Each user's latest row of the history (highest batch_id; tie: greater list). The latest rows of
+    parts of a history give those of the whole."""
     latest = history.groupBy(*USER).agg(F.max(F.struct("batch_id", "product_list")).alias("_l"))
-    return explode_list(
-        latest.select(*USER, F.col("_l.batch_id").alias("batch_id"),
-                      F.col("_l.product_list").alias("product_list")),
-        "product_list",
-    )
+    return latest.select(*USER, F.col("_l.batch_id").alias("batch_id"), F.col("_l.product_list").alias("product_list"))
+
+
+def last_recommendations(history: DataFrame) -> DataFrame:
+    """C11 / F2: items of each user's latest list (highest batch_id), one row per slot. ``history``:
+    the history or a snapshot's ``latest``."""
+    return explode_list(latest_lists(history), "product_list")
 
 
 def push_recommendations(recs: DataFrame, batch_id: int | F.Column) -> DataFrame:

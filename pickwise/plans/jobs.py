@@ -92,6 +92,14 @@ def run_recommend(store: TableStore, requests: DataFrame, feedback: DataFrame, c
     return store.read("batch_recommendations").where(F.col("batch_id") == batch_id).drop("batch_id")
 
 
+def last_lists(store: TableStore, users: DataFrame | None = None) -> DataFrame:
+    """C11: items of the latest list of every user, or of the requested (category, user_id), from the
+    stored latest lists: what is read follows the users, not the batches they were served in."""
+    t = store.load()
+    rows = t.history if t.latest is None else t.latest
+    return FB.last_recommendations(rows if users is None else RG.requested(rows, users, FB.USER))
+
+
 # --- E4, C8, E2, E1 -----------------------------------------------------------------------
 def run_onboard(store: TableStore, product_requests: DataFrame) -> DataFrame:
     t = store.load()

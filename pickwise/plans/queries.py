@@ -431,6 +431,15 @@ def q_recommend_job_tables(spark, sf_dir):
     return out
 
 
+@query("last_recommendations_stored")
+def q_last_recommendations_stored(spark, sf_dir):
+    """The latest lists that a store keeps up while the history is appended in three parts."""
+    store, history = _store(spark, "last_recommendations_stored"), _fx(spark, sf_dir).history
+    for k in range(3):
+        store.append("previous_user_recommendations", history.where(F.pmod(F.xxhash64("user_id", "batch_id"), F.lit(3)) == k))
+    return J.last_lists(store)
+
+
 # --- factorisation ----------------------------------------------------------------------
 @query("train_validate_split")
 def q_train_validate_split(spark, sf_dir):
@@ -493,6 +502,16 @@ def q_als_grid(spark, sf_dir):
     return MF.grid_search(_fx(spark, sf_dir).ratings, GRID).grid
 
 
+@query("als_groups_digest")
+def q_als_groups_digest(spark, sf_dir):
+    """M1, M3: one fit per category at the first grid point; every user and product of the training rows has a factor."""
+    alone = CFG.with_(ranks=CFG.ranks[:1], reg_params=CFG.reg_params[:1], fit_ratings=1)
+    users, items = MF.winning_factors(MF.grid_search(_fx(spark, sf_dir).ratings, alone))
+    u = users.select(F.lit("user").alias("kind"), "category", F.col("user_id").alias("id"), "features")
+    i = items.select(F.lit("item").alias("kind"), "category", F.col("product_id").alias("id"), "features")
+    return u.unionByName(i).select("kind", "category", "id", F.size("features").cast("long").alias("rank"))
+
+
 @query("als_grid_digest")
 def q_als_grid_digest(spark, sf_dir):
     """M3: every grid point scores every predictable validation row; one winner a category, and it

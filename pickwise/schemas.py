@@ -62,6 +62,8 @@ TABLES = {
     "category_recommendation_data": CATEGORY_RECS,
     "user_recommendation_data": USER_RECS,
     "previous_user_recommendations": HISTORY,
+    # the last lists of the history's users, kept up by its commits
+    "previous_user_recommendations_latest": HISTORY,
     "feedback_rejects": FEEDBACK_REJECTS,
     "batch_recommendations": BATCH_RECS,
     "import_rejects": IMPORT_REJECTS,

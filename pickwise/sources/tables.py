@@ -18,6 +18,10 @@ from them, so no reader of means, counts or raters scans the ratings themselves.
 
 A commit that touches the new products replaces their hash order (``operators.newproducts.hash_order``,
 under the default seed) too: onboarding and promotion sort them, a recommendation batch looks positions up.
+
+A commit that touches the recommendation history brings the latest list of its users along. The latest lists are
+written anew when those added since hold as many rows as the last such writing, so they hold two rows a user at
+most on average, and a row is rewritten a bounded number of times however long the history grows.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from pyspark.sql.utils import AnalysisException
 
 from pickwise import schemas
 from pickwise.config import DEFAULT
+from pickwise.operators.feedback import latest_lists
 from pickwise.operators.newproducts import hash_order
 from pickwise.session import cut_lineage
 
@@ -53,6 +58,7 @@ class Tables:
     stats: DataFrame | None = None      # as ``operators.ratings.product_stats``
     raters: DataFrame | None = None     # category, user_id of everyone with a rating
     new_order: DataFrame | None = None  # the stored hash order of new products; None: derive it
+    latest: DataFrame | None = None     # history rows that hold every user's latest list; None: read the history
 
     def with_(self, **kw) -> "Tables":
         return replace(self, **kw)
@@ -80,6 +86,7 @@ def empty(spark: SparkSession, schema) -> DataFrame:
 STATE_OF = {t: f"{t}_state" for t in ("ratings", "new_product_ratings")}
 RATERS_OF = {t: f"{t}_raters" for t in STATE_OF}
 ORDERED, ORDER = "new_products", "new_product_order"
+HISTORY, LATEST = "previous_user_recommendations", "previous_user_recommendations_latest"
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str, rebalance: bool = True) -> None:
@@ -148,7 +155,8 @@ class TableStore:
             return False
         seq = (self._commits().agg(F.max("seq")).first()[0] or 0) + 1
         name = commit_id or uuid.uuid4().hex
-        before = self.segments().get(ORDERED, []) if ORDERED in appends else []
+        now = self.segments() if ORDERED in appends or HISTORY in appends else {}
+        before = now.get(ORDERED, [])
 
         def write(t, df, segment):
             write_partitioned(df.select(*schemas.TABLES[t].fieldNames()), f"{self.root}/{t}/segment={segment}", "error", self.rebalance)
@@ -167,6 +175,10 @@ class TableStore:
                 write(RATERS_OF[t], held.select("category", "user_id").distinct(), segment)
                 written += [STATE_OF[t], RATERS_OF[t]]
             rows = [(seq, name, x, segment, replacing) for x in written]
+            if t == HISTORY:
+                lists, anew = self._latest_after({} if replacing else now, segment)
+                write(LATEST, lists, segment)
+                rows.append((seq, name, LATEST, segment, anew))
             return rows + [(seq, name, ORDER, segment, True)] if t == ORDERED else rows
 
         # the tables' writes do not depend on each other: they share the cluster
@@ -176,6 +188,19 @@ class TableStore:
         self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
         return True
 
+    def _latest_after(self, now: dict[str, list[str]], segment: str) -> tuple[DataFrame, bool]:
+        """Latest lists to store with a new ``segment`` of the history, and whether they replace those stored."""
+        added = latest_lists(self.read(HISTORY, {HISTORY: [segment]}))
+        past, kept = now.get(HISTORY, []), now.get(LATEST, [])
+        if past[-1:] != kept[-1:]:  # written before latest lists were kept
+            return latest_lists(self.read(HISTORY, {HISTORY: [*past, segment]})), True
+        if not kept:
+            return added, True
+        base, since = (self.read(LATEST, {LATEST: x}) for x in (kept[:1], kept[1:]))
+        if since.count() + added.count() < base.count():
+            return added, False
+        return latest_lists(base.unionByName(since).unionByName(added)), True
+
     # -- read (S1) ---------------------------------------------------------------------
     def read(self, table: str, segments: dict[str, list[str]] | None = None) -> DataFrame:
         schema = schemas.TABLES[table]
@@ -190,12 +215,15 @@ class TableStore:
         return self.read(table).where(F.col("category") == F.lit(category))
 
     def load(self) -> Tables:
-        """Every table, all as of the same commit, with the rating summaries if every rating segment has its own and
-        the order of new products if it is of their last segment (segments written before these were kept have none)."""
+        """Every table, all as of the same commit, with the rating summaries if every rating segment has its own, and
+        the order of new products and the latest lists if they are of the last segment (segments written before these
+        were kept have none)."""
         now = self.segments()
         tables = Tables(**{attr: self.read(name, now) for attr, name in STORED.items()})
         if now.get(ORDERED) and now[ORDERED][-1:] == now.get(ORDER):
             tables = tables.with_(new_order=self.read(ORDER, now))
+        if now.get(HISTORY) and now[HISTORY][-1:] == now.get(LATEST, [])[-1:]:
+            tables = tables.with_(latest=self.read(LATEST, now))
         if any(now.get(t, []) != now.get(of[t], []) for of in (STATE_OF, RATERS_OF) for t in STATE_OF):
             return tables
         old, new = (self.read(STATE_OF[t], now) for t in STATE_OF)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pickwise import schemas
 from pickwise.config import Config
 from pickwise.operators import factorization as MF
 from pickwise.sources import models
@@ -226,3 +227,30 @@ def test_parallel_grid_picks_the_same_winners(planted):
     assert a.winners == b.winners
     key = lambda r: (r["category"], r["grid_index"])
     assert sorted(map(tuple, a.grid.collect()), key=str) == sorted(map(tuple, b.grid.collect()), key=str)
+
+
+def test_categories_are_packed_under_the_budget(spark):
+    sizes = {"A": 50, "B": 30, "C": 20, "D": 20, "E": 1}
+    ratings = spark.createDataFrame([(c, u, 1, 3.0) for c, n in sizes.items() for u in range(n)] + [(None, 1, 1, 2.0)], schemas.RATINGS)
+    groups = lambda n: MF.category_groups(ratings, Config(fit_ratings=n))
+    assert groups(1000) == [["A", "B", "C", "D", "E"]]
+    assert groups(50) == [["A"], ["B", "C"], ["D", "E"]]
+    assert groups(1) == [["A"], ["B"], ["C"], ["D"], ["E"]]  # no category is lost or cut
+    assert MF.category_groups(ratings.limit(0), Config()) == []
+
+
+def test_a_group_gives_what_its_categories_alone_give(planted, tmp_path):
+    """Groups of one category: grid, winners and factors of a search over that category's ratings."""
+    path = str(tmp_path / "run")
+    res = MF.grid_search(planted, CFG.with_(fit_ratings=1), path)
+    cats = sorted(r["category"] for r in planted.select("category").distinct().collect())
+    assert len(res.parts) == len(cats) > 1 and sorted(res.winners) == cats
+    rows = lambda d: sorted(map(str, d.collect()))
+    uf, itf = MF.winning_factors(res)
+    for c in cats:
+        alone = MF.grid_search(planted.where(F.col("category") == c), CFG)
+        assert rows(alone.grid) == rows(res.grid.where(F.col("category") == c))
+        u, i = MF.winning_factors(alone)
+        assert u.count() == uf.where(F.col("category") == c).count() and i.count() == itf.where(F.col("category") == c).count()
+    again = MF.grid_search(planted, CFG.with_(fit_ratings=1), path)  # a run that comes back fits nothing anew
+    assert rows(again.grid) == rows(res.grid)

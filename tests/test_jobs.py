@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pickwise.config import Config
+from pickwise.operators import feedback as FB
 from pickwise.operators.newproducts import hash_order
 from pickwise.operators.ratings import all_ratings, product_stats
 from pickwise.operators.recommend import initial_recs
@@ -189,3 +190,39 @@ def test_cli_runs_a_job(spark, df):
     assert done.returncode == 0, done.stderr[-2000:]
     lst = TableStore(spark, store.root).read("category_recommendation_data")
     assert lst.count() > 0 and lst.groupBy("category").count().where("count > 5").count() == 0
+
+
+def _lists(d):
+    return sorted((r["category"], r["user_id"], r["batch_id"], r["slot"], r["product_name"]) for r in d.collect())
+
+
+def test_latest_lists_equal_the_history_and_stay_small(spark, df):
+    """After batches (one that came twice), a late older row and a replaced history; about two rows a user at most."""
+    store = _seed(spark, df)
+    assert store.load().latest is None and J.last_lists(store).isEmpty()
+    size = 0
+    for batch in (1, 2, 2, 3, 4):
+        J.run_recommend(store, df([("A", "A1@x"), ("A", f"A{batch}@x"), ("B", "B5@x")], "USER_REQUESTS"), df([], "FEEDBACK"), CFG, batch)
+        t = store.load()
+        assert _lists(J.last_lists(store)) == _lists(FB.last_recommendations(t.history))
+        users, rows = t.history.select("category", "user_id").distinct().count(), t.latest.count()
+        assert rows < 2 * users + 1
+        size = max(size, rows / users)
+    assert size > 1  # some commits only added to it
+    store.append("previous_user_recommendations", df([("A", 1, 0, "x:y"), ("C", 7, 9, "z"), (None, None, 1, "n")], "HISTORY"))
+    got = _lists(J.last_lists(store, df([("A", 1), ("C", 7), ("C", 8)], "category string, user_id long")))
+    assert {(c, u, b) for c, u, b, _, _ in got} == {("A", 1, 4), ("C", 7, 9)}
+    store.publish({"previous_user_recommendations": df([("A", 1, 1, "old")], "HISTORY")})
+    assert _lists(J.last_lists(store)) == [("A", 1, 1, 0, "old")]
+
+
+def test_latest_lists_of_an_older_store(spark, df):
+    """A history whose last segment has no latest lists is read itself; the next commit makes them of all of it."""
+    store = TableStore(spark, tempfile.mkdtemp(prefix="pickwise-jobs-"))
+    log = "seq long, commit_id string, table string, segment string, replaces boolean"
+    store.append("previous_user_recommendations", df([("A", u, 1, f"p{u}") for u in range(5)], "HISTORY"))
+    spark.createDataFrame([(50, "older", "previous_user_recommendations_latest", "", True)], log).write.mode("append").parquet(f"{store.root}/_commits")
+    assert store.load().latest is None and len(_lists(J.last_lists(store))) == 5
+    store.append("previous_user_recommendations", df([("A", 1, 2, "q")], "HISTORY"))
+    t = store.load()
+    assert t.latest.count() == 5 and ("A", 1, 2, 0, "q") in _lists(J.last_lists(store))
