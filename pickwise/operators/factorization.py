@@ -16,6 +16,7 @@ the products whose norm lets them into a user's list.
 
 from __future__ import annotations
 
+import gc
 import sys
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -109,6 +110,17 @@ def blocks_for(n_ratings: int, parallelism: int, cfg: Config) -> int:
     return cfg.als_blocks or max(1, parallelism, -(-n_ratings // cfg.als_block_ratings))
 
 
+def iteration_bytes(n_ratings: int, rank: int) -> int:
+    """About what one iteration shuffles: at most one factor per rating goes each way."""
+    return 2 * n_ratings * (4 * rank + 16)
+
+
+def checkpoint_every(n_ratings: int, rank: int, cfg: Config) -> int:
+    """Iterations between checkpoints. ALS frees the shuffles of its iterations at a checkpoint and not before, so
+    those of this many iterations are on disk at once. The factors do not depend on it."""
+    return max(1, min(cfg.als_checkpoint_interval, cfg.als_shuffle_bytes // max(1, iteration_bytes(n_ratings, rank))))
+
+
 def als(rank: int, reg: float, cfg: Config, blocks: int) -> ALS:
     return ALS(
         rank=rank, maxIter=cfg.max_iter, regParam=reg, userCol="u", itemCol="i",
@@ -119,14 +131,39 @@ def als(rank: int, reg: float, cfg: Config, blocks: int) -> ALS:
 
 def fit(train: DataFrame, rank: int, reg: float, cfg: Config, blocks: int | None = None) -> ALSModel:
     """M1: explicit-feedback ALS on indexed training rows. ``blocks``: as ``blocks_for`` gives
-    them, where the caller has counted the rows already."""
+    them, where the caller has counted the rows already (and set the checkpoint interval)."""
     spark = train.sparkSession
     shared_dir(spark)  # ALS checkpoints its lineage there
     if blocks is None:
-        blocks = blocks_for(0 if cfg.als_blocks else train.count(), spark.sparkContext.defaultParallelism, cfg)
+        n = train.count()
+        blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
+        cfg = cfg.with_(als_checkpoint_interval=checkpoint_every(n, rank, cfg))
     return als(rank, reg, cfg, blocks).fit(train)
 
 
+def release(model: ALSModel) -> None:
+    """Frees what a model that is used no more holds on disk: its cached factors and the checkpoint that ALS leaves.
+    The checkpoints are found by the name that ALS gives them; those of the ratings' own lineage are not touched."""
+    sc = model.userFactors.sparkSession.sparkContext
+    todo, seen = [model.userFactors._jdf.javaRDD().rdd(), model.itemFactors._jdf.javaRDD().rdd()], set()
+    while todo:
+        rdd = todo.pop()
+        if rdd.id() in seen:
+            continue
+        seen.add(rdd.id())
+        name = rdd.name() or ""
+        if name in ("userFactors", "itemFactors"):
+            rdd.unpersist(False)
+        if name.startswith("itemFactors-"):
+            if rdd.getCheckpointFile().isDefined():
+                path = sc._jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            continue
+        if name != "ratingBlocks":
+            deps = rdd.dependencies()
+            todo += [deps.apply(k).rdd() for k in range(deps.size())]
+
+
 def predict(model: ALSModel, rows: DataFrame) -> DataFrame:
     """Predictions for indexed (u, i) rows; pairs without factors drop."""
     return model.transform(rows)
@@ -185,6 +222,10 @@ def fit_point(train: DataFrame, point: int, rank: int, reg: float, cfg: Config,
     model = fit(train, rank, reg, cfg, blocks)
     model.userFactors.write.mode("overwrite").parquet(f"{path}/users")
     model.itemFactors.write.mode("overwrite").parquet(f"{path}/items")
+    release(model)
+    del model
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of plans that the JVM holds no more
     spark.createDataFrame([(point,)], "point int").coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
 
 
@@ -252,6 +293,12 @@ def category_groups(ratings: DataFrame, cfg: Config) -> list[list[str]]:
     return groups
 
 
+def fits_at_once(n_ratings: int, cfg: Config) -> int:
+    """Grid points fitted at once: fewer than ``grid_parallelism`` where one iteration of each would shuffle more
+    than ``als_shuffle_bytes``; such a fit fills the cluster by itself."""
+    return max(1, min(cfg.grid_parallelism, cfg.als_shuffle_bytes // max(1, iteration_bytes(n_ratings, max(cfg.ranks)))))
+
+
 def grid_search(ratings: DataFrame, cfg: Config, run_path: str | None = None) -> GridResult:
     """M3: fits every grid point and takes the point of the smallest validation error per category.
 
@@ -276,10 +323,12 @@ def _search_group(ratings: DataFrame, cfg: Config, run_path: str) -> GridResult:
     grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
     ix = _run_index(ratings, cfg, run_path)
     ix.data = ix.data.persist()  # reused by every grid point
-    blocks = blocks_for(ix.data.count(), spark.sparkContext.defaultParallelism, cfg)
+    n = ix.data.count()
+    blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
     train = ix.data.where(F.col("split") == TRAIN)
-    with ThreadPoolExecutor(max_workers=max(1, cfg.grid_parallelism)) as pool:
-        list(pool.map(lambda p: fit_point(train, p[0], *p[1], cfg, blocks, run_path), enumerate(grid)))
+    each = lambda rank: cfg.with_(als_checkpoint_interval=checkpoint_every(n, rank, cfg))
+    with ThreadPoolExecutor(max_workers=fits_at_once(n, cfg)) as pool:
+        list(pool.map(lambda p: fit_point(train, p[0], *p[1], each(p[1][0]), blocks, run_path), enumerate(grid)))
 
     users = stacked_factors(spark, run_path, len(grid), "users", "u")
     items = stacked_factors(spark, run_path, len(grid), "items", "i")

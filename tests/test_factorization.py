@@ -1,3 +1,4 @@
+import os
 import tempfile
 
 import numpy as np
@@ -254,3 +255,20 @@ def test_a_group_gives_what_its_categories_alone_give(planted, tmp_path):
         assert u.count() == uf.where(F.col("category") == c).count() and i.count() == itf.where(F.col("category") == c).count()
     again = MF.grid_search(planted, CFG.with_(fit_ratings=1), path)  # a run that comes back fits nothing anew
     assert rows(again.grid) == rows(res.grid)
+
+
+def test_checkpoints_follow_the_shuffled_bytes():
+    cfg = Config(grid_parallelism=4)
+    assert MF.checkpoint_every(100_000, 20, cfg) == 10 and MF.fits_at_once(100_000, cfg) == 4
+    assert MF.checkpoint_every(9_000_000, 20, cfg) == 1 and MF.fits_at_once(9_000_000, cfg) == 1
+    assert MF.checkpoint_every(0, 5, cfg) == 10
+
+
+def test_a_released_model_leaves_no_checkpoint(planted, spark):
+    ix = MF.index_ratings(planted, CFG)
+    model = MF.fit(ix.data.where("split = 'train'"), 3, 0.1, CFG)
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    held = set(os.listdir(root))
+    MF.release(model)
+    assert len(held - set(os.listdir(root))) >= 1
+    assert ix.data.count() == planted.count()  # its own checkpoints are still there
