@@ -257,6 +257,24 @@ def test_a_group_gives_what_its_categories_alone_give(planted, tmp_path):
     assert rows(again.grid) == rows(res.grid)
 
 
+def test_block_pairs_hand_on_one_list_a_user(spark, monkeypatch):
+    """However many item blocks a user block meets: neither its rows nor its lists are copied once a pair."""
+    uf, itf = _factors(spark, np.random.default_rng(8), 40, 300, 1.0)
+    real, seen = MF._meet, []
+
+    def meet(u, i, k):
+        got = real(u, i, k).cache()
+        seen.append((u.count(), got.groupBy("category", "user_id").count().agg(F.max("count")).first()[0]))
+        return got
+
+    monkeypatch.setattr(MF, "_meet", meet)
+    cfg = Config(score_broadcast_bytes=0, score_block_rows=10)
+    got = {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, cfg).collect()}
+    assert seen[1][0] <= 2 * 4 and seen[1][1] <= 3
+    monkeypatch.setattr(MF, "SLAB_ITEMS", 30)  # several slabs of item blocks a category
+    assert got == {tuple(r) for r in MF.recommend_top_k(uf, itf, 3, cfg).collect()} and len(got) == 2 * 40 * 3
+
+
 def test_checkpoints_follow_the_shuffled_bytes():
     cfg = Config(grid_parallelism=4)
     assert MF.checkpoint_every(100_000, 20, cfg) == 10 and MF.fits_at_once(100_000, cfg) == 4
