@@ -6,8 +6,7 @@
    folder; later steps read them instead of the texts.
 2. **Latent space.** A randomised SVD of the TF-IDF passage matrix ``A``: tasks form ``A^T (A W)`` for one random
    test matrix ``W``, the driver adds the benchmark's own passages and takes the leading right singular
-   vectors from the sum (one-pass Nystrom form). It is fitted on at most ``fit_passages`` passages,
-   drawn by a hash.
+   vectors from the sum (one-pass Nystrom form). All passages of all documents enter it.
 3. **Candidates.** Sliding windows of all documents are projected and compared with the projected benchmark
    passages; a window's length suits the passage's and a term counts once in it. A window is a candidate by its
    cosine, or by how much of the passage's vector it covers: text around the passage turns the window's vector
@@ -33,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import batch, mix64, text_bytes
+from pickwise.llm.common import batch, text_bytes
 from pickwise.session import cut_lineage, scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,8 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class Params:
     rank: int = 160             # latent dimensions
     oversample: int = 16
-    fit_passages: int = 100_000  # passages in the SVD
-    fit_tasks: int = 16
+    fit_passages: int = 128     # passages multiplied at once in the fit, which takes all of them
     min_cosine: float = 0.55
     min_cover: float = 0.4      # of the passage's latent vector, whatever else the window holds
     min_lcs: float = 0.7
@@ -144,43 +142,57 @@ def _term_table(docs: DataFrame, bench, p: Params, id_col: str, text_col: str) -
     return src.mapInArrow(run, "doc long, terms binary, passages long, held array<int>, df array<int>")
 
 
+SKETCH = pa.schema([("at", pa.int32()), ("z", pa.binary())])
+SKETCH_TERMS = 64  # terms of one row of a sketch
+
+
+def _sketches(parts: DataFrame) -> DataFrame:
+    """Sums of the rows (at, z) that carry the same terms."""
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                z = np.frombuffer(z, np.float32).astype(np.float64)
+                held[at] = held[at] + z if at in held else z
+        for at, z in held.items():
+            yield batch(SKETCH, [at], [z.tobytes()])
+
+    return parts.repartition("at").mapInArrow(add, "at int, z binary")
+
+
 def _fit(terms: DataFrame, bench: Benchmark, weight: np.ndarray, n_passages: int, p: Params) -> np.ndarray:
-    """Leading right singular vectors (terms x rank) of the passages' TF-IDF matrix."""
+    """Leading right singular vectors (terms x rank) of the TF-IDF matrix of all passages."""
     rng = np.random.default_rng(p.seed)
     size = len(weight)
     r = min(p.rank + p.oversample, size)
     test = rng.standard_normal((size, r)).astype(np.float32)
     shared = terms.sparkSession.sparkContext.broadcast((weight, test))
-    share, width, wide = min(1.0, p.fit_passages / max(1, n_passages)), 2 * p.block, size > 1 << 16
-
-    def draw(batches):
-        for b in batches:
-            for doc, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                t = np.frombuffer(raw, np.uint32 if wide else np.uint16)
-                n = -(-len(t) // width)
-                h = mix64(np.arange(n, dtype=np.uint64) ^ mix64(np.array([(doc or 0) & (1 << 64) - 1], np.uint64)))
-                take = np.flatnonzero(h < np.uint64(min(share, 1 - 2**-53) * 2**64)) if share < 1 else np.arange(n)
-                if len(take):
-                    rows = [np.unique(t[k * width:(k + 1) * width]).astype(np.int32) for k in take]
-                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["p"])
+    width, wide = 2 * p.block, size > 1 << 16
 
     def sketch(batches):
         weight, test = shared.value
-        z = np.zeros(test.shape, np.float32)
+        z, rows = np.zeros(test.shape, np.float32), []
         for b in batches:
-            rows = [np.frombuffer(x, np.int32) for x in b.column(0).to_pylist()]
-            for at in range(0, len(rows), 512):
-                z += _gram(rows[at:at + 512], weight, test)
-        yield pa.RecordBatch.from_arrays([pa.array([z.tobytes()], pa.binary())], names=["z"])
+            for raw in b.column(0).to_pylist():
+                t = np.frombuffer(raw, np.uint32 if wide else np.uint16)
+                rows += [t[at:at + width] for at in range(0, len(t), width)]
+                while len(rows) >= p.fit_passages:
+                    _add_gram(z, rows[:p.fit_passages], weight, test)
+                    rows = rows[p.fit_passages:]
+        _add_gram(z, rows, weight, test)
+        for at in range(0, len(z), SKETCH_TERMS):
+            if z[at:at + SKETCH_TERMS].any():
+                yield batch(SKETCH, [at], [z[at:at + SKETCH_TERMS].tobytes()])
 
-    drawn = terms.select("doc", "terms").mapInArrow(draw, "p binary").repartition(p.fit_tasks)
     z = np.zeros(test.shape)
-    for row in drawn.mapInArrow(sketch, "z binary").toLocalIterator():  # fit_tasks rows of fixed size
-        z += np.frombuffer(row["z"], np.float32).reshape(test.shape)
+    for row in _sketches(terms.select("terms").mapInArrow(sketch, "at int, z binary")).toLocalIterator():  # each term once
+        z[row["at"]:row["at"] + SKETCH_TERMS] = np.frombuffer(row["z"]).reshape(-1, r)
     # the benchmark's passages weigh as much as the corpus
-    own = max(1.0, min(n_passages, p.fit_passages) / max(1, len(bench.terms)))
+    own = max(1.0, n_passages / max(1, len(bench.terms)))
+    mine = np.zeros(test.shape)
     for at in range(0, len(bench.terms), 512):
-        z += own * _gram([np.unique(t) for t in bench.terms[at:at + 512]], weight, test)
+        _add_gram(mine, bench.terms[at:at + 512], weight, test)
+    z += own * mine
     core = test.T.astype(float) @ z
     core = (core + core.T) / 2
     lam, q = np.linalg.eigh(core)
@@ -190,22 +202,25 @@ def _fit(terms: DataFrame, bench: Benchmark, weight: np.ndarray, n_passages: int
     return u[:, :p.rank].astype(np.float32)
 
 
-def _gram(rows: list[np.ndarray], weight: np.ndarray, test: np.ndarray) -> np.ndarray:
-    """``A^T (A W)`` of a few passages given by their distinct terms; rows of ``A`` have unit length."""
+def _add_gram(z: np.ndarray, rows: list[np.ndarray], weight: np.ndarray, test: np.ndarray) -> None:
+    """Adds ``A^T (A W)`` of a few passages given by their terms (each counts once); rows of ``A`` have unit length."""
+    if not rows:
+        return
     term = np.concatenate(rows).astype(np.int64)
     row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    v = weight[term]
-    on = v > 0
-    term, row, v = term[on], row[on], v[on]
-    out = np.zeros(test.shape, np.float32)
+    on = weight[term] > 0
+    term, row = term[on], row[on]
     if not len(term):
-        return out
-    v = v / np.sqrt(np.bincount(row, v * v, len(rows)))[row].astype(np.float32)
-    used, col = np.unique(term, return_inverse=True)
+        return
+    held = np.zeros(len(weight), bool)
+    held[term] = True
+    used = np.flatnonzero(held)
+    col = np.zeros(len(weight), np.int64)
+    col[used] = np.arange(len(used))
     a = np.zeros((len(rows), len(used)), np.float32)
-    a[row, col] = v
-    out[used] = a.T @ (a @ test[used])
-    return out
+    a[row, col[term]] = weight[term]
+    a /= np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-30)[:, None]
+    z[used] += a.T @ (a @ test[used])
 
 
 def lcs_masks(pattern: np.ndarray) -> dict[int, int]:

@@ -388,3 +388,18 @@ def test_query_equals_its_sql(spark, key):
     assert sorted(names) == sorted(df.columns)
     got = df.select(*names).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(got) >= 250
+
+
+def test_decontamination_fits_on_every_passage(spark):
+    """The axes do not depend on how many passages are multiplied at once: all of them enter the fit."""
+    r = np.random.default_rng(3)
+    text = lambda: " ".join(f"w{int(x)}" for x in r.integers(0, 60, 200))
+    docs = spark.createDataFrame([(d, text()) for d in range(40)], "doc_id long, text string")
+    bench = decontamination.Benchmark.of([(i, text().encode()) for i in range(3)], decontamination.Params())
+    axes = []
+    for n in (3, 1000):
+        p = decontamination.Params(fit_passages=n, rank=4, oversample=20)
+        terms = decontamination._term_table(docs, spark.sparkContext.broadcast(bench.vocab), p, "doc_id", "text").where("passages is null")
+        weight = np.linspace(0.1, 2, len(bench.vocab) + 1).astype(np.float32)
+        axes.append(decontamination._fit(terms, bench, weight, 40 * 7, p))
+    assert np.allclose(np.abs((axes[0] * axes[1]).sum(axis=0)), 1, atol=1e-3)
