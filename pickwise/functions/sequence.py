@@ -8,7 +8,8 @@ task. When one group can hold a third of the data that task is the job. Instead:
 2. tag each row with ``monotonically_increasing_id`` (partition index << 33 | row) and cut
    lineage with a reliable checkpoint, so every reader sees the same tags;
 3. a small aggregate per (partition, g): first row tag and row count; a window over that
-   small table gives each (partition, g) the number of g-rows in earlier partitions;
+   small table gives each (partition, g) the number of g-rows in earlier partitions; it is
+   written once and broadcast within the usual bound, so the tagged rows are not shuffled again;
 4. position = offset + (row tag - first row tag of its (partition, g)).
 
 Rows are assumed distinct on (g, o); ties get an arbitrary but fixed order.
@@ -21,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pickwise.functions.broadcast import checked
 from pickwise.session import cut_lineage
 
 _ROW_BITS = 33
@@ -45,7 +47,7 @@ def dense_positions(
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    stats = checked(stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
 
     return (
         tagged.join(stats, on=["_part", *group])

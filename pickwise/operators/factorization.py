@@ -93,10 +93,10 @@ class Indexed:
 
 def index_ratings(ratings: DataFrame, cfg: Config) -> Indexed:
     """Ratings with their split and integer ids. The two id tables (one row per user and
-    per product) are written once to the shared folder: training, prediction and the
-    mapping of factors back to (category, id) all read them."""
-    users = cut_lineage(dense_index(ratings, USER, "u"))
-    items = cut_lineage(dense_index(ratings, ITEM, "i"))
+    per product) stand in the shared folder once, written by the numbering: training, prediction
+    and the mapping of factors back to (category, id) all read them."""
+    users = dense_index(ratings, USER, "u")
+    items = dense_index(ratings, ITEM, "i")
     return Indexed(join_index(ratings, users, items, cfg), users, items)
 
 
@@ -132,14 +132,20 @@ def als(rank: int, reg: float, cfg: Config, blocks: int) -> ALS:
 
 def fit(train: DataFrame, rank: int, reg: float, cfg: Config, blocks: int | None = None) -> ALSModel:
     """M1: explicit-feedback ALS on indexed training rows. ``blocks``: as ``blocks_for`` gives
-    them, where the caller has counted the rows already (and set the checkpoint interval)."""
+    them, where the caller has counted the rows already (and set the checkpoint interval). Rows that are counted
+    here are kept for the fit: the joins that index them run once."""
     spark = train.sparkSession
     shared_dir(spark)  # ALS checkpoints its lineage there
-    if blocks is None:
+    if blocks is not None:
+        return als(rank, reg, cfg, blocks).fit(train)
+    train = train.select("u", "i", "rating").persist()
+    try:
         n = train.count()
         blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
         cfg = cfg.with_(als_checkpoint_interval=checkpoint_every(n, rank, cfg))
-    return als(rank, reg, cfg, blocks).fit(train)
+        return als(rank, reg, cfg, blocks).fit(train)
+    finally:
+        train.unpersist()
 
 
 def release(model: ALSModel) -> None:
@@ -323,7 +329,7 @@ def _search_group(ratings: DataFrame, cfg: Config, run_path: str) -> GridResult:
     spark = ratings.sparkSession
     grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
     ix = _run_index(ratings, cfg, run_path)
-    ix.data = ix.data.persist()  # reused by every grid point
+    ix.data = ix.data.select("category", "rating", "split", "u", "i").persist()  # reused by every grid point
     n = ix.data.count()
     blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
     train = ix.data.where(F.col("split") == TRAIN)

@@ -290,3 +290,19 @@ def test_a_released_model_leaves_no_checkpoint(planted, spark):
     MF.release(model)
     assert len(held - set(os.listdir(root))) >= 1
     assert ix.data.count() == planted.count()  # its own checkpoints are still there
+
+
+def _counted(df, seen):
+    def run(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    return df.mapInPandas(run, df.schema)
+
+
+def test_fit_runs_its_rows_once(spark):
+    pairs = [(u, i, float(1 + (u + i) % 5)) for u in range(6) for i in range(5)]
+    seen = spark.sparkContext.accumulator(0)
+    MF.fit(_counted(spark.createDataFrame(pairs, "u int, i int, rating float"), seen), 2, 0.1, CFG.with_(max_iter=1))
+    assert seen.value == len(pairs)

@@ -69,3 +69,13 @@ def test_small_batches_do_not_shuffle_the_whole_tables(spark, tmp_path):
         below = plan[plan.index("LeftSemi, BuildRight"):]
         big = below[:below.index("/users")]  # from the semi-join down to the scan of the big table
         assert not re.search(r"\n[^\n]*- Exchange hashpartitioning", big.rpartition("BroadcastExchange")[0] or big.split("BroadcastExchange")[0])
+
+
+def test_numbering_does_not_shuffle_the_numbered_rows_again(spark):
+    from pickwise.functions.sequence import dense_positions
+
+    rows = spark.createDataFrame([("H", n) for n in range(400)] + [("S", n) for n in range(5)], "g string, k long")
+    numbered = dense_positions(rows, ["g"], ["k"])
+    plan = numbered._jdf.queryExecution().executedPlan().toString()  # before any adaptive change
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert all(r["pos"] == r["k"] for r in numbered.collect())
