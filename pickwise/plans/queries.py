@@ -20,7 +20,7 @@ from pickwise.operators import recommend as RC
 from pickwise.operators import registry as RG
 from pickwise.plans import jobs as J
 from pickwise.plans.fixtures import Fixtures
-from pickwise.session import scratch_path
+from pickwise.session import cut_lineage, scratch_path
 from pickwise.sources import legacy as L
 from pickwise.sources import models as M
 from pickwise.sources.tables import STORED, TableStore
@@ -538,7 +538,7 @@ def _whole_factors(spark, sf_dir):
 @query("als_recommend")
 def q_als_recommend(spark, sf_dir):
     """M5, U4: top 3 products of the user's category for every rater, by the first grid point's factors."""
-    f = _trained(spark, sf_dir)
+    f = cut_lineage(_trained(spark, sf_dir))  # scoring reads the factors several times
     u = f.where("kind = 'user'").select("category", F.col("id").alias("user_id"), "features")
     i = f.where("kind = 'item'").select("category", F.col("id").alias("product_id"), "features")
     return MF.recommend_top_k(u, i, CFG.n_established, CFG)
@@ -561,7 +561,7 @@ def q_als_recommend_blocks(spark, sf_dir):
 @query("als_scoring_work")
 def q_als_scoring_work(spark, sf_dir):
     """M5: the share of all pairs of raters and products that were scored."""
-    f = _trained(spark, sf_dir)
+    f = cut_lineage(_trained(spark, sf_dir))  # scoring reads the factors several times
     u = f.where("kind = 'user'").select("category", F.col("id").alias("user_id"), "features")
     i = f.where("kind = 'item'").select("category", F.col("id").alias("product_id"), "features")
     return MF.scoring_work(MF.recommend_top_k(u, i, CFG.n_established, CFG, work=True), i)

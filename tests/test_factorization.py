@@ -306,3 +306,15 @@ def test_fit_runs_its_rows_once(spark):
     seen = spark.sparkContext.accumulator(0)
     MF.fit(_counted(spark.createDataFrame(pairs, "u int, i int, rating float"), seen), 2, 0.1, CFG.with_(max_iter=1))
     assert seen.value == len(pairs)
+
+
+@pytest.mark.parametrize("name", ["als_recommend", "als_scoring_work"])
+def test_scoring_queries_join_the_factors_once(spark, monkeypatch, name):
+    from pickwise.plans import queries as Q
+
+    rows = [(k, "X", n, [float(n), 1.0]) for k in ("user", "item") for n in range(1, 5)]
+    seen = spark.sparkContext.accumulator(0)
+    factors = spark.createDataFrame(rows, "kind string, category string, id long, features array<float>")
+    monkeypatch.setattr(Q, "_trained", lambda *_: _counted(factors, seen))
+    assert Q.REGISTRY[name](spark, "").count() > 0
+    assert seen.value == len(rows)
