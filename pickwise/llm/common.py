@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,12 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def worker_held(name: str) -> dict:
+    """A dictionary that lasts as long as the worker process. Functions that travel with the job get new
+    globals in every task, so what one of them keeps there is built anew and left to the garbage collector."""
+    return sys.modules.setdefault(f"_pickwise_{name}", ModuleType(name)).__dict__
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

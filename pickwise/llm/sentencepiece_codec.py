@@ -11,8 +11,8 @@ Instead of running the merge queue, a piece sequence is searched from left to ri
 
 A text is cut where no piece can span: before a word mark that follows another character, at
 characters that occur in no piece, and between punctuation and other characters as far as no
-piece joins them. Results of chunks are cached per worker, as are transitions of the automaton and
-compatible pairs: ``CACHE_BYTES``, ``MAX_JUMPS`` and ``MAX_PAIRS`` bound them to about 180 MB together. Chunks carry blanks for marks, so that most take a byte a character.
+piece joins them. Results of chunks are cached per worker process, from task to task, as are transitions of the automaton and
+compatible pairs: ``CACHE_BYTES``, ``MAX_JUMPS`` and ``MAX_PAIRS`` bound them to about 85 MB together. Chunks carry blanks for marks, so that most take a byte a character.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import TwoGenerations, batch, text_bytes
+from pickwise.llm.common import TwoGenerations, batch, text_bytes, worker_held
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MARK = "▁"
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 32 << 20
 MAX_JUMPS = 250_000    # about 100 bytes each
 MAX_PAIRS = 150_000    # about 160 bytes each
 NEVER = float("-inf")   # the score of no merge
@@ -402,15 +402,13 @@ def _utf8(b: bytes) -> str:
         return "".join(out)
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def codec_of(raw: bytes) -> Codec:
-    """One codec per worker process and model."""
-    key = hashlib.sha256(raw).hexdigest()
-    if key not in _codecs:
-        _codecs[key] = Codec(parse_model(raw))
-    return _codecs[key]
+    """One codec per worker process, of the model used last; later tasks find it with what it has cached."""
+    held, key = worker_held("codec"), hashlib.sha256(raw).hexdigest()
+    if held.get("key") != key:
+        held.pop("codec", None)
+        held.update(codec=Codec(parse_model(raw)), key=key)
+    return held["codec"]
 
 
 SCHEMA = "n_tokens long, ids array<int>, decoded string"
