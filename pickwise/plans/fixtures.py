@@ -8,6 +8,7 @@ so the work grows with the tables.
 from __future__ import annotations
 
 import weakref
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def stored(fn):
             loaded[key] = path
         return self.spark.read.schema(_SCHEMAS[name]).parquet(loaded[key])
 
-    get.__doc__ = fn.__doc__
+    get.__doc__, get.derive = fn.__doc__, fn
     return property(get)
 
 
@@ -181,16 +182,17 @@ class Fixtures:
 
     @stored
     def history(self) -> DataFrame:
-        """previous_user_recommendations: one list per (user, order) of flag-N lines."""
+        """previous_user_recommendations: one list per (user, order) of flag-N lines.
+
+        The lines get their names first and meet their order last, so that they are dealt by order
+        when they are grouped and need no further shuffle."""
         li = self.base("lineitem").where(F.col("l_returnflag") == "N")
         o = self.base("orders").select("o_orderkey", "o_custkey")
         c = self.base("customer").select("c_custkey", "c_mktsegment")
         p = self.base("part").select("p_partkey", "p_name")
-        rows = (
-            li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, o.o_custkey == c.c_custkey)
-            .join(p, li.l_partkey == p.p_partkey)
-        )
+        named = li.join(p, li.l_partkey == p.p_partkey)
+        owners = o.join(c, o.o_custkey == c.c_custkey)
+        rows = named.join(owners, named.l_orderkey == owners.o_orderkey)
         item = F.struct(
             "l_linenumber", "l_partkey", "l_quantity", _name("p_name", "p_partkey").alias("n")
         )
@@ -247,6 +249,9 @@ class Fixtures:
 
     # -- snapshot ------------------------------------------------------------------------
     def tables(self) -> Tables:
+        # these do not read each other: their writes share the cluster; the other tables are made from them
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("history", "all_ratings", "catalog", "users")))
         return Tables(
             users=self.users,
             products=self.products,
