@@ -318,3 +318,29 @@ def test_scoring_queries_join_the_factors_once(spark, monkeypatch, name):
     monkeypatch.setattr(Q, "_trained", lambda *_: _counted(factors, seen))
     assert Q.REGISTRY[name](spark, "").count() > 0
     assert seen.value == len(rows)
+
+
+def test_users_do_not_carry_the_bounds_of_all_blocks(spark, monkeypatch):
+    """What a user's row holds, and what is shuffled with it, does not grow with the number of item blocks."""
+    uf, itf = _factors(spark, np.random.default_rng(4), 30, 200, 0.5)
+    real, kinds = MF.cut_lineage, []
+
+    def cut(d):
+        if "n_scored" in d.columns and "floor" in d.columns:
+            leaves = d._jdf.queryExecution().optimizedPlan().collectLeaves()
+            for k in range(leaves.size()):
+                out = leaves.apply(k).output()
+                kinds.extend(out.apply(j).dataType().simpleString() for j in range(out.size()))
+        return real(d)
+
+    monkeypatch.setattr(MF, "cut_lineage", cut)
+    cfg = Config(score_broadcast_bytes=0, score_block_rows=10)
+    got = MF.recommend_top_k(uf, itf, 3, cfg, work=True).collect()
+    assert kinds and not any(t.startswith("array<struct") for t in kinds)
+    scored = {(r["category"], r["user_id"]): r["n_scored"] for r in got}
+    items = sorted((r["category"], -np.linalg.norm(r["features"]), r["product_id"], r["features"]) for r in itf.collect())
+    for r in uf.collect():
+        of = [x for x in items if x[0] == r["category"]]
+        third = sorted(float(np.dot(r["features"], x[3])) for x in of[:10])[-3]
+        reached = sum(-x[1] * np.linalg.norm(r["features"]) * (1 + 1e-9) >= third for x in of[10::10])
+        assert scored[r["category"], r["user_id"]] == 10 * (1 + reached)
