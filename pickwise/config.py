@@ -43,6 +43,7 @@ class Config:
     als_block_ratings: int = 1_000_000  # ratings per block when blocks are derived
     als_checkpoint_interval: int = 10  # at most; fewer iterations where their shuffles pass als_shuffle_bytes
     als_shuffle_bytes: int = 1 << 30  # shuffled factors that the fits running at once keep on disk
+    fit_task_bytes: int = 512 << 20  # a category of the grid that holds no more is fitted in one task a point
     fit_ratings: int = 2_000_000_000  # ratings of one fit of several categories (below 2^31, the ids of ALS)
     # grid points fitted at once (threads submitting Spark jobs), as in pyspark.ml.tuning;
     # 1 when a single fit fills the cluster

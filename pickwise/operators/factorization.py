@@ -7,8 +7,10 @@ by its own count), so categories do not influence each other: one fit per grid p
 instead of one per grid point and category. The winner is chosen per category from
 per-category validation RMSE (strict ``<`` in grid order: rank outer, reg inner).
 
-Every fitted point writes its factors; the errors of all points come from one pass over the validation
-rows, which meet the factors of all points stacked in one array per id.
+Every fitted point writes its factors. A category whose ratings and factors fit a task is fitted in one task a point,
+which also sums the errors of its validation rows (``category_fit``). Larger ones are fitted by Spark's ALS; the errors
+of all points then come from one pass over the validation rows, which meet the factors of all points stacked in one
+array per id.
 
 Scoring stays inside a category, never materialises the user x product matrix as rows, and scores only
 the products whose norm lets them into a user's list.
@@ -36,6 +38,8 @@ from pickwise.functions.broadcast import checked
 from pickwise.functions.hashing import seeded
 from pickwise.functions.sequence import dense_positions
 from pickwise.functions.topk import top_k
+from pickwise.operators import category_fit
+from pickwise.operators.category_fit import Packed
 from pickwise.session import cut_lineage, scratch_path, shared_dir
 
 # The scoring functions below run in Python workers, which need not have this package
@@ -130,10 +134,13 @@ def als(rank: int, reg: float, cfg: Config, blocks: int) -> ALS:
     )
 
 
-def fit(train: DataFrame, rank: int, reg: float, cfg: Config, blocks: int | None = None) -> ALSModel:
+def fit(train: DataFrame | Packed, rank: int, reg: float, cfg: Config, blocks: int | None = None) -> ALSModel | DataFrame:
     """M1: explicit-feedback ALS on indexed training rows. ``blocks``: as ``blocks_for`` gives
     them, where the caller has counted the rows already (and set the checkpoint interval). Rows that are counted
-    here are kept for the fit: the joins that index them run once."""
+    here are kept for the fit: the joins that index them run once. Packed categories are fitted in their tasks and
+    give the rows of ``category_fit.FITTED``."""
+    if isinstance(train, Packed):
+        return train.fitted(rank, reg, cfg.max_iter)
     spark = train.sparkSession
     shared_dir(spark)  # ALS checkpoints its lineage there
     if blocks is not None:
@@ -181,9 +188,9 @@ def predict(model: ALSModel, rows: DataFrame) -> DataFrame:
 class GridResult:
     grid: DataFrame                 # category, grid_index, rank, reg_param, rmse, n_scored, is_best
     winners: dict[str, int]         # category -> grid index
-    run_path: str                   # factors of every point: <run_path>/point=<grid index>/{users,items}
+    run_path: str                   # factors of every point: <run_path>/point=<grid index>/fitted
     index: Indexed | None           # None where the categories were fitted in groups
-    parts: tuple["GridResult", ...] = ()  # the groups, each with a run path and an index of its own
+    parts: tuple["GridResult", ...] = ()  # the groups, each with a run path of its own
 
 
 def _written(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -199,7 +206,6 @@ def _written(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
 
 _MARK = "n_rows long, digest long"
 _USER_INDEX, _ITEM_INDEX = "category string, user_id long, u int", "category string, product_id long, i int"
-_FACTORS = "id int, features array<float>"
 
 
 def _run_index(ratings: DataFrame, cfg: Config, run_path: str) -> Indexed:
@@ -221,26 +227,35 @@ def _run_index(ratings: DataFrame, cfg: Config, run_path: str) -> Indexed:
     return Indexed(join_index(ratings, users, items, cfg), users, items)
 
 
-def fit_point(train: DataFrame, point: int, rank: int, reg: float, cfg: Config, blocks: int, run_path: str) -> None:
+def fit_point(train: DataFrame | Packed, point: int, rank: int, reg: float, cfg: Config, blocks: int, run_path: str) -> None:
     """Fits one grid point and writes its factors; a point that was finished before is left as it is."""
-    spark, path = train.sparkSession, f"{run_path}/point={point}"
+    spark, path = (train.rows if isinstance(train, Packed) else train).sparkSession, f"{run_path}/point={point}"
     if _written(spark, f"{path}/done", "point int") is not None:
         return
     model = fit(train, rank, reg, cfg, blocks)
-    model.userFactors.write.mode("overwrite").parquet(f"{path}/users")
-    model.itemFactors.write.mode("overwrite").parquet(f"{path}/items")
-    release(model)
+    if isinstance(model, ALSModel):
+        side = lambda name, f: f.select(F.lit(name).alias("side"), "id", "features")
+        side("users", model.userFactors).unionByName(side("items", model.itemFactors)).write.mode("overwrite").parquet(f"{path}/fitted")
+        release(model)
+    else:
+        model.write.mode("overwrite").parquet(f"{path}/fitted")
     del model
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of plans that the JVM holds no more
     spark.createDataFrame([(point,)], "point int").coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
 
 
+def point_factors(spark: SparkSession, run_path: str, point: int, side: str, key: str) -> DataFrame:
+    """(key, features) of one side (users, items) of a fitted point."""
+    rows = spark.read.schema(category_fit.FITTED).parquet(f"{run_path}/point={point}/fitted")
+    return rows.where(F.col("side") == side).select(F.col("id").alias(key), "features")
+
+
 def stacked_factors(spark: SparkSession, run_path: str, n_points: int, side: str, key: str) -> DataFrame:
     """(key, stack): the factors of all grid points, in grid order, in one array per id."""
     out = None
     for p in range(n_points):
-        f = spark.read.schema(_FACTORS).parquet(f"{run_path}/point={p}/{side}").select(F.col("id").alias(key), F.lit(p).alias("p"), "features")
+        f = point_factors(spark, run_path, p, side, key).withColumn("p", F.lit(p))
         out = f if out is None else out.unionByName(f)
     by_point = F.array_sort(F.collect_list(F.struct("p", "features")))
     return out.groupBy(key).agg(F.flatten(F.transform(by_point, lambda x: x["features"])).alias("stack"))
@@ -325,12 +340,63 @@ def grid_search(ratings: DataFrame, cfg: Config, run_path: str | None = None) ->
 
 
 def _search_group(ratings: DataFrame, cfg: Config, run_path: str) -> GridResult:
-    """The grid search of one group of categories."""
-    spark = ratings.sparkSession
-    grid = [(r, g) for r in cfg.ranks for g in cfg.reg_params]
+    """The grid search of one group of categories: those that fit a task each, and those that do not."""
     ix = _run_index(ratings, cfg, run_path)
     ix.data = ix.data.select("category", "rating", "split", "u", "i").persist()  # reused by every grid point
-    n = ix.data.count()
+    try:
+        count = lambda d: {r["category"]: r["count"] for r in d.groupBy("category").count().collect()}  # noqa: E731, one row per category
+        sizes, users, items = count(ix.data), count(ix.users), count(ix.items)
+        held = {c: category_fit.task_bytes(n, users[c], items[c], cfg.ranks) for c, n in sizes.items()}
+        small = sorted(c for c in sizes if held[c] <= cfg.fit_task_bytes and min(cfg.reg_params) > 0)
+        large = sorted(set(sizes) - set(small))
+        if small and large:
+            of = lambda cats: Indexed(ix.data.where(F.col("category").isin(cats)), ix.users, ix.items)
+            parts = (_search_small(of(small), small, sum(sizes[c] for c in small), cfg, f"{run_path}/small"),
+                     _search_large(of(large), sum(sizes[c] for c in large), cfg, f"{run_path}/large"))
+            return GridResult(parts[0].grid.unionByName(parts[1].grid), parts[0].winners | parts[1].winners, run_path, None, parts)
+        n = sum(sizes.values())
+        return _search_small(ix, small, n, cfg, run_path) if small else _search_large(ix, n, cfg, run_path)
+    finally:
+        ix.data.unpersist()
+
+
+def _points(cfg: Config) -> list[tuple[int, float]]:
+    return [(r, g) for r in cfg.ranks for g in cfg.reg_params]
+
+
+def first_factors(train: DataFrame, rank: int, cfg: Config, blocks: int) -> DataFrame:
+    """(category, id, features): the user factors that ALS begins with. They follow from the users and the blocks alone,
+    so ALS draws them from one row per user."""
+    shared_dir(train.sparkSession)
+    users = train.select("category", "u").distinct().persist()
+    try:
+        model = als(rank, 1.0, cfg.with_(max_iter=0), blocks).fit(users.select("u", F.lit(0).alias("i"), F.lit(1.0).alias("rating")))
+        return cut_lineage(model.userFactors.join(users, F.col("id") == F.col("u")).select("category", "id", "features"))
+    finally:
+        users.unpersist()
+
+
+def _search_small(ix: Indexed, categories: list[str], n: int, cfg: Config, run_path: str) -> GridResult:
+    """Every category is fitted in one task a grid point; its ratings are packed once."""
+    spark = ix.users.sparkSession
+    grid = _points(cfg)
+    blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
+    train = ix.data.where(F.col("split") == TRAIN)
+    first = {r: first_factors(train, r, cfg, blocks) for r in sorted(set(cfg.ranks))}
+    packed = category_fit.pack(ix.data.withColumn("train", F.col("split") == TRAIN), categories, first)
+    with ThreadPoolExecutor(max_workers=max(1, cfg.grid_parallelism)) as pool:
+        list(pool.map(lambda p: fit_point(packed, p[0], *p[1], cfg, blocks, run_path), enumerate(grid)))
+    found = {}
+    for p in range(len(grid)):
+        rows = spark.read.schema(category_fit.FITTED).parquet(f"{run_path}/point={p}/fitted").where("side = 'errors'")
+        found |= {(r["category"], p): (r["sse"], r["n"]) for r in rows.collect()}  # one row per category
+    return _grid_result(spark, found, grid, run_path, ix)
+
+
+def _search_large(ix: Indexed, n: int, cfg: Config, run_path: str) -> GridResult:
+    """All categories in one fit of Spark's ALS a grid point."""
+    spark = ix.users.sparkSession
+    grid = _points(cfg)
     blocks = blocks_for(n, spark.sparkContext.defaultParallelism, cfg)
     train = ix.data.where(F.col("split") == TRAIN)
     each = lambda rank: cfg.with_(als_checkpoint_interval=checkpoint_every(n, rank, cfg))
@@ -342,7 +408,10 @@ def _search_group(ratings: DataFrame, cfg: Config, run_path: str) -> GridResult:
     valid = ix.data.where(F.col("split") == VALIDATE)
     # one row per category and grid point
     found = {(r["category"], r["point"]): (r["sse"], r["n"]) for r in grid_errors(valid, users, items, [r for r, _ in grid]).collect()}
-    ix.data.unpersist()
+    return _grid_result(spark, found, grid, run_path, ix)
+
+
+def _grid_result(spark: SparkSession, found: dict[tuple[str, int], tuple[float, int]], grid: list[tuple[int, float]], run_path: str, ix: Indexed) -> GridResult:
     rmses = {k: float(np.sqrt(sse / n)) for k, (sse, n) in found.items()}
     winners = pick_winners([(c, p, e) for (c, p), e in rmses.items()])
     rows = [
@@ -367,7 +436,7 @@ def winning_factors(res: GridResult) -> tuple[DataFrame, DataFrame]:
     for point in sorted(set(res.winners.values())):
         # built from the driver-held winner list: at most one row per category
         cats = F.broadcast(spark.createDataFrame([(c,) for c, p in sorted(res.winners.items()) if p == point], "category string"))
-        read = lambda side, key: spark.read.schema(_FACTORS).parquet(f"{res.run_path}/point={point}/{side}").withColumnRenamed("id", key)  # noqa: B023, E731
+        read = lambda side, key: point_factors(spark, res.run_path, point, side, key)  # noqa: B023, E731
         users = users.unionByName(read("users", "u").join(res.index.users, "u").join(cats, "category", "left_semi").select(*USER, "features"))
         items = items.unionByName(read("items", "i").join(res.index.items, "i").join(cats, "category", "left_semi").select(*ITEM, "features"))
     return users, items

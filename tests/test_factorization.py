@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.config import Config
+from pickwise.operators import category_fit
 from pickwise.operators import factorization as MF
 from pickwise.sources import models
 
@@ -344,3 +345,44 @@ def test_users_do_not_carry_the_bounds_of_all_blocks(spark, monkeypatch):
         third = sorted(float(np.dot(r["features"], x[3])) for x in of[:10])[-3]
         reached = sum(-x[1] * np.linalg.norm(r["features"]) * (1 + 1e-9) >= third for x in of[10::10])
         assert scored[r["category"], r["user_id"]] == 10 * (1 + reached)
+
+
+def test_categories_that_fit_a_task_get_the_factors_of_sparks_als(planted, spark, monkeypatch):
+    """No iteration is run over the cluster for them; larger categories go through Spark's ALS, in the same search."""
+    cfg = CFG.with_(ranks=(3,), reg_params=(0.01, 0.1), max_iter=4)
+    ratings = planted.where("category <> 'X' or user_id <= 20").cache()
+    real, iterations = MF.als, []
+    monkeypatch.setattr(MF, "als", lambda rank, reg, c, blocks: iterations.append(c.max_iter) or real(rank, reg, c, blocks))
+    values = lambda res: {(r["category"], r["grid_index"]): (r["rmse"], r["n_scored"], r["is_best"]) for r in res.grid.collect()}
+    small = MF.grid_search(ratings, cfg)
+    assert set(iterations) == {0}
+    large = MF.grid_search(ratings, cfg.with_(fit_task_bytes=0))
+    assert set(iterations) == {0, 4}
+    a, b = values(small), values(large)
+    assert len(a) == 6 and a.keys() == b.keys()
+    assert all(abs(a[k][0] - b[k][0]) < 1e-5 and a[k][1:] == b[k][1:] for k in a)
+    for side in ("users", "items"):
+        f, g = ({r["id"]: r["features"] for r in MF.point_factors(spark, res.run_path, 1, side, "id").collect()} for res in (small, large))
+        assert f.keys() == g.keys() and all(np.allclose(f[k], g[k], atol=1e-3) for k in f)
+    mixed = MF.grid_search(ratings, cfg.with_(fit_task_bytes=category_fit.task_bytes(600, 20, 60, (3,))))
+    assert [sorted(p.winners) for p in mixed.parts] == [["X"], ["Y", "Z"]]
+    assert {k: v[1] for k, v in values(mixed).items()} == {k: v[1] for k, v in b.items()}
+    assert MF.winning_factors(mixed)[0].count() == MF.winning_factors(large)[0].count()
+
+
+@pytest.mark.parametrize("rank", [2, 6])
+def test_half_an_iteration_solves_every_row(rank, monkeypatch):
+    """Rows with fewer ratings than factors, with more, and with too many for one piece."""
+    monkeypatch.setattr(category_fit, "WIDEST", 30)
+    monkeypatch.setattr(category_fit, "CHUNK", 100)
+    rng, reg = np.random.default_rng(2), 0.05
+    count = np.array([*range(1, 29), 30, 31, 250] * 3)
+    u = rng.permutation(np.repeat(np.arange(len(count)), count))
+    i, r = rng.integers(0, 60, len(u)), rng.integers(1, 6, len(u)).astype(np.float32)
+    X = rng.normal(size=(61, rank)).astype(np.float32)
+    X[-1] = 0
+    got = category_fit._half(X, category_fit._layout(u, i, r, len(count), 60, rank), len(count), reg)
+    for k, n in enumerate(count):
+        V = X[i[u == k]].astype(float)
+        assert np.allclose(got[k], np.linalg.solve(V.T @ V + n * reg * np.eye(rank), V.T @ r[u == k]), rtol=1e-4, atol=1e-5)
+    assert not got[-1].any()
